@@ -16,10 +16,13 @@ def _pick(key: Column, position: int, of: int, value: Column) -> Column:
     return F.when(key % of == position, value)
 
 
-def _parsed(replies: DataFrame, schema: str) -> DataFrame:
-    """Replies as text, read with the schema of the file readers."""
-    text = replies.select(F.to_json(F.struct("*")).alias("reply"))
-    return text.select(F.from_json("reply", schema).alias("r")).select("r.*")
+def _parsed(text: Column, rows: DataFrame, schema: str) -> DataFrame:
+    """Reply texts read with the schema of the file readers.
+
+    The generator keeps the parsed reply as one value; without it the optimizer
+    would parse the text again for every field taken from it.
+    """
+    return rows.select(F.explode(F.array(F.from_json(text, schema))).alias("r")).select("r.*")
 
 
 def _wrapped_or_bare(body: dict[str, Column], wrapper: str, wrapped: Column) -> Column:
@@ -65,7 +68,7 @@ def order_pages(orders: DataFrame) -> DataFrame:
         F.when(bad, "limite de acessos").alias("erros"),
         F.when(~bad, F.array(_wrapped_or_bare(body, "pedido", key % 2 == 0))).alias("pedidos"),
     )
-    return _parsed(orders.select(page.alias("retorno")), schemas.ORDER_PAGE)
+    return _parsed(F.to_json(F.struct(page.alias("retorno"))), orders, schemas.ORDER_PAGE)
 
 
 def order_details(items: DataFrame) -> DataFrame:
@@ -97,9 +100,8 @@ def order_details(items: DataFrame) -> DataFrame:
         F.when(~bad & (key % 3 != 0), F.struct(key.cast("string").alias("id"), lines.alias("itens"))).alias("pedido"),
         F.when(~bad & (key % 3 == 0), lines).alias("itens"),
     )
-    return _parsed(
-        items.select(key.cast("string").alias("id"), reply.alias("retorno")), schemas.ORDER_DETAIL
-    )
+    text = F.to_json(F.struct(key.cast("string").alias("id"), reply.alias("retorno")))
+    return _parsed(text, items, schemas.ORDER_DETAIL)
 
 
 def product_pages(products: DataFrame) -> DataFrame:
@@ -141,7 +143,7 @@ def product_pages(products: DataFrame) -> DataFrame:
         return F.to_json(F.struct(F.struct(F.lit("OK").alias("status"), entry.alias("produtos")).alias("retorno")))
 
     text = F.when(key % 4 == 1, page(shapes[0])).when(key % 4 == 2, page(shapes[1])).otherwise(page(shapes[2]))
-    return products.select(F.from_json(text, schemas.PRODUCT_PAGE).alias("r")).select("r.*")
+    return _parsed(text, products, schemas.PRODUCT_PAGE)
 
 
 def product_details(products: DataFrame) -> DataFrame:
@@ -154,4 +156,5 @@ def product_details(products: DataFrame) -> DataFrame:
     )
     product = F.struct(F.col("id").cast("string").alias("id"), category.alias("categoria"))
     reply = F.struct(F.when(key % 31 == 0, "Erro").otherwise("OK").alias("status"), product.alias("produto"))
-    return _parsed(products.select(F.col("id").cast("string").alias("id"), reply.alias("retorno")), schemas.PRODUCT_DETAIL)
+    text = F.to_json(F.struct(F.col("id").cast("string").alias("id"), reply.alias("retorno")))
+    return _parsed(text, products, schemas.PRODUCT_DETAIL)

@@ -23,6 +23,8 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) ->
     very many versions sends one row per task.
     """
     rest = [c for c in df.columns if c not in keys and c not in newest]
+    if not rest and not newest:
+        return df.where(~_any_null(keys)).distinct()
     # Structs compare field by field with null lowest.
     packed = F.struct(*newest, *rest)
     best = (
@@ -69,38 +71,50 @@ def replace_keys_in_table(
     keys: Sequence[str],
     partition: str,
     schema: str,
+    within: Sequence[str] | None = None,
 ) -> list[str]:
     """``replace_keys`` on a Parquet table partitioned by ``partition`` (text).
 
-    Only partitions that hold a replaced row or receive a new one are rewritten,
-    by dynamic partition overwrite. A rerun with the same input gives the same
-    table, so a job that dies half-way is repaired by running it again. Returns
-    the partitions rewritten.
+    Only partitions that hold a replaced row or receive a new one are rewritten.
+    ``within`` names the partitions that can hold a replaced row, when that is
+    known; otherwise the key columns of the table are searched. Returns the
+    partitions rewritten.
     """
     replaced = materialized(replaced.select(*keys).distinct())
     rows = materialized(rows)
     target = spark.read.schema(schema).parquet(path)
-    columns = target.columns
-    # Partition values are months: a few hundred, whatever the table size.
-    holding = target.select(*keys, partition).join(replaced, list(keys), "left_semi")
-    touched = sorted(
-        row[0] for row in holding.select(partition).union(rows.select(partition)).distinct().collect()
-    )
-    if not touched:
-        return []
-    result = replace_keys(target.where(F.col(partition).isin(touched)), replaced, rows, keys)
+    searched = target if within is None else target.where(F.col(partition).isin(list(within)))
+    holding = searched.select(*keys, partition).join(replaced, list(keys), "left_semi")
+    touched = distinct_values(holding.select(partition).union(rows.select(partition)))
+    if touched:
+        result = replace_keys(target.where(F.col(partition).isin(touched)), replaced, rows, keys)
+        overwrite_partitions(spark, path, result, touched, partition, schema)
+    return touched
+
+
+def distinct_values(column: DataFrame) -> list[str]:
+    """Distinct partition values: months, so a few hundred whatever the table size."""
+    return sorted(row[0] for row in column.distinct().collect())
+
+
+def overwrite_partitions(
+    spark: SparkSession, path: str, rows: DataFrame, touched: Sequence[str], partition: str, schema: str
+) -> None:
+    """Make ``rows`` the whole content of the ``touched`` partitions.
+
+    Dynamic partition overwrite stages the new files and swaps partitions at job
+    commit, after all reads are done, so ``rows`` may come from the same table. A
+    job that dies half-way is repaired by running it again.
+    """
     written = Observation()
     (
-        result.observe(written, F.collect_set(partition).alias("parts"))
-        .select(*columns)
+        rows.observe(written, F.collect_set(partition).alias("parts"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
     # A partition left without rows gets no file from the write above.
-    emptied = set(touched) - set(written.get["parts"])
-    for value in sorted(emptied):
+    for value in sorted(set(touched) - set(written.get["parts"])):
         empty = spark.createDataFrame([], schema).drop(partition)
         empty.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
-    return touched

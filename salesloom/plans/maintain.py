@@ -73,23 +73,20 @@ def fact_rows(
         headers = headers.where(
             (F.col("order_date") >= F.date_sub(today, days)) & (F.col("order_date") <= today)
         )
-    lines = newest_per_key(
-        stg_items.select("order_id", "item_seq", "code", "description", "qty", "unit_price", "total"),
-        ["order_id", "item_seq"],
-        [],
-    )
+    # Lines meet the window's headers first, so only those are deduplicated. The
+    # shuffle in between lets an order with very many lines be split in the join
+    # and spread by line afterwards.
+    lines = stg_items.select("order_id", "item_seq", "code", "description", "qty", "unit_price", "total")
+    spread = lines.join(headers, "order_id").repartition("order_id", "item_seq")
+    lines = newest_per_key(spread, ["order_id", "item_seq"], [])
     products = dim_product.select("code", "product_key")
-    return (
-        lines.join(headers, "order_id")
-        .join(products, "code", "left")
-        .select(
-            C.date_key(F.col("order_date")).alias("date_key"),
-            "order_id", "item_seq", "order_number", "product_key", "code", "description",
-            C.zero_if_null(F.col("qty")).alias("qty"),
-            C.zero_if_null(F.col("unit_price")).alias("unit_price"),
-            C.zero_if_null(F.col("total")).alias("total"),
-            "order_status",
-        )
+    return lines.join(products, "code", "left").select(
+        C.date_key(F.col("order_date")).alias("date_key"),
+        "order_id", "item_seq", "order_number", "product_key", "code", "description",
+        C.zero_if_null(F.col("qty")).alias("qty"),
+        C.zero_if_null(F.col("unit_price")).alias("unit_price"),
+        C.zero_if_null(F.col("total")).alias("total"),
+        "order_status",
     )
 
 
@@ -101,19 +98,25 @@ def reload_window(f_sales: DataFrame, window_rows: DataFrame, as_of=None, days:
     return outside.unionByName(window_rows)
 
 
-def reload_fact_window(warehouse, stg_items, stg_orders, dim_product, as_of=None, days: int = 30) -> None:
-    """``reload_window`` on the stored fact table: only the months the window
-    touches are rewritten, and rows of an edge month outside the window are carried over."""
-    month = F.concat_ws(
-        "-", F.substring(F.col("date_key").cast("string"), 1, 4), F.substring(F.col("date_key").cast("string"), 5, 2)
-    )
-    rows = fact_rows(stg_items, stg_orders, dim_product, as_of, days).withColumn("month", month)
-    today = C.as_date(as_of)
-    first, last = C.date_key(F.date_sub(today, days)), C.date_key(today)
+def reload_fact_window(warehouse, stg_items, stg_orders, dim_product, as_of=None, days: int = 30) -> list[str]:
+    """``reload_window`` on the stored fact table. Only the months the window
+    touches are read and rewritten; rows of an edge month outside the window are
+    carried over. Returns those months."""
+    day = C.as_date(as_of)
+    span = F.sequence(F.trunc(F.date_sub(day, days), "MM"), day, F.expr("interval 1 month"))
+    months = [
+        row[0]
+        for row in warehouse.spark.range(1).select(F.explode(span).alias("day"))
+        .select(F.date_format("day", "yyyy-MM")).collect()
+    ]
+    rows = fact_rows(stg_items, stg_orders, dim_product, as_of, days)
+    stored = warehouse.load("f_sales").where(F.col("month").isin(months)).drop("month")
     key = F.col("date_key")
-    stored = warehouse.load("f_sales").where((key >= first) & (key <= last))
-    warehouse.replace("f_sales", stored.select("order_id", "item_seq", "date_key"), rows,
-                      ["order_id", "item_seq", "date_key"])
+    month = F.format_string("%04d-%02d", F.floor(key / 10000).cast("int"), (F.floor(key / 100) % 100).cast("int"))
+    warehouse.overwrite_months(
+        "f_sales", reload_window(stored, rows, as_of, days).withColumn("month", month), months
+    )
+    return months
 
 
 def backfill_item_totals(items: DataFrame) -> DataFrame:

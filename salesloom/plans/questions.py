@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
+from salesloom.operators.lineage import materialized
 
 # Month names in the order they are looked for, with their number.
 MONTH_NAMES = (
@@ -146,8 +147,11 @@ def answer_questions(
     lines = F.sum("lines") if "lines" in sales.columns else F.count(F.lit(1))
     # Sales without any known tag still count for questions without a tag.
     held = F.coalesce(named_tags(F.lower("tags"), vocabulary), F.array().cast("array<string>"))
-    months = sales.groupBy(held.alias("held"), C.month_of(F.col("day")).alias("month_start")).agg(
-        F.sum("total").alias("revenue"), F.sum("qty").alias("qty"), lines.alias("lines")
+    # Read several times below, so the sales are summed into a few stored rows once.
+    months = materialized(
+        sales.groupBy(held.alias("held"), C.month_of(F.col("day")).alias("month_start")).agg(
+            F.sum("total").alias("revenue"), F.sum("qty").alias("qty"), lines.alias("lines")
+        )
     )
     cells = (
         months.withColumn("key", F.explode(_calendar_keys(F.col("month_start"))))
@@ -186,11 +190,13 @@ def question_lines(
     held = F.coalesce(named_tags(F.lower("tags"), vocabulary), F.array().cast("array<string>"))
     order = [F.col("day"), F.col("product"), F.col("total"), F.col("qty"), F.col("tags")]
     by_cell = Window.partitionBy("held", "month_start").orderBy(*order)
-    cells = (
+    first_of_cells = materialized(
         sales.select(held.alias("held"), C.month_of(F.col("day")).alias("month_start"), "day", "product", "tags", "qty", "total")
         .withColumn("n", F.row_number().over(by_cell))
         .where(F.col("n") <= limit)
-        .withColumn("key", F.explode(_calendar_keys(F.col("month_start"))))
+    )
+    cells = (
+        first_of_cells.withColumn("key", F.explode(_calendar_keys(F.col("month_start"))))
         .select("held", "key.q_year", "key.q_month", "day", "product", "tags", "qty", "total")
     )
     by_combo = Window.partitionBy(*_COMBO).orderBy(*order)

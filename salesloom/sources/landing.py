@@ -42,19 +42,33 @@ def require_ok(pages: DataFrame) -> DataFrame:
     return ok
 
 
-def _entries(pages: DataFrame, array: str, wrapper: str) -> DataFrame:
-    """One row per array element, wrapped (``{wrapper: {...}}``) or bare, as ``e``."""
-    element = pages.select(F.explode(f"retorno.{array}").alias("w"))
-    inner = F.col(f"w.{wrapper}")
-    fields = element.select("w.*").drop(wrapper).columns
-    bare = F.struct(*[F.col(f"w.{name}").alias(name) for name in fields])
-    return element.select(F.coalesce(inner, bare).alias("e"))
+class _Entry:
+    """Fields of an array element ``w`` that is wrapped (``{wrapper: {...}}``) or bare.
+
+    Each field is picked by itself; no struct is built only to be taken apart.
+    """
+
+    def __init__(self, rows: DataFrame, wrapper: str):
+        self.wrapped = F.col(f"w.{wrapper}")
+        self.names = [name for name in rows.select("w.*").columns if name != wrapper]
+
+    def __getitem__(self, name: str) -> Column:
+        return F.when(self.wrapped.isNotNull(), self.wrapped[name]).otherwise(F.col(f"w.{name}"))
+
+    def raw_json(self) -> Column:
+        bare = F.struct(*[F.col(f"w.{name}").alias(name) for name in self.names])
+        return F.when(self.wrapped.isNotNull(), F.to_json(self.wrapped)).otherwise(F.to_json(bare))
+
+
+def _entries(pages: DataFrame, array: str, wrapper: str) -> tuple[DataFrame, _Entry]:
+    """One row per array element, and its fields."""
+    rows = pages.select(F.explode(f"retorno.{array}").alias("w"))
+    return rows, _Entry(rows, wrapper)
 
 
 def order_rows(pages: DataFrame) -> DataFrame:
     """Order headers of OK pages; entries without an id are dropped."""
-    entries = _entries(pages, "pedidos", "pedido")
-    e = {name: F.col(f"e.{name}") for name in entries.select("e.*").columns}
+    entries, e = _entries(pages, "pedidos", "pedido")
     return entries.select(
         e["id"].try_cast("bigint").alias("order_id"),
         e["id"].alias("external_id"),
@@ -71,20 +85,20 @@ def order_rows(pages: DataFrame) -> DataFrame:
         C.number_or_null(
             F.coalesce(e["valor_total"], C.first_nonzero(e["valor"], e["total_pedido"]).cast("string"))
         ).alias("total"),
-        F.to_json("e").alias("raw_json"),
+        e.raw_json().alias("raw_json"),
     ).where(F.col("order_id").isNotNull() & (F.col("order_id") != 0))
 
 
 def order_amounts(pages: DataFrame) -> DataFrame:
     """The wider header form: instant of the order and its four amounts."""
-    entries = _entries(pages, "pedidos", "pedido")
+    entries, e = _entries(pages, "pedidos", "pedido")
     return entries.select(
-        F.col("e.id").try_cast("bigint").alias("order_id"),
+        e["id"].try_cast("bigint").alias("order_id"),
         C.parse_source_date(
-            C.first_filled(F.col("e.data_pedido"), F.col("e.data_emissao"), F.col("e.data"))
+            C.first_filled(e["data_pedido"], e["data_emissao"], e["data"])
         ).alias("ordered_at"),
         *[
-            C.number_or_null(F.col(f"e.{source}")).alias(name)
+            C.number_or_null(e[source]).alias(name)
             for source, name in [
                 ("valor_produtos", "products_amount"),
                 ("valor_desconto", "discount_amount"),
@@ -114,61 +128,59 @@ def order_item_rows(details: DataFrame) -> DataFrame:
     lines = ok.select(
         detail_keys(ok).alias("order_id"), F.posexplode(F.coalesce(nested, direct)).alias("pos", "w")
     )
-    fields = lines.select("w.*").drop("item").columns
-    bare = F.struct(*[F.col(f"w.{name}").alias(name) for name in fields])
-    lines = lines.select("order_id", "pos", F.coalesce(F.col("w.item"), bare).alias("e"))
+    e = _Entry(lines, "item")
     return lines.select(
         "order_id",
         (F.col("pos") + 1).cast("int").alias("item_seq"),
-        C.first_filled(F.col("e.id_produto"), F.col("e.id")).alias("product_id"),
-        C.first_filled(F.col("e.codigo"), F.col("e.sku")).alias("sku"),
-        C.first_filled(F.col("e.descricao"), F.col("e.nome")).alias("product_name"),
-        C.number_or_null(F.col("e.quantidade")).alias("qty"),
+        C.first_filled(e["id_produto"], e["id"]).alias("product_id"),
+        C.first_filled(e["codigo"], e["sku"]).alias("sku"),
+        C.first_filled(e["descricao"], e["nome"]).alias("product_name"),
+        C.number_or_null(e["quantidade"]).alias("qty"),
         F.coalesce(
-            C.number_or_null(F.col("e.valor_unitario")), C.number_or_null(F.col("e.valor"))
+            C.number_or_null(e["valor_unitario"]), C.number_or_null(e["valor"])
         ).alias("price"),
-        C.number_or_null(F.col("e.valor_total")).alias("total"),
-        F.to_json("e").alias("raw_json"),
+        C.number_or_null(e["valor_total"]).alias("total"),
+        e.raw_json().alias("raw_json"),
     ).where("order_id is not null")
 
 
 def product_rows(pages: DataFrame) -> DataFrame:
     """Staged products of OK pages."""
-    entries = _entries(pages, "produtos", "produto")
+    entries, e = _entries(pages, "produtos", "produto")
     return entries.select(
-        F.col("e.id").try_cast("bigint").alias("id"),
-        C.first_filled(F.col("e.codigo")).alias("code"),
-        C.first_filled(F.col("e.nome"), F.col("e.descricao")).alias("name"),
-        C.first_filled(F.col("e.gtin")).alias("gtin"),
-        C.first_filled(F.col("e.unidade")).alias("unit"),
-        C.number_or_null(F.col("e.preco")).alias("price"),
-        C.number_or_null(F.col("e.preco_promocional")).alias("promo_price"),
-        C.first_filled(F.col("e.situacao")).alias("status"),
-        C.first_filled(F.col("e.localizacao")).alias("location"),
-        C.parse_source_datetime(F.col("e.data_criacao")).alias("created_at"),
-        C.product_tags(F.col("e.tags_produto"), F.col("e.tags")).alias("tags"),
-        F.to_json("e").alias("raw_json"),
+        e["id"].try_cast("bigint").alias("id"),
+        C.first_filled(e["codigo"]).alias("code"),
+        C.first_filled(e["nome"], e["descricao"]).alias("name"),
+        C.first_filled(e["gtin"]).alias("gtin"),
+        C.first_filled(e["unidade"]).alias("unit"),
+        C.number_or_null(e["preco"]).alias("price"),
+        C.number_or_null(e["preco_promocional"]).alias("promo_price"),
+        C.first_filled(e["situacao"]).alias("status"),
+        C.first_filled(e["localizacao"]).alias("location"),
+        C.parse_source_datetime(e["data_criacao"]).alias("created_at"),
+        C.product_tags(e["tags_produto"], e["tags"]).alias("tags"),
+        e.raw_json().alias("raw_json"),
     ).where("id is not null")
 
 
 def catalogue_rows(pages: DataFrame) -> DataFrame:
     """Products of OK pages in the catalogue form, with cost and variation type."""
-    entries = _entries(pages, "produtos", "produto")
+    entries, e = _entries(pages, "produtos", "produto")
     return entries.select(
-        F.col("e.id").try_cast("bigint").alias("id"),
-        F.col("e.codigo").alias("sku"),
-        F.coalesce(F.col("e.nome"), F.col("e.descricao")).alias("product_name"),
-        C.number_or_null(F.col("e.preco")).alias("price"),
-        C.number_or_null(F.col("e.preco_promocional")).alias("promo_price"),
-        C.number_or_null(F.col("e.preco_custo")).alias("cost_price"),
-        C.number_or_null(F.col("e.preco_custo_medio")).alias("avg_cost"),
-        F.col("e.unidade").alias("unit"),
-        F.col("e.gtin").alias("gtin"),
-        F.col("e.tipoVariacao").alias("variation_type"),
-        F.col("e.localizacao").alias("location"),
-        F.col("e.situacao").alias("status"),
-        C.parse_source_datetime(F.col("e.data_criacao")).alias("created_at"),
-        F.to_json("e").alias("raw_json"),
+        e["id"].try_cast("bigint").alias("id"),
+        e["codigo"].alias("sku"),
+        F.coalesce(e["nome"], e["descricao"]).alias("product_name"),
+        C.number_or_null(e["preco"]).alias("price"),
+        C.number_or_null(e["preco_promocional"]).alias("promo_price"),
+        C.number_or_null(e["preco_custo"]).alias("cost_price"),
+        C.number_or_null(e["preco_custo_medio"]).alias("avg_cost"),
+        e["unidade"].alias("unit"),
+        e["gtin"].alias("gtin"),
+        e["tipoVariacao"].alias("variation_type"),
+        e["localizacao"].alias("location"),
+        e["situacao"].alias("status"),
+        C.parse_source_datetime(e["data_criacao"]).alias("created_at"),
+        e.raw_json().alias("raw_json"),
     ).where("id is not null")
 
 

@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom import schemas
-from salesloom.operators.upsert import newest_per_key, replace_keys_in_table
+from salesloom.functions.cleanse import as_date
+from salesloom.operators.upsert import newest_per_key, overwrite_partitions, replace_keys_in_table
 
 MONTH = "month"
+# Partition of rows whose order day is not known.
+NO_MONTH = "none"
 # Tables that grow with sales, and the column their month comes from.
 GROWING = {
     "orders": schemas.ORDERS,
@@ -29,7 +32,7 @@ CATALOGUE = {
 
 def month_text(day: Column) -> Column:
     """Partition value of a day; rows without a day share one partition."""
-    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none"))
+    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit(NO_MONTH))
 
 
 class Warehouse:
@@ -47,40 +50,52 @@ class Warehouse:
     def growing_schema(self, name: str) -> str:
         return f"{GROWING[name]}, {MONTH} string"
 
-    def load(self, name: str) -> DataFrame:
-        """Current rows of a table, read with its declared schema."""
+    def load(self, name: str, since=None) -> DataFrame:
+        """Current rows of a table, read with its declared schema.
+
+        ``since`` (a day) reads only the months from then on. Lines are stored in
+        the month of their order, so a report over the last days can prune both
+        tables: ``load("orders", day)`` and ``load("order_items", day)``.
+        """
         if name in GROWING:
             self._ensure(name)
-            return self.spark.read.schema(self.growing_schema(name)).parquet(self.path(name))
-        if name in CATALOGUE and self._version(name) == 0:
+            table = self.spark.read.schema(self.growing_schema(name)).parquet(self.path(name))
+            return table if since is None else table.where(F.col(MONTH) >= month_text(as_date(since)))
+        version = self._version(name)
+        if name in CATALOGUE and version == 0:
             return self.spark.createDataFrame([], CATALOGUE[name])
-        return self.spark.read.parquet(self._version_path(name, self._version(name)))
+        return self.spark.read.parquet(self._version_path(name, version))
 
     def _ensure(self, name: str) -> None:
         if not self._exists(self.path(name)):
             empty = self.spark.createDataFrame([], self.growing_schema(name))
             empty.write.partitionBy(MONTH).parquet(self.path(name))
 
-    def replace(self, name: str, replaced: DataFrame, rows: DataFrame, keys: Sequence[str]) -> list[str]:
+    def replace(
+        self,
+        name: str,
+        replaced: DataFrame,
+        rows: DataFrame,
+        keys: Sequence[str],
+        within: Sequence[str] | None = None,
+    ) -> list[str]:
         """Rows of ``replaced`` keys go, ``rows`` (with their month) come."""
         self._ensure(name)
-        return replace_keys_in_table(
-            self.spark, self.path(name), replaced, rows, keys, MONTH, self.growing_schema(name)
-        )
+        schema = self.growing_schema(name)
+        rows = rows.select(*self.load(name).columns)
+        return replace_keys_in_table(self.spark, self.path(name), replaced, rows, keys, MONTH, schema, within)
 
     def upsert(self, name: str, changes: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> list[str]:
         """Insert or update by key; the newest change wins."""
-        latest = newest_per_key(changes, keys, newest).select(*self.load(name).columns)
+        latest = newest_per_key(changes, keys, newest)
         return self.replace(name, latest, latest, keys)
 
-    def overwrite_months(self, name: str, rows: DataFrame) -> None:
-        """Replace exactly the months present in ``rows``."""
+    def overwrite_months(self, name: str, rows: DataFrame, months: Sequence[str]) -> None:
+        """Make ``rows`` the whole content of these months."""
         self._ensure(name)
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
-            .parquet(self.path(name))
+        schema = self.growing_schema(name)
+        overwrite_partitions(
+            self.spark, self.path(name), rows.select(*self.load(name).columns), months, MONTH, schema
         )
 
     # --- versioned tables and reports -----------------------------------
@@ -107,6 +122,13 @@ class Warehouse:
             counts = row if counts is None else counts.unionByName(row)
         return counts
 
+    def drop_old_versions(self, name: str, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` versions, once no reader needs them."""
+        fs, _ = self._hadoop(self.path(name))
+        path_class = self.spark._jvm.org.apache.hadoop.fs.Path
+        for version in range(1, self._version(name) - keep + 1):
+            fs.delete(path_class(self._version_path(name, version)), True)
+
     def _version_path(self, name: str, version: int) -> str:
         return f"{self.path(name)}/v={version:06d}"
 
