@@ -366,6 +366,10 @@ def _profiles() -> dict[str, str]:
         "load_summary": _sql("o li", "orders:b lines:b gross:d", f"""
           SELECT (SELECT count(*) FROM o WHERE order_date BETWEEN DATE '2001-07-02' AND {DAY}) AS orders,
             count(*) AS lines, coalesce(sum(total),0) AS gross FROM li WHERE order_date BETWEEN DATE '2001-07-02' AND {DAY}"""),
+        "load_sample": _sql("li", "order_id:b order_date:s item_seq:b sku:s product_name:s qty:d price:d total:d", """
+          SELECT * FROM li WHERE order_date BETWEEN DATE '2001-06-01' AND DATE '2001-06-30'
+          ORDER BY order_date DESC, order_id DESC, item_seq, sku NULLS LAST, product_name NULLS LAST, qty NULLS LAST,
+            price NULLS LAST, total NULLS LAST LIMIT 10"""),
         "table_counts": _sql("o i p", '"table":s "rows":b', union),
         "table_counts_row": _sql("o i p", "orders:b order_items:b products:b",
             "SELECT (SELECT count(*) FROM o) AS orders, (SELECT count(*) FROM i) AS order_items, (SELECT count(*) FROM p) AS products"),
@@ -402,6 +406,21 @@ def _sources() -> dict[str, str]:
         "landed_order_amounts": _sql("o", "order_id:b ordered_at:s total_amount:d", f"""
           SELECT order_id, strftime(CASE WHEN order_id%4<>3 THEN {dirty_day} END + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS ordered_at,
             CASE WHEN order_id%3=0 THEN total END AS total_amount FROM o WHERE order_id%83<>0"""),
+        "staged_orders": _sql("o", "order_id:b order_number:s order_date_text:s status:s customer_name:s seller:s total:d", """
+          SELECT order_id, CASE WHEN order_id%5<>0 THEN order_number END AS order_number,
+            CASE WHEN order_id%4 IN (0, 3) THEN
+              CASE WHEN order_id%73=0 THEN CAST(order_date AS VARCHAR) WHEN order_id%79=0 THEN '31/02/2001'
+                ELSE strftime(order_date, '%d/%m/%Y') || CASE WHEN order_id%7=0 THEN ' 10:24:18' ELSE '' END END END AS order_date_text,
+            CASE WHEN order_id%3<>0 THEN status END AS status,
+            CASE WHEN order_id%3<>2 THEN customer_name END AS customer_name, NULL AS seller,
+            CASE WHEN order_id%3<>0 THEN nullif(total, 0) END AS total
+          FROM o WHERE order_id%83<>0 AND order_id<>0"""),
+        "staged_items": _sql("i", "code:s description:s lines:b qty:d total:d unpriced:b", """
+          SELECT nullif(sku,'') AS code, product_name AS description, 2 * count(*) AS lines,
+            sum(coalesce(qty,0) + CASE WHEN order_id%13<>0 THEN coalesce(qty,0) ELSE 0 END) AS qty,
+            sum(coalesce(total,0) + CASE WHEN order_id%17<>0 THEN coalesce(total,0) ELSE 0 END) AS total,
+            2 * count(*) FILTER (WHERE coalesce(price,0) = 0) AS unpriced
+          FROM i WHERE order_id%89<>0 GROUP BY 1, 2"""),
         "landed_page_rejects": _sql("o", "reason:s pages:b", "SELECT 'limite de acessos' AS reason, count(*) AS pages FROM o WHERE order_id%83=0"),
         "landed_order_details": _sql("i", "order_id:b item_seq:b product_id:s sku:s product_name:s qty:d price:d total:d", """
           SELECT order_id, 1 AS item_seq, product_id, nullif(sku,'') AS sku, product_name, qty, price, total FROM i WHERE order_id%89<>0

@@ -352,6 +352,11 @@ def load_summary(s: Shop) -> DataFrame:
     return quality.load_summary(s.orders, s.order_items, "2001-07-02", AS_OF)
 
 
+@query
+def load_sample(s: Shop) -> DataFrame:
+    return quality.load_sample(s.orders, s.order_items, "2001-06-01", "2001-06-30")
+
+
 def _tables(s: Shop) -> dict[str, DataFrame]:
     return {"orders": s.orders, "order_items": s.order_items, "products": s.products}
 
@@ -428,6 +433,22 @@ def landed_order_amounts(s: Shop) -> DataFrame:
     return landing.order_amounts(ok).select("order_id", "ordered_at", "total_amount")
 
 
+@query
+def staged_orders(s: Shop) -> DataFrame:
+    ok, _ = landing.split_ok_rejects(pages.order_pages(s.orders))
+    return landing.staged_order_rows(ok).drop("raw_json")
+
+
+@query
+def staged_items(s: Shop) -> DataFrame:
+    """Staged lines of all details, counted and summed per code."""
+    staged = landing.staged_item_rows(pages.order_details(s.order_items))
+    return staged.groupBy("code", "description").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("qty").alias("qty"), F.sum("total").alias("total"),
+        F.count_if(F.col("unit_price") == 0).alias("unpriced"),
+    )
+
+
 @query
 def landed_page_rejects(s: Shop) -> DataFrame:
     _, rejects = landing.split_ok_rejects(pages.order_pages(s.orders))

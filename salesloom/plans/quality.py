@@ -100,6 +100,11 @@ def load_summary(orders: DataFrame, items: DataFrame, start, end) -> DataFrame:
     return both.agg(*[F.max(c).alias(c) for c in ("orders", "lines", "gross")])
 
 
+def load_sample(orders: DataFrame, items: DataFrame, start, end, limit: int = 10) -> DataFrame:
+    """Newest lines loaded for a period."""
+    return newest_lines(orders.where(P.through_day(F.col("order_date"), start, end)), items, limit)
+
+
 def tag_coverage(dim_product: DataFrame, enriched_rows: DataFrame) -> DataFrame:
     """Products, products with tags, and rows of the enriched sales."""
     dim = dim_product.agg(

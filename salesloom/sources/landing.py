@@ -89,6 +89,38 @@ def order_rows(pages: DataFrame) -> DataFrame:
     ).where(F.col("order_id").isNotNull() & (F.col("order_id") != 0))
 
 
+def staged_order_rows(pages: DataFrame) -> DataFrame:
+    """Headers of OK pages as staged for the fact table; the date stays text."""
+    entries, e = _entries(pages, "pedidos", "pedido")
+    return entries.select(
+        e["id"].try_cast("bigint").alias("order_id"),
+        C.first_filled(e["numero"]).alias("order_number"),
+        C.first_filled(e["data_pedido"], e["data_criacao"]).alias("order_date_text"),
+        C.first_filled(e["situacao"]).alias("status"),
+        C.first_filled(e["nome"], e["cliente"]).alias("customer_name"),
+        C.first_filled(e["vendedor"]).alias("seller"),
+        C.first_nonzero(e["valor"], e["total_pedido"]).alias("total"),
+        e.raw_json().alias("raw_json"),
+    ).where(F.col("order_id").isNotNull() & (F.col("order_id") != 0))
+
+
+def staged_item_rows(details: DataFrame) -> DataFrame:
+    """Lines of OK details as staged for the fact table; missing numbers are 0."""
+    lines = order_item_rows(details)
+    zero = C.zero_if_null
+    return lines.select(
+        "order_id",
+        "item_seq",
+        F.lit(None).cast("string").alias("order_number"),
+        F.col("sku").alias("code"),
+        F.col("product_name").alias("description"),
+        zero(F.col("qty")).alias("qty"),
+        zero(F.col("price")).alias("unit_price"),
+        zero(F.col("total")).alias("total"),
+        "raw_json",
+    )
+
+
 def order_amounts(pages: DataFrame) -> DataFrame:
     """The wider header form: instant of the order and its four amounts."""
     entries, e = _entries(pages, "pedidos", "pedido")

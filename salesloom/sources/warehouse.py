@@ -20,6 +20,8 @@ GROWING = {
     "orders": schemas.ORDERS,
     "order_items": schemas.ORDER_ITEMS,
     "f_sales": schemas.F_SALES,
+    "stg_orders": schemas.STG_ORDERS,
+    "stg_order_items": schemas.STG_ORDER_ITEMS,
 }
 # Tables that grow with the catalogue.
 CATALOGUE = {

@@ -9,7 +9,7 @@ import pytest
 from salesloom.sources import landing
 from salesloom.sources.warehouse import Warehouse
 from salesloom.streaming.ingest import (
-    FIRST_DAY, ingest_increment, ingest_products, load_increment_batch, not_yet_loaded, stored_high_mark,
+    FIRST_DAY, load_fact_window, ingest_increment, ingest_products, load_increment_batch, not_yet_loaded, stored_high_mark,
 )
 from salesloom import schemas
 from tests.conftest import rows_of
@@ -172,3 +172,22 @@ def test_product_load_builds_the_dimension(spark, tmp_path):
     ingest_products(spark, warehouse, str(tmp_path / "pp"))
     assert sorted(rows_of(warehouse.load("dim_product"), "code", "id_src", "name")) == [("A", 2, "renamed"), ("B", 5, "b")]
     assert warehouse.load("stg_products").count() == 4
+    assert sorted(rows_of(warehouse.load("products"), "id", "product_name"))[1] == (2, "renamed")
+
+
+def test_facts_from_pages(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    land(tmp_path / "pp", "1.json", {"retorno": {"status": "OK", "produtos": [{"produto": {"id": 1, "codigo": "A", "nome": "a"}}]}})
+    ingest_products(spark, warehouse, str(tmp_path / "pp"))
+    pages = spark.read.schema(schemas.ORDER_PAGE).json(land(tmp_path / "p", "p.json", page(order(1, "05/03/2024"), order(2, "01/01/2024"))))
+    details = spark.read.schema(schemas.ORDER_DETAIL).json(
+        land(tmp_path / "d", "d.json", detail(1, line("A"), line("Z")), detail(2, line("A")), detail(7, status="Erro")))
+
+    def facts():
+        rows = warehouse.load("f_sales").selectExpr("order_id", "item_seq", "date_key", "code", "product_key is not null", "total")
+        return sorted(rows_of(rows))
+
+    assert load_fact_window(warehouse, pages, details, "2024-03-10") == ["2024-02", "2024-03"]
+    assert facts() == [(1, 1, 20240305, "A", True, 0.0), (1, 2, 20240305, "Z", False, 0.0)]
+    load_fact_window(warehouse, pages, details, "2024-03-10")
+    assert len(facts()) == 2 and warehouse.load("stg_order_items").count() == 3
