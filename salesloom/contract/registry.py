@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.contract import pages
-from salesloom.contract.tables import AS_OF, MONEY, Shop
+from salesloom.contract.tables import AS_OF, MONEY, Shop, utc_midnight
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
 from salesloom.operators.lineage import ensure_checkpoint_dir
@@ -44,10 +44,8 @@ def plain(df: DataFrame) -> DataFrame:
             return column.cast("bigint").alias(name)
         if kind == "timestamp":
             utc = F.convert_timezone(None, F.lit("UTC"), column.cast("timestamp_ntz"))
-            return F.date_format(utc, "yyyy-MM-dd HH:mm:ss").alias(name)
-        if kind == "timestamp_ntz":
-            return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(name)
-        if kind == "date":
+            return utc.cast("string").alias(name)
+        if kind in ("date", "timestamp_ntz"):
             return column.cast("string").alias(name)
         return column
 
@@ -651,10 +649,10 @@ def dimension_products(s: Shop) -> DataFrame:
 @query
 def dimension_upsert(s: Shop) -> DataFrame:
     """Dimension built from inactive products first, then updated from all."""
-    stamp = F.lit("2001-01-01").cast("timestamp")
+    stamp = utc_midnight("2001-01-01")
     before = maintain.dim_product_rows(s.stg_products.where("status = 'I'").withColumn("tags", F.lit("x")), stamp)
     changes = s.stg_products.where("status = 'A'")
-    after = maintain.upsert_dim_product(before, changes, F.lit(AS_OF).cast("timestamp"))
+    after = maintain.upsert_dim_product(before, changes, utc_midnight(AS_OF))
     return after.drop("product_key")
 
 
@@ -719,7 +717,7 @@ def backfilled_items(s: Shop) -> DataFrame:
 @query
 def tags_filled(s: Shop) -> DataFrame:
     categories = landing.product_categories(pages.product_details(s.products))
-    filled = maintain.fill_tags(s.dim_product, categories, updated_at=F.lit("2001-08-02").cast("timestamp"))
+    filled = maintain.fill_tags(s.dim_product, categories, updated_at=utc_midnight("2001-08-02"))
     return filled.select("code", "tags", "updated_at")
 
 

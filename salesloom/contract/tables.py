@@ -17,6 +17,10 @@ AS_OF = "2001-08-01"
 MONEY = "decimal(18,4)"
 
 
+def utc_midnight(day: str) -> Column:
+    return F.lit(f"{day} 00:00:00+00:00").cast("timestamp")
+
+
 def _divides(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
@@ -151,7 +155,7 @@ class Shop:
     def dim_product(self) -> DataFrame:
         from salesloom.plans.maintain import dim_product_rows
 
-        return dim_product_rows(self.stg_products, F.lit(AS_OF).cast("timestamp"))
+        return dim_product_rows(self.stg_products, utc_midnight(AS_OF))
 
     @cached_property
     def stg_orders(self) -> DataFrame:

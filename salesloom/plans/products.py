@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
+from salesloom.operators.lineage import materialized
 from salesloom.operators.ordering import high_first, low_first, top
 from salesloom.operators.ranking import SMALL, SUM_TYPE, numbered, running_share
 from salesloom.plans.lines import one_per_sku, revenue_of_line, sold_lines
@@ -334,7 +335,9 @@ def gross_margin(
         .where("revenue > 0")
     )
     best = top(sums, limit, high_first("revenue"), low_first("sku"), low_first("product_name"))
-    # At most ``limit`` skus are looked up in the catalogue.
+    # ``limit`` rows, stored because two joins read them; at most as many skus
+    # are looked up in the catalogue.
+    best = materialized(best)
     wanted = products.join(F.broadcast(best.select("sku").distinct()), "sku", "left_semi")
     cost = one_per_sku(wanted).select("sku", "cost_price")
     priced = best.join(cost, "sku", "left").withColumn(

@@ -109,23 +109,19 @@ def _tag_column(tag: str | None):
 def period_summary(sales: DataFrame, start, end, tag: str | None = None) -> DataFrame:
     """One row of totals for a period; also when nothing was sold.
 
-    Takes the rollup or the line-level sales. Distinct products and days are
-    counted from rows first grouped by them, which needs no expansion of the
-    input for two distinct counts.
+    Takes the rollup or the line-level sales. Both distinct counts are taken in
+    one pass, over rows already summed by product and day.
     """
     cells = (
         _in_period(sales, start, end, tag)
         .groupBy("product", "day")
         .agg(F.sum("qty").alias("qty"), F.sum("total").alias("total"))
     )
-    products = cells.groupBy("product").agg(F.sum("qty").alias("qty"), F.sum("total").alias("total"))
-    totals = products.agg(
-        F.sum("qty").alias("units"), F.sum("total").alias("revenue"), F.count("product").alias("products")
-    )
-    days = cells.select("day").distinct().agg(F.count("day").alias("days"))
-    # Two single rows side by side: a union and a sum, not a join.
-    one = totals.unionByName(days, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in ("units", "revenue", "products", "days")]
+    one = cells.agg(
+        F.sum("qty").alias("units"),
+        F.sum("total").alias("revenue"),
+        F.count_distinct("product").alias("products"),
+        F.count_distinct("day").alias("days"),
     )
     return one.select(
         C.as_date(start).alias("start"),

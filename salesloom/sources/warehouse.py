@@ -23,12 +23,13 @@ GROWING = {
     "stg_orders": schemas.STG_ORDERS,
     "stg_order_items": schemas.STG_ORDER_ITEMS,
 }
-# Tables that grow with the catalogue.
+# Smaller tables, written as whole versions.
 CATALOGUE = {
     "products": schemas.PRODUCTS,
     "stg_products": schemas.STG_PRODUCTS,
     "dim_product": schemas.DIM_PRODUCT,
     "dim_date": schemas.DIM_DATE,
+    "rejected_details": schemas.REJECTED_DETAILS,
 }
 
 

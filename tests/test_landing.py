@@ -129,11 +129,15 @@ def test_streamed_increments(spark, tmp_path):
         (1, 1, "A", "2024-03"), (1, 2, "B", "2024-03"), (3, 1, "D", "2024-03"), (9, 1, "E", "none"),
     ]
 
+    assert rows_of(warehouse.load("rejected_details")) == [(1, "Erro")]
+
     # Nothing new: nothing changes. Then the header of 9 arrives and its line
     # moves to the header's month; order 3 moves month and takes its line along.
     ingest_increment(spark, warehouse, str(pages), str(details))
     land(pages, "4.json", page(order(9, "01/05/2024"), order(3, "02/06/2024")))
+    land(details, "4.json", detail(1, line("A"), line("B")))
     ingest_increment(spark, warehouse, str(pages), str(details))
+    assert rows_of(warehouse.load("rejected_details")) == []
     assert lines_of(warehouse) == [
         (1, 1, "A", "2024-03"), (1, 2, "B", "2024-03"), (3, 1, "D", "2024-06"), (9, 1, "E", "2024-05"),
     ]

@@ -27,7 +27,7 @@ def test_no_cross_join_and_no_python(spark, conf, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["falling_products", "channel_orders", "weekly_channel_change", "product_sales", "top_customers", "abc_leaders"]
+    "name", ["falling_products", "channel_orders", "period_summary", "sales_question_totals", "weekly_channel_change", "product_sales", "top_customers", "abc_leaders"]
 )
 def test_date_filter_reaches_the_scan(spark, name):
     plan = plan_of(QUERIES[name](spark, SMALL))
@@ -59,6 +59,16 @@ def test_whole_table_windows_gather_only_slice_totals(spark, name):
     assert "HashAggregate(keys=[_slice" in below
 
 
+@pytest.mark.parametrize("name", ["period_summary", "abc_leaders", "falling_products_approved", "gross_margin", "kpi_comparison"])
+def test_lines_are_scanned_once(spark, conf, name):
+    """Parts of a report that share the line join also share its shuffle."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    df = QUERIES[name](spark, SMALL)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet [l_") <= 1
+
+
 def test_top_k_is_taken_per_task(spark):
     plan = plan_of(QUERIES["top_customers"](spark, SMALL))
     assert "TakeOrderedAndProject" in plan and "SinglePartition" not in plan

@@ -1,4 +1,4 @@
-"""Report rules on tiny hand-made tables, where a wrong reading would show."""
+"""Report rules on small hand-made tables, where a wrong reading would show."""
 
 from datetime import date
 
