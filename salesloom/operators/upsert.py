@@ -104,11 +104,13 @@ def overwrite_partitions(
 
     Dynamic partition overwrite stages the new files and swaps partitions at job
     commit, after all reads are done, so ``rows`` may come from the same table. A
-    job that dies half-way is repaired by running it again.
+    job that dies half-way is repaired by running it again. The rebalance hint lets
+    adaptive execution gather small partitions into one file and split large ones.
     """
     written = Observation()
     (
-        rows.observe(written, F.collect_set(partition).alias("parts"))
+        rows.hint("rebalance", partition)
+        .observe(written, F.collect_set(partition).alias("parts"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

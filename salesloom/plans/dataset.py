@@ -40,15 +40,20 @@ def report_tables(orders: DataFrame, items: DataFrame, as_of=None) -> DataFrame:
     return reduce(DataFrame.unionByName, [channel_rows, best, mean])
 
 
-def materialized_reports(orders: DataFrame, items: DataFrame, as_of=None) -> dict:
-    """Report name to the function that builds it, for ``Warehouse.refresh``."""
+def materialized_reports(orders: DataFrame, items: DataFrame, as_of=None, recent=None) -> dict:
+    """Report name to the function that builds it, for ``Warehouse.refresh``.
+
+    ``recent`` gives orders and lines that cover the last 90 days, such as
+    ``Warehouse.recent``; the reports over days read those instead of everything.
+    """
+    new_orders, new_items = recent or (orders, items)
     return {
-        "daily_orders": lambda: sales.daily_orders_from_headers(orders, items, as_of),
-        "channels_30d": lambda: channels.channel_orders(orders, as_of),
-        "product_ranking_90d": lambda: products.product_ranking(orders, items, as_of),
+        "daily_orders": lambda: sales.daily_orders_from_headers(new_orders, new_items, as_of),
+        "channels_30d": lambda: channels.channel_orders(new_orders, as_of),
+        "product_ranking_90d": lambda: products.product_ranking(new_orders, new_items, as_of),
         "daily_orders_lines": lambda: sales.daily_orders_from_lines(orders, items),
-        "channel_lines_30d": lambda: channels.channel_revenue_from_lines(orders, items, as_of),
-        "product_sales_90d": lambda: products.product_sales(orders, items, as_of),
+        "channel_lines_30d": lambda: channels.channel_revenue_from_lines(new_orders, new_items, as_of),
+        "product_sales_90d": lambda: products.product_sales(new_orders, new_items, as_of),
         "daily_channels": lambda: channels.daily_channel_orders(orders),
     }
 

@@ -25,15 +25,18 @@ MONTH_NAMES = (
 TOTAL_WORDS = ("quanto", "total", "faturamento", "vendi", "vendas")
 # What makes a text a data question.
 SMALL_TALK_LENGTH = 40
-SMALL_TALK = r"^(oi|olá|ola|teste|testando|ping|funciona|você funciona|vc funciona)\b"
+GREETINGS = ("oi", "olá", "ola", "teste", "testando", "ping", "funciona", "você funciona", "vc funciona")
 ANALYSIS_WORDS = (
     "analise", "análise", "relatório", "resumo", "insights", "tendência", "tendencias", "vendas",
-    "faturamento", "receita", "lucro", "margem", "ticket", "lista", "listagem", "categoria",
+    "faturamento", "receita", "lucro", "margem", "ticket", "listagem", "categoria",
     "produto", "top", "ranking", "comparar", "comparação", "comparacao", "vale mais a pena",
     "melhor", "pior", "vs", "versus",
 )
 COMPARISON_WORDS = (" ou ", " vs ", "versus", "vale mais a pena")
 
+# A greeting as the first whole word; accented letters are part of a word.
+SMALL_TALK = rf"^({'|'.join(GREETINGS)})($|[^\p{{L}}\p{{N}}_])"
+
 ANY = "*"
 
 

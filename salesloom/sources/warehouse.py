@@ -69,6 +69,11 @@ class Warehouse:
             return self.spark.createDataFrame([], CATALOGUE[name])
         return self.spark.read.parquet(self._version_path(name, version))
 
+    def recent(self, as_of=None, days: int = 90) -> tuple[DataFrame, DataFrame]:
+        """Orders and lines of the months that hold the last ``days`` days."""
+        since = F.date_sub(as_date(as_of), days)
+        return self.load("orders", since), self.load("order_items", since)
+
     def _ensure(self, name: str) -> None:
         if not self._exists(self.path(name)):
             empty = self.spark.createDataFrame([], self.growing_schema(name))

@@ -36,6 +36,14 @@ def texts(spark):
     return spark.createDataFrame(TEXTS, "question_id bigint, text string")
 
 
+def test_small_talk_needs_whole_words(spark):
+    filler = " e depois quero o total de vendas da loja inteira"
+    cases = {"olá": False, "oi,": False, "oito produtos": True, "olás": True, "teste": False, "quero": True}
+    df = spark.createDataFrame([(i, text + filler) for i, text in enumerate(cases)], "question_id int, text string")
+    got = [r.uses_data for r in Q.read_questions(df, VOCABULARY).orderBy("question_id").collect()]
+    assert got == list(cases.values())
+
+
 def test_reading(texts):
     read = {r.question_id: r for r in Q.read_questions(texts, VOCABULARY).collect()}
     assert (read[1].year, read[1].month, read[1].tags) == (2024, 3, ["caneta", "caneta gel"])

@@ -115,3 +115,34 @@ def test_dim_date(spark):
     sunday = rows[date(2024, 2, 25)]
     assert (sunday.dow, sunday.dow_name, sunday.is_weekend, sunday.date_key) == (0, "Sunday", True, 20240225)
     assert rows[date(2024, 2, 29)].month_name == "February" and not rows[date(2024, 2, 29)].is_weekend
+
+
+def test_reports_on_stored_tables_read_recent_months_only(spark, tmp_path):
+    import re
+
+    from salesloom.contract.tables import AS_OF, Shop
+    from salesloom.plans import products
+    from salesloom.sources.warehouse import month_text
+    from tests.conftest import SMALL
+
+    shop = Shop(spark, SMALL)
+    warehouse = Warehouse(spark, str(tmp_path))
+    raw = F.lit(None).cast("string").alias("raw_json")
+    month = month_text(F.col("order_date")).alias("month")
+    orders = shop.orders.select("*", raw, month)
+    items = shop.order_items.join(orders.select("order_id", "month"), "order_id").withColumn("raw_json", raw)
+    for name, rows in (("orders", orders), ("order_items", items)):
+        warehouse._ensure(name)
+        warehouse.overwrite_months(name, rows, [])
+    whole = warehouse.load("orders"), warehouse.load("order_items")
+    recent = warehouse.recent(AS_OF, 90)
+    for report in (products.product_sales, products.falling_products, products.abc_curve):
+        expected = sorted(map(str, report(shop.orders, shop.order_items, AS_OF).collect()))
+        assert sorted(map(str, report(*whole, AS_OF).collect())) == expected
+        assert sorted(map(str, report(*recent, AS_OF).collect())) == expected
+    plan = products.product_sales(*recent, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and all(re.search(r"PartitionFilters: \[isnotnull\(month#\d+\), \(month#\d+ >= 2001-05\)", s) for s in scans)
+    assert recent[1].select("month").distinct().count() == 4
+    # Writes are rebalanced by month: one file per small month, not one per task and month.
+    assert all(len(list(folder.glob("part-*"))) == 1 for folder in (tmp_path / "order_items").glob("month=*"))
