@@ -6,6 +6,10 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows of a key table that every executor can hold: some tens of megabytes.
+BROADCAST_ROWS = 1_000_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -31,3 +35,14 @@ def materialized(df: DataFrame) -> DataFrame:
     """Compute once into the shared checkpoint folder and cut the lineage there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(stored: DataFrame, limit: int | None = None) -> DataFrame:
+    """A materialized key table, with a broadcast hint when its counted rows are few.
+
+    Spark's own size estimate of such a table is the one of its input, which is
+    often far too large; without the hint the table it is joined to would be
+    shuffled. Beyond the limit the join is left to Spark.
+    """
+    limit = BROADCAST_ROWS if limit is None else limit
+    return F.broadcast(stored) if stored.count() <= limit else stored

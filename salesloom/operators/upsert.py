@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.operators.lineage import materialized
+from salesloom.operators.lineage import broadcast_if_small, materialized
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -80,7 +80,7 @@ def replace_keys_in_table(
     known; otherwise the key columns of the table are searched. Returns the
     partitions rewritten.
     """
-    replaced = materialized(replaced.select(*keys).distinct())
+    replaced = broadcast_if_small(materialized(replaced.select(*keys).distinct()))
     rows = materialized(rows)
     target = spark.read.schema(schema).parquet(path)
     searched = target if within is None else target.where(F.col(partition).isin(list(within)))

@@ -95,3 +95,28 @@ def test_since_prunes_months(spark, tmp_path):
     assert sorted(r.order_id for r in recent.collect()) == [2, 3]
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan
+
+
+def test_key_tables_are_broadcast_only_up_to_a_counted_size(spark, conf):
+    from salesloom.operators.lineage import broadcast_if_small, materialized
+
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    keys, table = materialized(spark.range(10)), spark.range(100)
+    few = table.join(broadcast_if_small(keys), "id", "left_anti")
+    many = table.join(broadcast_if_small(keys, limit=9), "id", "left_anti")
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+    assert few.count() == many.count() == 90
+    distinct = replace_keys(table.toDF("id"), broadcast_if_small(keys), table.limit(0), ["id"])
+    assert "BroadcastHashJoin" in distinct._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_upsert_beyond_the_broadcast_size(spark, tmp_path, monkeypatch):
+    from salesloom.operators import lineage
+    from salesloom.streaming.ingest import upsert_orders
+
+    monkeypatch.setattr(lineage, "BROADCAST_ROWS", 0)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    upsert_orders(warehouse, _orders(spark, [(1, "2024-01-05", "a"), (2, "2024-02-05", "a")]))
+    upsert_orders(warehouse, _orders(spark, [(2, "2024-01-09", "b")]))
+    assert _state(warehouse) == [(1, "a", "2024-01"), (2, "b", "2024-01")]
