@@ -151,10 +151,19 @@ def ratio(numerator: Column, denominator: Column, otherwise: float | None = None
     return F.when(denominator != 0, quotient).otherwise(F.lit(otherwise).cast("double"))
 
 
+def percent(part: Column, whole: Column, digits: int) -> Column:
+    """``part`` of ``whole`` in percent, rounded on decimals; null for a zero whole.
+
+    Sums of money are very wide decimals, and dividing those as they are leaves
+    six digits, which would round twice. At this width ten digits are kept.
+    """
+    part, whole = part.cast("decimal(24,4)"), whole.cast("decimal(24,4)")
+    return F.when(whole != 0, F.round(part * 100 / whole, digits))
+
+
 def change_pct(current: Column, previous: Column, digits: int = 2) -> Column:
-    """Change against a positive previous value in percent, rounded on decimals."""
-    change = (current - previous) / previous * 100
-    return F.when(previous > 0, F.round(change, digits))
+    """Change against a positive previous value in percent."""
+    return F.when(previous > 0, percent(current - previous, previous, digits))
 
 
 # --- dates ----------------------------------------------------------------

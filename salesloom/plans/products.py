@@ -272,9 +272,7 @@ def abc_curve(orders: DataFrame, items: DataFrame, as_of=None, days: int = 90, s
     """
     base = _abc_base(orders, items, P.since_days(F.col("order_date"), as_of, days))
     shares = running_share(base, "revenue", small)
-    share = F.round(
-        F.when(F.col("grand_total") != 0, F.col("cumulative") * 100 / F.col("grand_total").cast("decimal(28,4)")), 1
-    )
+    share = C.percent(F.col("cumulative"), F.col("grand_total"), 1)
     grade = (
         F.when(F.col("cumulative_pct") <= 70, "A").when(F.col("cumulative_pct") <= 90, "B").otherwise("C")
     )

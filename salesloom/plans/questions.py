@@ -106,9 +106,10 @@ _COMBO = ["q_tags", "q_year", "q_month"]
 
 
 def _combos(asked: DataFrame) -> DataFrame:
-    """Distinct filters among the questions. Many questions share one, and their
-    number is bounded by vocabulary and calendar, not by the questions."""
-    return asked.select(*_COMBO).distinct()
+    """Distinct filters among the questions, stored because they are read twice.
+    Many questions share one, and their number is bounded by vocabulary and
+    calendar, not by the questions."""
+    return materialized(asked.select(*_COMBO).distinct())
 
 
 def _as_filters(asked: DataFrame) -> DataFrame:

@@ -80,6 +80,12 @@ def test_ratio_and_change(spark):
     assert values(spark, cases, C.ratio(F.col("n"), F.col("m"), 0.0), ddl) == [0.25, 0.0, 0.0, None]
     pct = values(spark, [(d("1.005"), d(1)), (d(1), d(0)), (d(0), d(3))], C.change_pct(F.col("n"), F.col("m")), ddl)
     assert [None if v is None else float(v) for v in pct] == [0.5, None, -100.0]
+    # 85.1499...% must not become 85.15 first and 85.2 then, also for the widest sums.
+    wide = "n decimal(38,4), m decimal(38,4)"
+    cases = [(d("10795.9761"), d("72700.0464"))]
+    assert values(spark, cases, C.change_pct(F.col("n"), F.col("m"), 1), wide)[0] == d("-85.1")
+    assert values(spark, [(d(1), d(3))], C.percent(F.col("n"), F.col("m"), 2), wide)[0] == d("33.33")
+    assert values(spark, [(d(1), d(0))], C.percent(F.col("n"), F.col("m"), 2), wide)[0] is None
 
 
 def test_category_leaf(spark):
