@@ -132,9 +132,13 @@ def product_pages(products: DataFrame) -> DataFrame:
         created.alias("data_criacao"),
         F.when(has & (key % 4 == 0), described).alias("tags_produto"),
     ]
+    objects = F.transform(
+        described,
+        lambda t: F.struct(t["descricao"].alias("descricao"), t["nome"].alias("nome"), t["idTag"].alias("id")),
+    )
     shapes = [
         F.struct(*body, F.when(has, F.array(brand, F.lit(""), kind)).alias("tags")),
-        F.struct(*body, F.when(has, F.transform(described, lambda t: F.struct(t["descricao"].alias("descricao"), t["nome"].alias("nome"), t["idTag"].alias("id")))).alias("tags")),
+        F.struct(*body, F.when(has, objects).alias("tags")),
         F.struct(*body, F.col("tags")),
     ]
 
