@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
-from salesloom.operators.upsert import insert_new, newest_per_key, upsert
+from salesloom.operators.upsert import distinct_values, insert_new, newest_per_key, upsert
 from salesloom.sources.sinks import with_raw_json
 
 
@@ -121,9 +121,8 @@ def reload_fact_window(warehouse, stg_items, stg_orders, dim_product, as_of=None
 
 def backfill_item_totals(items: DataFrame) -> DataFrame:
     """A line total that is missing or zero becomes quantity times price."""
-    total = F.col("total")
     computed = (C.zero_if_null(F.col("qty")) * C.zero_if_null(F.col("price"))).cast("decimal(18,4)")
-    return items.withColumn("total", F.when(total.isNull() | (total == 0), computed).otherwise(total))
+    return items.withColumn("total", F.when(_lacks_total(), computed).otherwise(F.col("total")))
 
 
 def backfill_order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -131,25 +130,51 @@ def backfill_order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
 
     Only such orders meet the line sums. Lines are summed per order before the join.
     """
-    lacking = F.col("total").isNull() | (F.col("total") == 0)
     sums = items.groupBy("order_id").agg(
         F.sum(C.line_revenue(F.col("total"), F.col("qty"), F.col("price"))).cast("decimal(18,4)").alias("line_sum")
     )
     return (
         orders.join(sums, "order_id", "left")
-        .withColumn("total", F.when(lacking, F.coalesce("line_sum", "total")).otherwise(F.col("total")))
+        .withColumn("total", F.when(_lacks_total(), F.coalesce("line_sum", "total")).otherwise(F.col("total")))
         .select(*orders.columns)
     )
 
 
+def _lacks_total() -> Column:
+    return F.col("total").isNull() | (F.col("total") == 0)
+
+
+def _lacks_channel() -> Column:
+    channel = F.col("channel")
+    return channel.isNull() | (channel == "") | (F.lower(channel) == "null")
+
+
+def label_missing_channels(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("channel", F.when(_lacks_channel(), F.lit(C.NO_CHANNEL)).otherwise(F.col("channel")))
+
+
 def backfill(orders: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Line totals, then order totals, then channel labels; the order matters."""
     fixed_items = backfill_item_totals(items)
-    fixed_orders = backfill_order_totals(orders, fixed_items)
-    channel = F.col("channel")
-    missing = channel.isNull() | (channel == "") | (F.lower(channel) == "null")
-    labelled = fixed_orders.withColumn("channel", F.when(missing, F.lit(C.NO_CHANNEL)).otherwise(channel))
-    return labelled, fixed_items
+    return label_missing_channels(backfill_order_totals(orders, fixed_items)), fixed_items
+
+
+def backfill_tables(warehouse) -> None:
+    """``backfill`` on the stored tables. Only months that lack something are
+    rewritten; lines lie in the month of their order, so a month is enough to
+    total its orders."""
+    items = warehouse.load("order_items")
+    months = distinct_values(items.where(_lacks_total()).select("month"))
+    if months:
+        lacking = items.where(F.col("month").isin(months))
+        warehouse.overwrite_months("order_items", backfill_item_totals(lacking), months)
+    orders = warehouse.load("orders")
+    months = distinct_values(orders.where(_lacks_total() | _lacks_channel()).select("month"))
+    if months:
+        these = F.col("month").isin(months)
+        lines = warehouse.load("order_items").where(these)
+        fixed = label_missing_channels(backfill_order_totals(orders.where(these), lines))
+        warehouse.overwrite_months("orders", fixed, months)
 
 
 def fill_tags(dim_product: DataFrame, categories: DataFrame, batch: int = 500, updated_at=None) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from salesloom.sources import landing
 from salesloom.sources.warehouse import Warehouse
 from salesloom.streaming.ingest import (
-    FIRST_DAY, load_fact_window, ingest_increment, ingest_products, load_increment_batch, not_yet_loaded, stored_high_mark,
+    FIRST_DAY, fill_product_tags, load_fact_window, ingest_increment, ingest_products, load_increment_batch, not_yet_loaded, stored_high_mark,
 )
 from salesloom import schemas
 from tests.conftest import rows_of
@@ -195,3 +195,18 @@ def test_facts_from_pages(spark, tmp_path):
     assert facts() == [(1, 1, 20240305, "A", True, 0.0), (1, 2, 20240305, "Z", False, 0.0)]
     load_fact_window(warehouse, pages, details, "2024-03-10")
     assert len(facts()) == 2 and warehouse.load("stg_order_items").count() == 3
+
+
+def test_tags_from_landed_details(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    entries = [{"produto": {"id": n, "codigo": f"S{n}", "nome": "n", "situacao": "A"}} for n in (1, 2, 3)]
+    land(tmp_path / "pp", "1.json", {"retorno": {"status": "OK", "produtos": entries}})
+    ingest_products(spark, warehouse, str(tmp_path / "pp"))
+    replies = [
+        {"id": "1", "retorno": {"status": "OK", "produto": {"id": 1, "categoria": "A >> B >> "}}},
+        {"id": "2", "retorno": {"status": "OK", "produto": {"id": 2}}},
+        {"id": "3", "retorno": {"status": "Erro"}},
+    ]
+    details = spark.read.schema(schemas.PRODUCT_DETAIL).json(land(tmp_path / "pd", "1.json", *replies))
+    fill_product_tags(warehouse, details)
+    assert sorted(rows_of(warehouse.load("dim_product"), "code", "tags")) == [("S1", "B"), ("S2", ""), ("S3", None)]

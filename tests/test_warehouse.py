@@ -146,3 +146,26 @@ def test_reports_on_stored_tables_read_recent_months_only(spark, tmp_path):
     assert recent[1].select("month").distinct().count() == 4
     # Writes are rebalanced by month: one file per small month, not one per task and month.
     assert all(len(list(folder.glob("part-*"))) == 1 for folder in (tmp_path / "order_items").glob("month=*"))
+
+
+def test_stored_backfill_rewrites_only_lacking_months(spark, tmp_path, make_orders, make_items):
+    from salesloom.sources.warehouse import month_text
+
+    orders = make_orders([
+        (1, "2024-01-05", "a", None, None, 10), (2, "2024-02-05", "null", None, None, None), (3, "2024-03-05", "b", None, None, 0),
+    ])
+    items = make_items([(1, 1, "A", "a", 1, 10, 10), (2, 1, "A", "a", 2, 3, None), (2, 2, "B", "b", 1, 4, 5), (3, 1, "A", "a", 1, 7, 7)])
+    nulls = {c: F.lit(None).cast("string") for c in ("external_id", "order_number", "customer_id", "raw_json", "product_id")}
+    orders = orders.withColumns(nulls).withColumn("month", month_text(F.col("order_date")))
+    items = items.withColumns(nulls).join(orders.select("order_id", "month"), "order_id")
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.overwrite_months("orders", orders, [])
+    warehouse.overwrite_months("order_items", items, [])
+    january = {t: set((tmp_path / t / "month=2024-01").iterdir()) for t in ("orders", "order_items")}
+    for _ in range(2):
+        maintain.backfill_tables(warehouse)
+        assert sorted(rows_of(warehouse.load("orders"), "order_id", "channel", "total")) == [
+            (1, "a", 10.0), (2, "(sem canal)", 11.0), (3, "b", 7.0),
+        ]
+        assert sorted(rows_of(warehouse.load("order_items"), "order_id", "item_seq", "total"))[1:3] == [(2, 1, 6.0), (2, 2, 5.0)]
+    assert all(set((tmp_path / t / "month=2024-01").iterdir()) == files for t, files in january.items())
