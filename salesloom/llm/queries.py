@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import mixing, url_filter
+from salesloom.llm import html_text, langid, mixing, packing, quality, url_filter
 from salesloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,11 +26,40 @@ def query(function):
     return function
 
 
+def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the installed package, read on the driver and shipped to the tasks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+@query
+def op1_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_json(), with_ids=False)
+
+
+@query
+def op2_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge_quality(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept", "log_perplexity")
+
+
 @query
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op8_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
