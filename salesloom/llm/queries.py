@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import html_text, langid, mixing, packing, quality, url_filter
+from salesloom.llm import html_text, jaccard_join, langid, mixing, packing, quality, url_filter
 from salesloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,11 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{action}')" for host, path, action in URL_RULES)
 
 ORACLE["op3_url_filters"] = rf"""
@@ -124,3 +129,35 @@ SELECT doc_id, size, source_size, target,
     CASE WHEN size = 0 THEN 0 ELSE CAST(least(floor(off + (place + 1) * rate) - floor(off + place * rate), 3) AS BIGINT) * size END AS taken
 FROM drawn
 """
+
+ORACLE["op10_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 OR w IS NULL THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s
+    FROM words
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+    WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)
+),
+reached(node, root) AS (
+    SELECT a, a FROM links
+    UNION
+    SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.node
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+    LEFT JOIN (SELECT node, min(root) AS root FROM reached GROUP BY node) r ON r.node = d.doc_id
+"""
