@@ -15,14 +15,15 @@ Defined cases: null or empty text is the end id alone; a null ``doc_id`` is carr
 that repeat are packed each; an empty table gives no rows; other columns are not read.
 Texts are tokenized whole. Splitting a text before a space that is followed by something
 else than white space never crosses a token of a byte-level vocabulary whose pattern
-joins one leading space to a word, so ids of such segments are kept in a table of at most
-``MAX_KNOWN`` entries a worker.
+joins one leading space to a word, so ids of words are kept in tables of about
+``MAX_KNOWN`` entries a worker. Special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,40 +36,74 @@ from salesloom.llm.common import stored
 
 SEQ_LEN = 2048
 END_ID = 1
-MAX_KNOWN = 300_000
+MAX_KNOWN = 250_000
+SLICE_ROWS = 500
 SEGMENT = re.compile(r"(?= \S)")
 AWKWARD = re.compile(r" (?:\s|\Z)")
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, slot int, ordinal long"
 
 
-def segments(text: str) -> list[str]:
-    if AWKWARD.search(text):
-        return SEGMENT.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + word for word in rest]]
+TAILED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
 
-def segment_encoder(tokenizer_json: str) -> Callable[[list[str]], Iterator[np.ndarray]]:
-    """Encodes texts into uint32 ids; remembers segments it has met."""
+class Remembered(dict):
+    """A bounded table in two generations: what is asked for again survives."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= MAX_KNOWN:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable bytes
+    for themselves, the others from 256 on in their order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + place) for place, byte in enumerate(others)}
+
+
+def text_encoder(tokenizer_json: str) -> Callable[[str], np.ndarray]:
+    """Encodes a text into uint32 ids; remembers words and parts of words it has met.
+
+    Parts are what the tokenizer's first step makes of a segment. For a space with a run of
+    letters, and marks after it, they are known without asking.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
-    tokenizer.encode_special_tokens = True
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    known: dict[str, bytes] = {}
-
-    def encode(texts: list[str]) -> Iterator[np.ndarray]:
-        for text in texts:
-            parts = segments(text)
-            new = [part for part in set(parts) if part not in known]
-            if new:
-                if len(known) + len(new) > MAX_KNOWN:
-                    known.clear()
-                    new = list(set(parts))
-                for part, coded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                    known[part] = np.array(coded.ids, dtype="<u4").tobytes()
-            yield np.frombuffer(b"".join(map(known.__getitem__, parts)), dtype="<u4")
+    split, model, letters = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model, byte_letters()
+    parts = Remembered(lambda part: array("I", [token.id for token in model.tokenize(part)]).tobytes())
+
+    def encode_segment(segment: str) -> bytes:
+        return b"".join([parts[part] for part, _ in split(segment)])
+
+    def encode_word(word: str) -> bytes:
+        if word.isalpha():
+            return parts[(" " + word).encode().decode("latin-1").translate(letters)]
+        tailed = TAILED.fullmatch(word)
+        if tailed and tailed[1].isalpha():
+            return parts[(" " + tailed[1]).encode().decode("latin-1").translate(letters)] + parts[tailed[2]]
+        return encode_segment(" " + word)
+
+    words = Remembered(encode_word)
+
+    def encode(text: str) -> np.ndarray:
+        if AWKWARD.search(text):
+            coded = b"".join(map(encode_segment, SEGMENT.split(text)))
+        else:
+            first, *rest = text.split(" ")
+            coded = encode_segment(first) + b"".join([words[word] for word in rest])
+        return np.frombuffer(coded, dtype="<u4")
 
     return encode
 
@@ -86,13 +121,12 @@ def cut_pieces(docs: DataFrame, tokenizer_json: str, seq_len: int, end_id: int,
     schema = f"doc_id {id_type.simpleString()}, {PIECES}" + (", ids array<int>" if with_ids else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = segment_encoder(shared.value)
+        encode = text_encoder(shared.value)
         slot, numbered = TaskContext.get().partitionId(), dict.fromkeys(piece_lengths(2 * seq_len - 1, seq_len), 0)
-        for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
+        for batch in (whole.slice(k, SLICE_ROWS) for whole in batches for k in range(0, whole.num_rows, SLICE_ROWS)):
             rows, starts, lengths, crcs, totals, ordinals, ids = [], [], [], [], [], [], []
-            for row, coded in enumerate(encode(texts)):
-                whole = np.append(coded, np.uint32(end_id)).astype("<u4")
+            for row, text in enumerate(batch.column("text")):
+                whole = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 at = 0
                 for length in piece_lengths(len(whole), seq_len):
                     piece = whole[at : at + length]
@@ -103,7 +137,8 @@ def cut_pieces(docs: DataFrame, tokenizer_json: str, seq_len: int, end_id: int,
                     totals.append(len(whole))
                     ordinals.append(numbered[length])
                     numbered[length] += 1
-                    ids.append(piece.astype("i4"))
+                    if with_ids:
+                        ids.append(piece.astype("i4"))
                     at += length
             columns = [
                 batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()),
