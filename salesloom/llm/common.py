@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +59,12 @@ def discard(*frames: DataFrame) -> None:
             jvm = df.sparkSession.sparkContext._jvm
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
+    cuts = np.flatnonzero(np.diff(part, prepend=-1)) if len(part) else []
+    for begin, end in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+        yield batch.slice(int(begin), int(end - begin))

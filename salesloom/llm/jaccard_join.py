@@ -16,8 +16,8 @@ bound on the difference from 512-bit parity sketches (a differing element flips
 before their shingle sets, read again from the whole texts, are intersected.
 
 Signatures travel as packed numbers, 8 bytes each, to the task of their bucket, which
-sorts them and keeps those of two documents or more. A signature that many documents of
-one Arrow batch share is resolved there, and only its smallest document goes on.
+sorts them and keeps those of two documents or more. A signature that several documents of
+one slice of an Arrow batch share is resolved there, and only its smallest document goes on.
 
 Words and shingles are compared as 64-bit hashes. Defined cases: null, empty or blank
 text has no shingles and links with nothing; fewer than five words make one shingle of the
@@ -36,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import partitions, stored
+from salesloom.llm.common import partitions, slices, stored
 from salesloom.llm.components import components
 
 WIDTH = 5
 SKETCH_WORDS = 8
 CHUNK_BYTES = 1 << 21
-#: Documents of one batch from which a shared signature is resolved in the batch.
+#: Documents of one slice of a batch from which a shared signature is resolved there.
 SHARED = 4
 U = np.uint64
 
@@ -175,7 +175,7 @@ def describe(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             sets = shingle_sets(batch.column("text").to_pylist())
             hashes = np.zeros((len(sets), 2), np.uint64)
             words = np.zeros((len(sets), SKETCH_WORDS), np.uint64)
@@ -198,8 +198,7 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1 << 15):
-                part = batch.slice(begin, 1 << 15)
+            for part in slices(batch, "text"):
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
                 sets = shingle_sets(part.column("text").to_pylist())
                 # Copies within the batch have the same signatures: the smallest stands for them.
@@ -280,7 +279,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             sets = shingle_sets(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "elements"])
 

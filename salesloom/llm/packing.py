@@ -32,12 +32,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import stored
+from salesloom.llm.common import slices, stored
 
 SEQ_LEN = 2048
 END_ID = 1
 MAX_KNOWN = 250_000
-SLICE_ROWS = 500
 SEGMENT = re.compile(r"(?= \S)")
 AWKWARD = re.compile(r" (?:\s|\Z)")
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, slot int, ordinal long"
@@ -123,7 +122,7 @@ def cut_pieces(docs: DataFrame, tokenizer_json: str, seq_len: int, end_id: int,
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = text_encoder(shared.value)
         slot, numbered = TaskContext.get().partitionId(), dict.fromkeys(piece_lengths(2 * seq_len - 1, seq_len), 0)
-        for batch in (whole.slice(k, SLICE_ROWS) for whole in batches for k in range(0, whole.num_rows, SLICE_ROWS)):
+        for batch in (part for held in batches for part in slices(held, "text")):
             rows, starts, lengths, crcs, totals, ordinals, ids = [], [], [], [], [], [], []
             for row, text in enumerate(batch.column("text")):
                 whole = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")

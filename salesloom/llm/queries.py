@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import html_text, jaccard_join, langid, mixing, packing, quality, url_filter
+from salesloom.llm import embedding_dedup, html_text, jaccard_join, langid, mixing, packing, quality, url_filter
 from salesloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op4_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
@@ -161,3 +166,25 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(r.root, d.doc_id) AS c
 FROM documents d LEFT JOIN sizes s USING (doc_id)
     LEFT JOIN (SELECT node, min(root) AS root FROM reached GROUP BY node) r ON r.node = d.doc_id
 """
+
+ORACLE["op4_embedding_tiles"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, v, sqrt(list_sum([x * x FOR x IN v])) AS norm
+    FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL)
+    WHERE list_sum([x * x FOR x IN v]) > 0 AND len([x FOR x IN v IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+links AS (
+    SELECT p.vec_id AS a, q.vec_id AS b
+    FROM usable p JOIN usable q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.v) = len(q.v)
+    WHERE list_dot_product(p.v, q.v) / (p.norm * q.norm) >= 0.98
+),
+reached(node, root) AS (
+    SELECT a, a FROM links
+    UNION
+    SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.node
+),
+roots AS (SELECT node, min(root) AS root FROM reached GROUP BY node),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(root, e.vec_id) AS component_id, coalesce(root, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN counted ON a = e.vec_id LEFT JOIN roots ON node = e.vec_id
+"""
