@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import embedding_dedup, html_text, jaccard_join, langid, mixing, packing, pii, quality, url_filter
+from salesloom.llm import embedding_dedup, html_text, jaccard_join, langid, mixing, packing, pii, quality, recurrent_lm, url_filter
 from salesloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ def op4_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_components(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op5_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
