@@ -163,12 +163,17 @@ def accepted_values(searched: DataFrame, text: Column, accept: float = ACCEPT, r
     return scores.where(~F.col("is_seed") & (F.col("score") >= accept)).select("kind", "value")
 
 
-def find_spans(docs: DataFrame, keep: Sequence[str] = ("doc_id",), accept: float = ACCEPT, rounds: int = ROUNDS) -> DataFrame:
-    """``keep`` columns with ``_seeds`` and ``_spans``: the fixed rules' spans, and all."""
+def find_spans(
+    docs: DataFrame, keep: Sequence[str] = ("doc_id",), accept: float = ACCEPT, rounds: int = ROUNDS, with_text: bool = False
+) -> DataFrame:
+    """``keep`` columns (and ``_text``, the searched text) with ``_seeds`` and ``_spans``:
+    the fixed rules' spans, and all."""
+    keep = list(keep)
     source = docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
     seeded = source.withColumn("_row", F.monotonically_increasing_id()).withColumn("_seeds", seed_spans(F.col("_text")))
     # Rows are numbered and searched once; later reads see the same numbers.
     searched = stored(seeded.withColumn("_candidates", candidate_spans(F.col("_text"), F.col("_seeds"))))
+    keep += ["_text"] if with_text else []
     base = searched.select(*keep, "_row", "_seeds")
     met = searched.where(F.size("_candidates") > 0)
     if met.isEmpty():
