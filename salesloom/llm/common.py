@@ -65,6 +65,6 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
     """Parts of a batch with about ``most`` bytes of text, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
-    cuts = np.flatnonzero(np.diff(part, prepend=-1)) if len(part) else []
-    for begin, end in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    for begin, end in zip(cuts, np.append(cuts, batch.num_rows)[1:], strict=True):
         yield batch.slice(int(begin), int(end - begin))

@@ -227,8 +227,8 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
                 packed = ((sigs & low) << U(16)) | rows.astype(np.uint64)
                 sort = np.argsort(bucket, kind="stable")
                 bucket, packed = bucket[sort], packed[sort]
-                cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-                for at, end in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+                cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+                for at, end in zip(cuts, np.append(cuts, len(bucket))[1:], strict=True):
                     own = packed[at:end]
                     used, place = np.unique(own & U(0xFFFF), return_inverse=True)
                     body = np.concatenate([U([len(used)]), ids[used.astype(np.int64)].view(np.uint64), (own & ~U(0xFFFF)) | place.astype(np.uint64)])
