@@ -193,14 +193,15 @@ def _sales_reports() -> dict[str, str]:
             FROM li GROUP BY 1, 2)
           WHERE previous > 0 ORDER BY delta ASC NULLS LAST, sku NULLS LAST, product_name NULLS LAST LIMIT 50"""),
         "falling_products_approved": _sql("li", "sku:s product_name:s previous:d revenue:d change:d", f"""
-          WITH cur AS (SELECT sku, product_name, sum(total) AS revenue FROM li
-              WHERE {RECENT}30 AND order_date < {DAY} AND {APPROVED} GROUP BY 1, 2),
-            prev AS (SELECT sku, sum(total) AS previous FROM li
-              WHERE {RECENT}60 AND order_date < {DAY} - 30 AND {APPROVED} GROUP BY 1)
-          SELECT *, {_ratio('(revenue - previous)', 'previous')} AS change FROM (
-            SELECT cur.sku, product_name, coalesce(previous,0) AS previous, coalesce(revenue,0) AS revenue
-            FROM cur LEFT JOIN prev ON prev.sku = cur.sku)
-          WHERE revenue < previous ORDER BY change NULLS LAST, previous DESC, sku, product_name NULLS LAST LIMIT 20"""),
+          SELECT sku, product_name, previous, revenue, {_ratio('(revenue - previous)', 'previous')} AS change FROM (
+            SELECT sku, product_name, count(*) FILTER (WHERE is_new) AS sold,
+              coalesce(sum(total) FILTER (WHERE is_new), 0) AS revenue,
+              sum(sum(total) FILTER (WHERE NOT is_new)) OVER (PARTITION BY sku) AS previous
+            FROM (SELECT *, order_date >= {DAY} - 30 AS is_new FROM li
+              WHERE {RECENT}60 AND order_date < {DAY} AND {APPROVED})
+            GROUP BY sku, product_name)
+          WHERE sku IS NOT NULL AND sold > 0 AND revenue < previous
+          ORDER BY change NULLS LAST, previous DESC, sku, product_name NULLS LAST LIMIT 20"""),
         "product_drops": _sql("li", drop_cols, drops_of(p30, "0.3")),
         "product_drops_half_year": _sql("li", drop_cols, drops_of(p180, "0.5")),
         "sku_totals": _sql("li", "code:s description:s lines:b previous_lines:b qty:d revenue:d previous:d", p30),
@@ -344,6 +345,11 @@ def _question_reports() -> dict[str, str]:
             CASE WHEN uses_data THEN coalesce(a.lines, 0) END AS lines
           FROM q LEFT JOIN a ON q.uses_data AND a.tag_set = q.tag_set AND a.year IS NOT DISTINCT FROM q.year
             AND a.month IS NOT DISTINCT FROM q.month"""),
+        "question_all_lines": _sql("e", "question_id:b lines:b revenue:d", f"""
+          WITH q AS (SELECT * FROM ({read}) WHERE uses_data AND NOT wants_totals)
+          SELECT question_id, count(*) AS lines, sum(total) AS revenue
+          FROM q JOIN e ON (len(tag_set) = 0 OR len(list_filter(tag_set, lambda x: contains(lower(e.tags), x))) > 0)
+            AND (q.year IS NULL OR year(e.day) = q.year) AND (q.month IS NULL OR month(e.day) = q.month) GROUP BY 1"""),
         "question_lines": _sql("e", "question_id:b position:b day:s product:s line_tags:s qty:d revenue:d", f"""
           WITH q AS (SELECT * FROM ({read}) WHERE uses_data AND NOT wants_totals),
             asked AS (SELECT DISTINCT tag_set, year, month FROM q),
@@ -403,9 +409,19 @@ def _sources() -> dict[str, str]:
             {dirty_day} AS order_date, nullif(channel,'') AS channel, customer_id, customer_name, status,
             CASE WHEN order_id%3=0 THEN total ELSE nullif(total, 0) END AS total
           FROM o WHERE order_id%83<>0 AND order_id<>0"""),
-        "landed_order_amounts": _sql("o", "order_id:b ordered_at:s total_amount:d", f"""
+        "landed_order_amounts": _sql("o", "order_id:b ordered_at:s products_amount:d discount_amount:d freight_amount:d total_amount:d", f"""
           SELECT order_id, strftime(CASE WHEN order_id%4<>3 THEN {dirty_day} END + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS ordered_at,
+            CASE WHEN order_id%5<>0 THEN total END AS products_amount, CASE WHEN order_id%6=0 THEN 1.5 END AS discount_amount,
+            CASE WHEN order_id%4<>0 THEN 12.25 END AS freight_amount,
             CASE WHEN order_id%3=0 THEN total END AS total_amount FROM o WHERE order_id%83<>0"""),
+        "stored_orders_upserted": _sql("o", "order_id:b status:s total:d month:s", f"""
+          SELECT order_id, CASE WHEN NOT ({RECENT}60) THEN status WHEN {APPROVED} THEN 'Entregue' ELSE 'Em aberto' END AS status,
+            CASE WHEN order_id%3=0 THEN total ELSE nullif(total, 0) END AS total, coalesce(strftime({dirty_day}, '%Y-%m'), 'none') AS month
+          FROM o WHERE order_id%83<>0 AND order_id<>0"""),
+        "stored_page_rejects": _sql("o", "reason:s pages:b", """
+          SELECT 'limite de acessos' AS reason, 1 AS pages WHERE EXISTS (SELECT 1 FROM o WHERE order_id%83=0)"""),
+        "orders_as_csv": _sql("o", "order_id:b order_date:s customer_name:s status:s total:d",
+            "SELECT order_id, order_date, customer_name, status, total FROM o"),
         "staged_orders": _sql("o", "order_id:b order_number:s order_date_text:s status:s customer_name:s seller:s total:d", """
           SELECT order_id, CASE WHEN order_id%5<>0 THEN order_number END AS order_number,
             CASE WHEN order_id%4 IN (0, 3) THEN
@@ -436,8 +452,11 @@ def _sources() -> dict[str, str]:
               ELSE tags END AS tags FROM p"""),
         "product_category_tags": _sql("p", "id_src:b tag:s", """
           SELECT id AS id_src, CASE WHEN abs(id)%6 IN (0, 2) THEN '' ELSE location END AS tag FROM p WHERE abs(id)%31<>0"""),
-        "rows_as_json": _sql("o", "order_id:b json_order_id:s json_order_number:s json_status:s json_channel:s", """
-          SELECT order_id, order_id AS json_order_id, order_number AS json_order_number, status AS json_status, channel AS json_channel FROM o"""),
+        "rows_as_json": _sql("o", "order_id:b " + " ".join(f"json_{c}:s" for c in (
+            "order_id external_id order_number order_date channel customer_id customer_name status").split()) + " json_total:d", """
+          SELECT order_id, order_id AS json_order_id, external_id AS json_external_id, order_number AS json_order_number,
+            order_date AS json_order_date, channel AS json_channel, customer_id AS json_customer_id,
+            customer_name AS json_customer_name, status AS json_status, total AS json_total FROM o"""),
     }
 
 
@@ -472,7 +491,7 @@ def _cleansing() -> dict[str, str]:
             count(*) FILTER (WHERE year(order_date) = 2000) AS year_2000,
             count(*) FILTER (WHERE year(order_date) = 2000 AND month(order_date) = 5) AS may_2000,
             count(*) FILTER (WHERE month(order_date) = 5) AS any_may FROM o"""),
-        "tag_queue": _sql("d", "id_src:b code:s name:s", "SELECT * FROM d WHERE tags IS NULL AND status = 'A' ORDER BY id_src, code LIMIT 500"),
+        "tag_queue": _sql("d", "id_src:b code:s name:s", "SELECT * FROM d WHERE tags IS NULL AND status = 'A'"),
         "product_search_contains": _sql("p", "id:b sku:s product_name:s", f"""
           SELECT id, sku, {search} AS product_name FROM p WHERE contains(strip_accents(lower({search} || ' ' || sku)), 'widg')"""),
         "product_search_word": _sql("p", "id:b sku:s product_name:s", f"""
@@ -510,7 +529,8 @@ def _maintenance() -> dict[str, str]:
         "dimension_products": _sql("p", dim, dim_row.format(stamp=AS_OF, tags="tags", where="")),
         "dimension_upsert": _sql("p", dim, f"""
           WITH c AS ({dim_row.format(stamp=AS_OF, tags="tags", where="WHERE status = 'A'")})
-          SELECT * FROM c UNION ALL SELECT * FROM ({dim_row.format(stamp="2001-01-01", tags="'x'", where="WHERE status = 'I'")})
+          SELECT * REPLACE (coalesce(tags, CASE WHEN code IN (SELECT sku FROM p WHERE status = 'I') THEN 'x' END) AS tags)
+          FROM c UNION ALL SELECT * FROM ({dim_row.format(stamp="2001-01-01", tags="'x'", where="WHERE status = 'I'")})
           WHERE code NOT IN (SELECT code FROM c)"""),
         "orders_upserted": _sql("o", f"{order_cols} version:b", f"""
           SELECT * REPLACE (CASE WHEN {recent60} THEN CASE WHEN {APPROVED} THEN 'Entregue' ELSE 'Em aberto' END ELSE status END AS status),
@@ -529,7 +549,7 @@ def _maintenance() -> dict[str, str]:
           FROM o LEFT JOIN (SELECT order_id, sum({fixed}) AS s FROM i GROUP BY 1) USING (order_id)"""),
         "backfilled_items": _sql("i", "order_id:b item_seq:b sku:s total:d", f"SELECT * REPLACE ({fixed} AS total) FROM i"),
         "tags_filled": _sql("d", "code:s tags:s updated_at:s", f"""
-          WITH queue AS (SELECT id_src, code FROM d WHERE tags IS NULL AND status = 'A' ORDER BY id_src, code LIMIT 500),
+          WITH queue AS (SELECT id_src, code FROM d WHERE tags IS NULL AND status = 'A'),
             found AS (SELECT d.code, CASE WHEN abs(id_src)%6 IN (0, 2) THEN '' ELSE location END AS tag
               FROM d WHERE code IN (SELECT code FROM queue) AND abs(id_src)%31<>0)
           SELECT d.code, coalesce(found.tag, d.tags) AS tags,

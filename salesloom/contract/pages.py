@@ -57,6 +57,9 @@ def order_pages(orders: DataFrame) -> DataFrame:
         "origem": _pick(key, 1, 2, F.col("channel")),
         "situacao": F.when(key % 3 != 0, F.col("status")).otherwise(""),
         "status": F.col("status"),
+        "valor_produtos": F.when(key % 5 != 0, amount),
+        "valor_desconto": F.when(key % 6 == 0, "1.5").otherwise(""),
+        "valor_frete": F.when(key % 4 == 0, "n/d").otherwise("12.25"),
         "valor_total": _pick(key, 0, 3, amount),
         "valor": _pick(key, 1, 3, amount),
         "total_pedido": F.when(key % 3 != 0, amount),

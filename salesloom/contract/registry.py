@@ -19,8 +19,9 @@ from salesloom.operators.upsert import duplicate_keys, replace_keys, upsert
 from salesloom.plans import channels, customers, dataset, maintain, products, quality, questions, sales, search
 from salesloom.plans.lines import sales_enriched, sales_rollup, sold_lines
 from salesloom.sources import landing
-from salesloom.sources.sinks import with_raw_json
+from salesloom.sources.sinks import with_raw_json, write_csv
 from salesloom.sources.warehouse import Warehouse, add_missing_columns
+from salesloom.streaming.ingest import apply_order_pages
 
 START, END, TAG = "2000-07-01", "2001-07-31", "promo"
 VOCABULARY = ("economy", "small", "medium", "promo", "brand#2", "brand#11")
@@ -95,7 +96,7 @@ def product_ranking(s: Shop) -> DataFrame:
 @query
 def product_ranking_sliced(s: Shop) -> DataFrame:
     """The ranking by sorted slices, over all days."""
-    return products.product_ranking(s.orders, s.order_items, AS_OF, days=20000, small=0)
+    return products.product_ranking(s.orders, s.order_items, AS_OF, days=20000)
 
 
 @query
@@ -158,38 +159,38 @@ def top_customers_approved(s: Shop) -> DataFrame:
     return customers.top_customers_approved(s.orders, AS_OF)
 
 
-def _rollup(s: Shop) -> DataFrame:
-    return sales_rollup(s.orders, s.order_items, s.dim_product)
+def _enriched(s: Shop) -> DataFrame:
+    return sales_enriched(s.orders, s.order_items, s.dim_product)
 
 
 @query
 def period_summary(s: Shop) -> DataFrame:
-    return sales.period_summary(_rollup(s), START, END)
+    return sales.period_summary(_enriched(s), START, END)
 
 
 @query
 def period_summary_by_tag(s: Shop) -> DataFrame:
-    return sales.period_summary(_rollup(s), START, END, TAG)
+    return sales.period_summary(_enriched(s), START, END, TAG)
 
 
 @query
 def top_products_in_period(s: Shop) -> DataFrame:
-    return sales.top_products_in_period(_rollup(s), START, END)
+    return sales.top_products_in_period(_enriched(s), START, END)
 
 
 @query
 def top_products_in_period_by_tag(s: Shop) -> DataFrame:
-    return sales.top_products_in_period(_rollup(s), START, END, TAG, 25)
+    return sales.top_products_in_period(_enriched(s), START, END, TAG, 25)
 
 
 @query
 def monthly_sales(s: Shop) -> DataFrame:
-    return sales.monthly_sales(_rollup(s), START, END)
+    return sales.monthly_sales(_enriched(s), START, END)
 
 
 @query
 def monthly_sales_by_tag(s: Shop) -> DataFrame:
-    return sales.monthly_sales(_rollup(s), START, END, TAG)
+    return sales.monthly_sales(_enriched(s), START, END, TAG)
 
 
 @query
@@ -199,7 +200,7 @@ def tag_list(s: Shop) -> DataFrame:
 
 @query
 def sales_question_totals(s: Shop) -> DataFrame:
-    return questions.sales_question(_rollup(s), ["economy", "brand#2"], 2000, 5)
+    return questions.sales_question(_enriched(s), ["economy", "brand#2"], 2000, 5)
 
 
 @query
@@ -232,13 +233,20 @@ def questions_read(s: Shop) -> DataFrame:
 
 @query
 def questions_answered(s: Shop) -> DataFrame:
-    return questions.answer_questions(_question_texts(s), _rollup(s), VOCABULARY)
+    return questions.answer_questions(_question_texts(s), _enriched(s), VOCABULARY)
 
 
 @query
 def question_lines(s: Shop) -> DataFrame:
     enriched = sales_enriched(s.orders, s.order_items, s.dim_product)
-    return questions.question_lines(_question_texts(s), enriched, VOCABULARY)
+    return questions.question_lines(_question_texts(s), enriched, VOCABULARY, limit=10)
+
+
+@query
+def question_all_lines(s: Shop) -> DataFrame:
+    """How many lines, and for how much, each question that asks for lines gets."""
+    lines = questions.question_lines(_question_texts(s), _enriched(s), VOCABULARY)
+    return lines.groupBy("question_id").agg(F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue"))
 
 
 @query
@@ -249,7 +257,7 @@ def abc_curve(s: Shop) -> DataFrame:
 @query
 def abc_curve_sliced(s: Shop) -> DataFrame:
     """The curve by sorted slices, over all days."""
-    return products.abc_curve(s.orders, s.order_items, AS_OF, days=20000, small=0)
+    return products.abc_curve(s.orders, s.order_items, AS_OF, days=20000)
 
 
 @query
@@ -407,7 +415,7 @@ def newest_rows(s: Shop) -> DataFrame:
 
 @query
 def tag_coverage(s: Shop) -> DataFrame:
-    enriched = _rollup(s).agg(F.sum("lines").alias("enriched_rows"))
+    enriched = _enriched(s).agg(F.count(F.lit(1)).alias("enriched_rows"))
     return quality.tag_coverage(s.dim_product, enriched)
 
 
@@ -428,7 +436,7 @@ def landed_order_pages(s: Shop) -> DataFrame:
 @query
 def landed_order_amounts(s: Shop) -> DataFrame:
     ok, _ = landing.split_ok_rejects(pages.order_pages(s.orders))
-    return landing.order_amounts(ok).select("order_id", "ordered_at", "total_amount")
+    return landing.order_amounts(ok)
 
 
 @query
@@ -470,9 +478,10 @@ def product_category_tags(s: Shop) -> DataFrame:
 
 @query
 def rows_as_json(s: Shop) -> DataFrame:
-    rows = with_raw_json(s.orders.select("order_id", "order_number", "status", "channel"))
-    fields = ["order_id", "order_number", "status", "channel"]
-    return rows.select("order_id", *[F.get_json_object("raw_json", f"$.{f}").alias(f"json_{f}") for f in fields])
+    rows = with_raw_json(s.orders)
+    fields = {f: F.get_json_object("raw_json", f"$.{f}") for f in s.orders.columns}
+    fields["total"] = fields["total"].cast("double")  # JSON numbers have no fixed scale
+    return rows.select("order_id", *[field.alias(f"json_{f}") for f, field in fields.items()])
 
 
 # --- cleansing and filters ------------------------------------------------------
@@ -603,11 +612,10 @@ def product_search_exact(s: Shop) -> DataFrame:
 
 @query
 def record_search(s: Shop) -> DataFrame:
-    clients = s.given("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     records = {
-        "order": s.orders.select(F.col("order_id").alias("id"), "customer_name", "status"),
-        "customer": clients,
-        "product": s.products.select("id", "sku", F.col("product_name").alias("name")),
+        "order": s.orders.withColumnRenamed("order_id", "id"),
+        "customer": s.given("customer").withColumnRenamed("c_custkey", "id"),
+        "product": s.products,
     }
     found = search.record_search(records, "customer#00000001")
     return found.select("kind", F.get_json_object("record", "$.id").alias("id"))
@@ -630,7 +638,7 @@ def order_lines(s: Shop) -> DataFrame:
 def order_running_share(s: Shop) -> DataFrame:
     """Running share over customers with many tied values, by sorted slices."""
     counts = s.orders.groupBy("customer_id").agg(F.count(F.lit(1)).cast(MONEY).alias("orders"))
-    return running_share(counts, "orders", small=0)
+    return running_share(counts, "orders")
 
 
 @query
@@ -668,6 +676,41 @@ def orders_upserted(s: Shop) -> DataFrame:
     return upsert(stored, first.unionByName(second), ["order_id"], ["version"])
 
 
+def _scratch(s: Shop, name: str) -> Warehouse:
+    return Warehouse(s.spark, f"{ensure_checkpoint_dir(s.spark)}/{name}-{uuid.uuid4().hex}")
+
+
+def _stored_increments(s: Shop) -> Warehouse:
+    """A warehouse after two batches of pages; the second holds two versions of each recent order."""
+    shop = _scratch(s, "increments")
+    recent = s.orders.where(P.since_days(F.col("order_date"), AS_OF, 60))
+    opened = recent.withColumn("status", F.lit("Em aberto"))
+    sent = recent.where(P.status_has(F.col("status"))).withColumn("status", F.lit("Entregue"))
+    apply_order_pages(shop, pages.order_pages(s.orders))
+    apply_order_pages(shop, pages.order_pages(opened).unionByName(pages.order_pages(sent)))
+    return shop
+
+
+@query
+def stored_orders_upserted(s: Shop) -> DataFrame:
+    return _stored_increments(s).load("orders").select("order_id", "status", "total", "month")
+
+
+@query
+def stored_page_rejects(s: Shop) -> DataFrame:
+    rejects = _stored_increments(s).load("rejected_pages")
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query
+def orders_as_csv(s: Shop) -> DataFrame:
+    """Orders written as CSV and read back."""
+    path = f"{ensure_checkpoint_dir(s.spark)}/csv-{uuid.uuid4().hex}"
+    columns = s.orders.select("order_id", "order_date", "customer_name", "status", "total")
+    write_csv(columns, path)
+    return s.spark.read.option("header", True).option("multiLine", True).schema(columns.schema).csv(path)
+
+
 @query
 def order_lines_replaced(s: Shop) -> DataFrame:
     """Lines of recent orders replaced; orders in part approval come back empty."""

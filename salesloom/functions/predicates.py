@@ -72,10 +72,10 @@ def has_tags(tags: Column) -> Column:
     return tags.isNotNull() & (tags != "")
 
 
-def awaits_tags(dim: DataFrame, size: int = 500) -> DataFrame:
-    """Next batch of active products that were never given a tag."""
+def awaits_tags(dim: DataFrame) -> DataFrame:
+    """All active products that were never given a tag."""
     waiting = dim.where(F.col("id_src").isNotNull() & F.col("tags").isNull() & is_active(F.col("status")))
-    return waiting.select("id_src", "code", "name").orderBy("id_src", "code").limit(size)
+    return waiting.select("id_src", "code", "name")
 
 
 def matches(text: Column, term: str | None, mode: str = "contains") -> Column:

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from salesloom.operators.lineage import materialized
 
-# Up to this many (measured) rows a single-partition window is the cheaper plan.
-SMALL = 100_000
 SUM_TYPE = "decimal(38,4)"
 
 
@@ -37,14 +35,9 @@ def _slice_offsets(sliced: DataFrame, amounts: dict[str, Column]) -> DataFrame:
     )
 
 
-def numbered(
-    df: DataFrame, name: str, order: Sequence[Column], small: int = SMALL, slices: int | None = None
-) -> DataFrame:
+def numbered(df: DataFrame, name: str, order: Sequence[Column], slices: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY ...)``. ``order`` must identify a row."""
-    base = materialized(df)
-    if base.count() <= small:
-        return base.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    sliced = _sliced(base, order, slices)
+    sliced = _sliced(df, order, slices)
     offsets = _slice_offsets(sliced, {"_before": F.count(F.lit(1))})
     inside = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
     # One row per slice, so the broadcast side is bounded by the partition count.
@@ -52,9 +45,7 @@ def numbered(
     return joined.withColumn(name, F.col("_before") + inside).drop("_slice", "_before")
 
 
-def running_share(
-    df: DataFrame, value: str, small: int = SMALL, slices: int | None = None
-) -> DataFrame:
+def running_share(df: DataFrame, value: str, slices: int | None = None) -> DataFrame:
     """Adds ``cumulative``: the sum of ``value`` over all rows with at least this
     row's value (ties share it), and ``grand_total``. Null values come last.
 
@@ -63,13 +54,6 @@ def running_share(
     execution can split when one value is that common.
     """
     base = materialized(df)
-    if base.count() <= small:
-        order = Window.orderBy(F.col(value).desc_nulls_last())
-        return base.select(
-            "*",
-            F.sum(value).over(order).cast(SUM_TYPE).alias("cumulative"),
-            F.sum(value).over(Window.partitionBy()).cast(SUM_TYPE).alias("grand_total"),
-        )
     values = base.where(F.col(value).isNotNull()).groupBy(value).agg(F.sum(value).alias("_held"))
     order = F.col(value).desc()
     sliced = _sliced(values, [order], slices)

@@ -33,6 +33,16 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) ->
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
+def one_of_each(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``newest_per_key`` without an order, for tables whose keys hardly ever repeat:
+    keys are counted by hash, and only the rows of repeated ones are compared."""
+    known = df.where(~_any_null(keys))
+    repeated = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(*keys)
+    single = known.join(repeated, list(keys), "left_anti").select(*df.columns)
+    several = known.join(repeated, list(keys), "left_semi").select(*df.columns)
+    return single.unionByName(newest_per_key(several, keys, []))
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     condition = F.col(keys[0]).isNull()
     for key in keys[1:]:

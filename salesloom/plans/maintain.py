@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
-from salesloom.operators.upsert import distinct_values, insert_new, newest_per_key, upsert
+from salesloom.operators.upsert import distinct_values, insert_new, newest_per_key, one_of_each, upsert
 from salesloom.sources.sinks import with_raw_json
 
 
@@ -50,8 +50,15 @@ def dim_product_rows(stg_products: DataFrame, updated_at=None) -> DataFrame:
 
 
 def upsert_dim_product(dim_product: DataFrame, stg_products: DataFrame, updated_at=None) -> DataFrame:
-    """Dimension after staging: known codes updated, new ones added, others kept."""
-    return upsert(dim_product, dim_product_rows(stg_products, updated_at), ["code"], ["updated_at"])
+    """Dimension after staging: known codes updated, new ones added, others kept.
+
+    Staging has no tags of products that got theirs from their detail, so a known
+    tag stays where staging has none.
+    """
+    known = dim_product.select("code", F.col("tags").alias("_known"))
+    rows = dim_product_rows(stg_products, updated_at).join(known, "code", "left")
+    rows = rows.withColumn("tags", F.coalesce("tags", "_known")).drop("_known")
+    return upsert(dim_product, rows, ["code"], ["updated_at"])
 
 
 def fact_rows(
@@ -78,7 +85,7 @@ def fact_rows(
     # and spread by line afterwards.
     lines = stg_items.select("order_id", "item_seq", "code", "description", "qty", "unit_price", "total")
     spread = lines.join(headers, "order_id").repartition("order_id", "item_seq")
-    lines = newest_per_key(spread, ["order_id", "item_seq"], [])
+    lines = one_of_each(spread, ["order_id", "item_seq"])
     products = dim_product.select("code", "product_key")
     return lines.join(products, "code", "left").select(
         C.date_key(F.col("order_date")).alias("date_key"),
@@ -177,18 +184,21 @@ def backfill_tables(warehouse) -> None:
         warehouse.overwrite_months("orders", fixed, months)
 
 
-def fill_tags(dim_product: DataFrame, categories: DataFrame, batch: int = 500, updated_at=None) -> DataFrame:
-    """Give the next batch of untagged active products the leaf of their category.
+def fill_tags(
+    dim_product: DataFrame, categories: DataFrame, batch: int | None = None, updated_at=None
+) -> DataFrame:
+    """Give the untagged active products whose detail is known the leaf of its category.
 
-    Products whose detail is missing stay in the queue. The queue has at most
-    ``batch`` rows, so its side of both joins is small.
+    Products whose detail is missing stay in the queue and hold up no others. A
+    ``batch`` takes the lowest ids among those that can be filled.
     """
-    queue = P.awaits_tags(dim_product, batch).select("id_src", "code")
-    found = newest_per_key(
-        categories.join(F.broadcast(queue), "id_src").select("code", F.col("tag").alias("new_tag")), ["code"], []
-    )
+    queue = P.awaits_tags(dim_product).select("id_src", "code")
+    ready = categories.join(queue, "id_src")
+    if batch is not None:
+        ready = ready.orderBy("id_src", "code").limit(batch)
+    found = newest_per_key(ready.select("code", F.col("tag").alias("new_tag")), ["code"], [])
     stamp = F.current_timestamp() if updated_at is None else updated_at
-    filled = dim_product.join(F.broadcast(found), "code", "left")
+    filled = dim_product.join(found, "code", "left")
     return filled.select(
         *[
             F.coalesce("new_tag", "tags").alias("tags")

@@ -9,7 +9,7 @@ from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
 from salesloom.operators.lineage import materialized
 from salesloom.operators.ordering import high_first, low_first, top
-from salesloom.operators.ranking import SMALL, SUM_TYPE, numbered, running_share
+from salesloom.operators.ranking import SUM_TYPE, numbered, running_share
 from salesloom.plans.lines import one_per_sku, revenue_of_line, sold_lines
 
 
@@ -55,13 +55,11 @@ def labelled_product_sales(orders: DataFrame, items: DataFrame, as_of=None, days
     )
 
 
-def product_ranking(
-    orders: DataFrame, items: DataFrame, as_of=None, days: int = 90, small: int = SMALL
-) -> DataFrame:
+def product_ranking(orders: DataFrame, items: DataFrame, as_of=None, days: int = 90) -> DataFrame:
     """All products numbered by revenue; ties by sku, then name."""
     sales = labelled_product_sales(orders, items, as_of, days)
     order = [high_first("revenue"), low_first("sku"), low_first("product_name")]
-    return numbered(sales, "rank", order, small).select("rank", "sku", "product_name", "revenue", "qty")
+    return numbered(sales, "rank", order).select("rank", "sku", "product_name", "revenue", "qty")
 
 
 def top_ranked_products(
@@ -265,13 +263,13 @@ def _abc_base(orders: DataFrame, items: DataFrame, kept) -> DataFrame:
     )
 
 
-def abc_curve(orders: DataFrame, items: DataFrame, as_of=None, days: int = 90, small: int = SMALL) -> DataFrame:
+def abc_curve(orders: DataFrame, items: DataFrame, as_of=None, days: int = 90) -> DataFrame:
     """All products with cumulative share and class A/B/C at 70 and 90 percent.
 
     The class looks at the share rounded to one digit.
     """
     base = _abc_base(orders, items, P.since_days(F.col("order_date"), as_of, days))
-    shares = running_share(base, "revenue", small)
+    shares = running_share(base, "revenue")
     share = C.percent(F.col("cumulative"), F.col("grand_total"), 1)
     grade = (
         F.when(F.col("cumulative_pct") <= 70, "A").when(F.col("cumulative_pct") <= 90, "B").otherwise("C")

@@ -152,9 +152,13 @@ def answer_questions(
     # Sales without any known tag still count for questions without a tag.
     held = F.coalesce(named_tags(F.lower("tags"), vocabulary), F.array().cast("array<string>"))
     # Read several times below, so the sales are summed into a few stored rows once.
+    # They are summed by the tag text first, so tags are looked for once per text.
+    by_text = sales.groupBy("tags", C.month_of(F.col("day")).alias("month_start")).agg(
+        F.sum("total").alias("revenue"), F.sum("qty").alias("qty"), lines.alias("lines")
+    )
     months = materialized(
-        sales.groupBy(held.alias("held"), C.month_of(F.col("day")).alias("month_start")).agg(
-            F.sum("total").alias("revenue"), F.sum("qty").alias("qty"), lines.alias("lines")
+        by_text.groupBy(held.alias("held"), "month_start").agg(
+            F.sum("revenue").alias("revenue"), F.sum("qty").alias("qty"), F.sum("lines").alias("lines")
         )
     )
     cells = (
@@ -182,17 +186,25 @@ def answer_questions(
 
 
 def question_lines(
-    questions: DataFrame, sales: DataFrame, vocabulary: Sequence[str], limit: int = 10
+    questions: DataFrame, sales: DataFrame, vocabulary: Sequence[str], limit: int | None = None
 ) -> DataFrame:
-    """First lines by day for every question that asks for lines, ``limit`` each.
+    """All lines for every question that asks for lines; with a ``limit``, the first
+    ones by day and their position.
 
-    The first lines of each cell are kept before any join: a line outside them
-    cannot be among the first of a filter that includes the cell.
+    With a limit, the first lines of each cell are kept before any join: a line
+    outside them cannot be among the first of a filter that includes the cell.
     """
     asked = _as_filters(read_questions(questions, vocabulary)).where("uses_data and not wants_totals")
     combos = _combos(asked)
     held = F.coalesce(named_tags(F.lower("tags"), vocabulary), F.array().cast("array<string>"))
     order = [F.col("day"), F.col("product"), F.col("total"), F.col("qty"), F.col("tags")]
+    if limit is None:
+        each = sales.select(held.alias("held"), "day", "product", "tags", "qty", "total")
+        each = each.withColumn("key", F.explode(_calendar_keys(F.col("day"))))
+        each = each.select("held", "key.q_year", "key.q_month", "day", "product", F.col("tags").alias("line_tags"), "qty", F.col("total").alias("revenue"))
+        sets = materialized(_matching_sets(combos, sales.select("tags").distinct().select(held.alias("held"))))
+        wanted = asked.join(sets, "q_tags").select("question_id", "held", "q_year", "q_month")
+        return wanted.join(each, ["held", "q_year", "q_month"]).select("question_id", "day", "product", "line_tags", "qty", "revenue")
     by_cell = Window.partitionBy("held", "month_start").orderBy(*order)
     first_of_cells = materialized(
         sales.select(held.alias("held"), C.month_of(F.col("day")).alias("month_start"), "day", "product", "tags", "qty", "total")

@@ -109,15 +109,10 @@ def _tag_column(tag: str | None):
 def period_summary(sales: DataFrame, start, end, tag: str | None = None) -> DataFrame:
     """One row of totals for a period; also when nothing was sold.
 
-    Takes the rollup or the line-level sales. Both distinct counts are taken in
-    one pass, over rows already summed by product and day.
+    Takes the rollup or the line-level sales. Sums and both distinct counts are
+    combined by product and by day in each task before anything is shuffled.
     """
-    cells = (
-        _in_period(sales, start, end, tag)
-        .groupBy("product", "day")
-        .agg(F.sum("qty").alias("qty"), F.sum("total").alias("total"))
-    )
-    one = cells.agg(
+    one = _in_period(sales, start, end, tag).agg(
         F.sum("qty").alias("units"),
         F.sum("total").alias("revenue"),
         F.count_distinct("product").alias("products"),

@@ -45,6 +45,7 @@ F_SALES = (
     "description string, qty decimal(18,4), unit_price decimal(18,4), total decimal(18,4), order_status string"
 )
 REJECTED_DETAILS = "order_id bigint, reason string"
+REJECTED_PAGES = "file string, reason string, page string"
 
 # Landed pages. Every scalar may arrive as text or number, so all are read as
 # text and typed by the cleansing functions.

@@ -19,10 +19,35 @@ class RejectedPages(RuntimeError):
     """A page reports an error; the load must not go on as if it were empty."""
 
 
+# When and where a reply landed: file time, file, place of the split in the file,
+# row within the split. Of two versions of a record the later one counts.
+ARRIVED = "arrived"
+
+
+def file_of_page() -> Column:
+    """Arrival of a row that a file source reads, up to the place of its split."""
+    names = {"time": "file_modification_time", "file": "file_path", "split": "file_block_start"}
+    return F.struct(*[F.col(f"_metadata.{field}").alias(name) for name, field in names.items()]).alias(ARRIVED)
+
+
+def with_arrival(pages: DataFrame) -> DataFrame:
+    """Pages with their full arrival; rows that no file source read go by their order."""
+    if ARRIVED in pages.columns:
+        known = [F.col(f"{ARRIVED}.{name}").alias(name) for name in ("time", "file", "split")]
+    else:
+        kinds = {"time": "timestamp", "file": "string", "split": "bigint"}
+        known = [F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]
+    return pages.withColumn(ARRIVED, F.struct(*known, F.monotonically_increasing_id().alias("row")))
+
+
 def read_pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def read_arrived_pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return with_arrival(read_pages(spark, path, schema).select("*", file_of_page()))
+
+
 def split_ok_rejects(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pages with status OK, and the others with the reason they give."""
     status = F.col("retorno.status")
@@ -61,11 +86,19 @@ class _Entry:
 
 
 def _entries(pages: DataFrame, array: str, wrapper: str) -> tuple[DataFrame, _Entry]:
-    """One row per array element, and its fields."""
-    rows = pages.select(F.explode(f"retorno.{array}").alias("w"))
+    """One row per array element, and its fields; with its place, where arrival is known."""
+    if ARRIVED in pages.columns:
+        rows = pages.select(ARRIVED, F.posexplode(f"retorno.{array}").alias("pos", "w"))
+    else:
+        rows = pages.select(F.explode(f"retorno.{array}").alias("w"))
     return rows, _Entry(rows, wrapper)
 
 
+def _arrival(rows: DataFrame) -> list[Column]:
+    """The arrival column of entries, where it is known."""
+    return [F.struct(f"{ARRIVED}.*", "pos").alias(ARRIVED)] if ARRIVED in rows.columns else []
+
+
 def order_rows(pages: DataFrame) -> DataFrame:
     """Order headers of OK pages; entries without an id are dropped."""
     entries, e = _entries(pages, "pedidos", "pedido")
@@ -86,6 +119,7 @@ def order_rows(pages: DataFrame) -> DataFrame:
             F.coalesce(e["valor_total"], C.first_nonzero(e["valor"], e["total_pedido"]).cast("string"))
         ).alias("total"),
         e.raw_json().alias("raw_json"),
+        *_arrival(entries),
     ).where(F.col("order_id").isNotNull() & (F.col("order_id") != 0))
 
 
@@ -101,6 +135,7 @@ def staged_order_rows(pages: DataFrame) -> DataFrame:
         C.first_filled(e["vendedor"]).alias("seller"),
         C.first_nonzero(e["valor"], e["total_pedido"]).alias("total"),
         e.raw_json().alias("raw_json"),
+        *_arrival(entries),
     ).where(F.col("order_id").isNotNull() & (F.col("order_id") != 0))
 
 
@@ -147,6 +182,13 @@ def detail_keys(details: DataFrame) -> Column:
     ).try_cast("bigint")
 
 
+def latest_details(details: DataFrame) -> DataFrame:
+    """Of each order the OK reply that came last, whole; the lines of two replies never mix."""
+    ok, _ = split_ok_rejects(with_arrival(details))
+    keyed = ok.withColumn("_key", detail_keys(ok)).where("_key is not null")
+    return keyed.groupBy("_key").agg(F.max_by(F.struct("id", "retorno"), ARRIVED).alias("_last")).select("_last.*")
+
+
 def replaced_orders(details: DataFrame) -> DataFrame:
     """Orders whose detail came back OK; only their stored lines may be replaced."""
     ok, _ = split_ok_rejects(details)
@@ -192,6 +234,7 @@ def product_rows(pages: DataFrame) -> DataFrame:
         C.parse_source_datetime(e["data_criacao"]).alias("created_at"),
         C.product_tags(e["tags_produto"], e["tags"]).alias("tags"),
         e.raw_json().alias("raw_json"),
+        *_arrival(entries),
     ).where("id is not null")
 
 
@@ -213,6 +256,7 @@ def catalogue_rows(pages: DataFrame) -> DataFrame:
         e["situacao"].alias("status"),
         C.parse_source_datetime(e["data_criacao"]).alias("created_at"),
         e.raw_json().alias("raw_json"),
+        *_arrival(entries),
     ).where("id is not null")
 
 

@@ -30,6 +30,7 @@ CATALOGUE = {
     "dim_product": schemas.DIM_PRODUCT,
     "dim_date": schemas.DIM_DATE,
     "rejected_details": schemas.REJECTED_DETAILS,
+    "rejected_pages": schemas.REJECTED_PAGES,
 }
 
 

@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from salesloom.contract.oracle import ORACLE
+from salesloom.contract.registry import bound_queries
 from tests.conftest import SMALL
 
 TABLES = (
@@ -26,18 +28,18 @@ def _sorted(rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(bound_queries()) == set(ORACLE)
 
 
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(bound_queries()))
 def test_query_equals_sql(spark, duck, name):
-    df = queries()[name](spark, SMALL)
+    df = bound_queries()[name](spark, SMALL)
     columns = sorted(df.columns)
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(ORACLE[name])
     described = {d[0]: str(d[1]) for d in result.description}
     assert sorted(described) == columns
     assert {c: KINDS[k] for c, k in df.dtypes} == described

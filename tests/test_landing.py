@@ -9,7 +9,7 @@ import pytest
 from salesloom.sources import landing
 from salesloom.sources.warehouse import Warehouse
 from salesloom.streaming.ingest import (
-    FIRST_DAY, fill_product_tags, load_fact_window, ingest_increment, ingest_products, load_increment_batch, not_yet_loaded, stored_high_mark,
+    apply_order_details, apply_order_pages, fill_product_tags, load_fact_window, ingest_increment, ingest_products, load_increment_batch, not_yet_loaded, stored_high_mark,
 )
 from salesloom import schemas
 from tests.conftest import rows_of
@@ -147,12 +147,13 @@ def test_streamed_increments(spark, tmp_path):
 
 def test_batch_twin_reads_the_last_day_again(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
-    assert str(stored_high_mark(warehouse.load("orders"))) == FIRST_DAY
+    assert stored_high_mark(warehouse.load("orders")) is None
+    assert str(stored_high_mark(warehouse.load("orders"), "2020-01-01")) == "2020-01-01"
 
     def read(*orders):
         return spark.read.schema(schemas.ORDER_PAGE).json(land(tmp_path / f"p{len(orders)}", "p.json", page(*orders)))
 
-    load_increment_batch(warehouse, read(order(1, "05/03/2024"), order(2, "31/12/2019")))
+    load_increment_batch(warehouse, read(order(1, "05/03/2024"), order(2, "31/12/2019")), floor="2020-01-01")
     assert [r[0] for r in orders_of(warehouse)] == [1]
     later = read(order(1, "05/03/2024", "pago"), order(3, "05/03/2024"), order(4, "04/03/2024"))
     assert load_increment_batch(warehouse, later) == ["2024-03"]
@@ -210,3 +211,59 @@ def test_tags_from_landed_details(spark, tmp_path):
     details = spark.read.schema(schemas.PRODUCT_DETAIL).json(land(tmp_path / "pd", "1.json", *replies))
     fill_product_tags(warehouse, details)
     assert sorted(rows_of(warehouse.load("dim_product"), "code", "tags")) == [("S1", "B"), ("S2", ""), ("S3", None)]
+
+
+def test_the_last_version_to_arrive_counts(spark, tmp_path):
+    """Of an order, with another day and status; its old month is left."""
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    batch = page(order(1, "05/03/2024", "Em aberto"), order(1, "05/03/2024", "Cancelado")), page(order(2, "09/03/2024", "z")), page(order(2, "01/02/2024", "a"))
+    apply_order_pages(warehouse, landing.read_arrived_pages(spark, land(tmp_path / "p", "1.json", *batch), schemas.ORDER_PAGE))
+    assert orders_of(warehouse) == [(1, "Cancelado", 1.0), (2, "a", 1.0)]
+    assert {r.order_id: r.month for r in warehouse.load("orders").collect()} == {1: "2024-03", 2: "2024-02"}
+
+
+def test_lines_of_two_replies_never_mix(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    path = land(tmp_path / "d", "1.json", detail(1, line("A"), line("B"), line("C")), detail(1, line("N")))
+    apply_order_details(warehouse, landing.read_arrived_pages(spark, path, schemas.ORDER_DETAIL))
+    assert lines_of(warehouse) == [(1, 1, "N", "none")]
+
+
+def test_bad_pages_are_kept_and_good_ones_loaded(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    pages, details = tmp_path / "pages", tmp_path / "details"
+    land(pages, "1.json", page(status="Erro", erros=[{"erro": "limite"}]), page(order(1, "05/03/2024")))
+    land(details, "1.json", detail(1, line("A")))
+    ingest_increment(spark, warehouse, str(pages), str(details))
+    land(pages, "2.json", page(order(2, "06/03/2024")))
+    ingest_increment(spark, warehouse, str(pages), str(details))
+    assert [r[0] for r in orders_of(warehouse)] == [1, 2]
+    (reject,) = warehouse.load("rejected_pages").collect()
+    assert reject.file.endswith("1.json") and "limite" in reject.reason
+    bad = landing.read_arrived_pages(spark, str(pages), schemas.ORDER_PAGE)
+    with pytest.raises(landing.RejectedPages):
+        load_increment_batch(warehouse, bad, strict=True)
+
+
+def test_undated_orders_are_loaded_and_future_days_raise_no_mark(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+
+    def read(name, *orders):
+        return landing.read_arrived_pages(spark, land(tmp_path / name, "p.json", page(*orders)), schemas.ORDER_PAGE)
+
+    load_increment_batch(warehouse, read("a", order(1, "05/03/2024"), order(2, "05/03/2999"), order(3, "2024-03-05")), as_of="2024-03-10")
+    load_increment_batch(warehouse, read("b", order(4, "06/03/2024"), order(5, "01/03/2024")), as_of="2024-03-10")
+    assert [r[0] for r in orders_of(warehouse)] == [1, 2, 3, 4]
+
+
+def test_filled_tags_survive_a_product_load(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    entries = [{"produto": {"id": n, "codigo": f"S{n}", "nome": "n", "situacao": "A"}} for n in (1, 2)]
+    land(tmp_path / "pp", "1.json", {"retorno": {"status": "OK", "produtos": entries}})
+    ingest_products(spark, warehouse, str(tmp_path / "pp"))
+    reply = {"id": "2", "retorno": {"status": "OK", "produto": {"id": 2, "categoria": "A >> B"}}}
+    fill_product_tags(warehouse, spark.read.schema(schemas.PRODUCT_DETAIL).json(land(tmp_path / "pd", "1.json", reply)))
+    entries[1]["produto"]["nome"] = "renamed"
+    land(tmp_path / "pp", "2.json", {"retorno": {"status": "OK", "produtos": entries}})
+    ingest_products(spark, warehouse, str(tmp_path / "pp"))
+    assert sorted(rows_of(warehouse.load("dim_product"), "code", "name", "tags")) == [("S1", "n", None), ("S2", "renamed", "B")]

@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from salesloom.operators.ordering import high_first, low_first, page, top
@@ -18,8 +19,10 @@ def sales(spark):
 
 
 def test_running_share_equals_window(sales):
-    plain = {r.id: (r.cumulative, r.grand_total) for r in running_share(sales, "revenue").collect()}
-    sliced = {r.id: (r.cumulative, r.grand_total) for r in running_share(sales, "revenue", small=0, slices=7).collect()}
+    order = Window.orderBy(high_first("revenue"))
+    whole_table = sales.select("id", F.sum("revenue").over(order).alias("c"), F.sum("revenue").over(Window.partitionBy()).alias("t"))
+    plain = {r.id: (r.c, r.t) for r in whole_table.collect()}
+    sliced = {r.id: (r.cumulative, r.grand_total) for r in running_share(sales, "revenue", slices=7).collect()}
     assert sliced == plain
     assert len(sliced) == 3000
     whole = sum(r.revenue or Decimal(0) for r in sales.collect())
@@ -28,14 +31,14 @@ def test_running_share_equals_window(sales):
 
 def test_numbers_equal_window(sales):
     order = [high_first("revenue"), low_first("id")]
-    plain = {r.id: r.rank for r in numbered(sales, "rank", order).collect()}
-    sliced = {r.id: r.rank for r in numbered(sales, "rank", order, small=0, slices=7).collect()}
+    plain = {r.id: r.rank for r in sales.select("id", F.row_number().over(Window.orderBy(*order)).alias("rank")).collect()}
+    sliced = {r.id: r.rank for r in numbered(sales, "rank", order, slices=7).collect()}
     assert sliced == plain
     assert sorted(sliced.values()) == list(range(1, 3001))
 
 
 def test_slices_stay_even_under_a_hot_value(sales):
-    df = numbered(sales, "rank", [high_first("revenue"), low_first("id")], small=0, slices=6)
+    df = numbered(sales, "rank", [high_first("revenue"), low_first("id")], slices=6)
     plan = df._jdf.queryExecution().toString()
     assert "_slice" in plan
     from salesloom.operators.ranking import _sliced

@@ -150,7 +150,7 @@ def test_abc_ties_share_rank_and_sum(make_orders, make_items):
     assert got == [(1, "T", 0.6), (2, "S1", 1.0), (2, "S2", 1.0)]
     curve = products.abc_curve(orders, items, AS_OF)
     assert [float(r.cumulative_pct) for r in curve.collect()] == [60.0] + [100.0] * 5
-    sliced = products.abc_curve(orders, items, AS_OF, small=0)
+    sliced = products.abc_curve(orders, items, AS_OF)
     assert sorted(rows_of(sliced), key=str) == sorted(rows_of(curve), key=str)
 
 
@@ -241,6 +241,16 @@ def test_tag_fill_takes_the_queue_only(spark, dim):
     assert {r.code: r.tags for r in maintain.fill_tags(wide, empty).collect()}["B"] == ""
 
 
+def test_tag_fill_is_not_held_up_by_products_without_detail(spark):
+    rows = [(n, f"S{n}", None) for n in range(1, 801)]
+    dim = spark.createDataFrame(rows, "id_src bigint, code string, tags string").withColumns(
+        {"status": F.lit("A"), "name": F.lit("n"), "updated_at": F.lit("2020-01-01").cast("timestamp")}
+    )
+    categories = spark.range(601, 801).select(F.col("id").alias("id_src"), F.lit("t").alias("tag"))
+    assert maintain.fill_tags(dim, categories).where("tags = 't'").count() == 200
+    assert maintain.fill_tags(dim, categories, batch=5).where("tags = 't'").count() == 5
+
+
 def test_migration_is_repeatable(spark):
     items = spark.createDataFrame([], "order_id bigint, item_seq int, product_id string, sku string, product_name string, qty decimal(18,4), price decimal(18,4), total decimal(18,4), raw_json string")
     legacy = spark.createDataFrame(
