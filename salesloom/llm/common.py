@@ -61,10 +61,10 @@ def discard(*frames: DataFrame) -> None:
             where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``most`` bytes of text, one row at least."""
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text and at most ``rows`` rows, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
+    part = (np.cumsum(sizes, dtype=np.int64) - sizes) // most + np.arange(len(sizes)) // rows
     cuts = np.flatnonzero(np.diff(part, prepend=-1))
     for begin, end in zip(cuts, np.append(cuts, batch.num_rows)[1:], strict=True):
         yield batch.slice(int(begin), int(end - begin))

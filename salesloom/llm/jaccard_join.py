@@ -10,10 +10,13 @@ with more empty parts also have their ``s - ceil(4s/5) + 1`` smallest elements a
 signatures; two similar sets of that kind share one of those.
 
 No pairs within a signature are listed. First every member is compared with the smallest
-member alone, which links almost all of a group of copies; then only members of different
-components that still share a signature are compared. Candidates pass the sizes and a
-bound on the difference from 512-bit parity sketches (a differing element flips one bit)
-before their shingle sets, read again from the whole texts, are intersected.
+member alone, which links most of a group of copies and settles the signatures of two
+documents. Where members are in different components after that, they are compared with
+one member drawn by hash, for ``DRAWS`` rounds, which joins documents that link with many
+others; and only members of components that are still different are compared with each
+other. Candidates pass the sizes and a bound on the difference from 512-bit parity sketches
+(a differing element flips one bit) before the shingle sets of their whole texts are
+intersected.
 
 Signatures travel as packed numbers, 8 bytes each, to the task of their bucket, which
 sorts them and keeps those of two documents or more. A signature that several documents of
@@ -38,10 +41,14 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.common import partitions, slices, stored
 from salesloom.llm.components import components
+from salesloom.llm.url_filter import Level
 
 WIDTH = 5
 SKETCH_WORDS = 8
 CHUNK_BYTES = 1 << 21
+DRAWS = 2
+#: Up to this size a filter of the wanted ids spares the shuffle of other texts; results are the same without it.
+FILTER_BYTES = 16 << 20
 #: Documents of one slice of a batch from which a shared signature is resolved there.
 SHARED = 4
 U = np.uint64
@@ -192,7 +199,11 @@ def describe(docs: DataFrame) -> DataFrame:
 
 
 def shared_signatures(docs: DataFrame) -> DataFrame:
-    """sig, doc_id, pivot: members of all signatures that two documents or more have."""
+    """sig, doc_id, pivot: members of the signatures that two documents or more have.
+
+    Of a signature with two documents, ``sig`` is null and there is but the larger one:
+    its pair with the pivot says everything. Pairs come once from each task.
+    """
     buckets = partitions(docs.sparkSession)
     low = U((1 << 48) - 1)
 
@@ -238,8 +249,9 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
                     ["bucket", "resolved", "body"],
                 )
 
-    def rows_of(sig: np.ndarray, doc: np.ndarray, pivot: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (sig, doc, pivot)], ["sig", "doc_id", "pivot"])
+    def rows_of(sig: np.ndarray | None, doc: np.ndarray, pivot: np.ndarray) -> pa.RecordBatch:
+        known = pa.nulls(len(doc), pa.int64()) if sig is None else pa.array(sig.view(np.int64))
+        return pa.RecordBatch.from_arrays([known, *[pa.array(x.view(np.int64)) for x in (doc, pivot)]], ["sig", "doc_id", "pivot"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, docs_of = [], []
@@ -255,13 +267,18 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
                 docs_of.append(numbers[1 : n + 1].view(np.int64)[(numbers[n + 1 :] & U(0xFFFF)).astype(np.int64)])
         if sigs:
             sig, doc = np.concatenate(sigs), np.concatenate(docs_of)
-            sort = np.argsort(sig, kind="stable")
+            sort = np.lexsort((doc, sig))
             sig, doc = sig[sort], doc[sort]
+            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])])
+            sig, doc = sig[fresh], doc[fresh]
             starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             size = np.diff(np.append(starts, len(sig)))
-            pivot = np.repeat(np.minimum.reduceat(doc, starts), size)
-            kept = np.repeat(size > 1, size)
-            yield rows_of(sig[kept], doc[kept], pivot[kept])
+            pivot = np.repeat(doc[starts], size)
+            several = np.repeat(size > 2, size)
+            yield rows_of(sig[several], doc[several], pivot[several])
+            two = np.repeat(size == 2, size) & (doc != pivot)
+            pairs = np.unique(np.column_stack([doc[two], pivot[two]]), axis=0)
+            yield rows_of(None, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
 
     sent = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(send, "bucket int, resolved boolean, body binary")
     return sent.repartition(buckets, "bucket").mapInArrow(gather, "sig long, doc_id long, pivot long")
@@ -275,30 +292,27 @@ def _close(a: str, b: str) -> Column:
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have a similarity of 4/5 or more."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-
-    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text")):
-            sets = shingle_sets(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "elements"])
-
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = stored(wanted.join(named, F.col("id") == F.col("doc_id")).select("id", "text").mapInArrow(load, "id long, elements binary"))
+    """The (stored) pairs (a, b) whose shingle sets have a similarity of 4/5 or more."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    n = wanted.count()
+    if 0 < n < FILTER_BYTES:  # a byte a key is more than the filter takes
+        texts = texts.where(Level(wanted, n, 0.05, 0, FILTER_BYTES).holds(F.col("id")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "x")):
             kept = []
-            for row in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(c)[row].as_buffer(), np.uint64) for c in ("x", "y"))
+            left, right = (shingle_sets(batch.column(c).to_pylist()) for c in ("x", "y"))
+            for x, y in zip(left, right, strict=True):
                 both = np.concatenate([x, y])
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
                 kept.append(100 * shared >= 80 * (len(both) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    left, right = sets.select(F.col("id").alias("a"), F.col("elements").alias("x")), sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
+    of_a = pairs.join(texts, F.col("a") == F.col("id")).select("a", "b", F.col("text").alias("x"))
+    both = of_a.join(texts, F.col("b") == F.col("id")).select("a", "b", "x", F.col("text").alias("y"))
+    return both.mapInArrow(compare, "a long, b long").distinct()
 
 
 def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -313,29 +327,46 @@ def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def close_pairs(pairs: DataFrame) -> DataFrame:
         """Distinct pairs of different sets that may be similar."""
-        met = pairs.alias("p").join(traits.alias("l"), F.col("p.a") == F.col("l.doc_id")).join(traits.alias("r"), F.col("p.b") == F.col("r.doc_id"))
+        met = pairs.distinct().alias("p").join(traits.alias("l"), F.col("p.a") == F.col("l.doc_id")).join(traits.alias("r"), F.col("p.b") == F.col("r.doc_id"))
         other = (F.col("l.h0") != F.col("r.h0")) | (F.col("l.h1") != F.col("r.h1"))
         return met.where(other & _close("l", "r")).select("p.a", "p.b").distinct()
 
-    first = stored(close_pairs(members.where("doc_id > pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()))
-    links = stored(copies.unionByName(verified(first, docs)))
+    tried = stored(close_pairs(members.where("doc_id > pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"))))
+    links = stored(copies.unionByName(verified(tried, docs)))
     found = stored(components(links))
-    # Signatures whose members are in one component are done.
-    own = members.select("sig", "doc_id").distinct().join(found, F.col("doc_id") == F.col("node"), "left")
-    own = own.select("sig", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = own.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    heads = copies.select(F.col("a").alias("copy"))
-    rest = own.join(mixed.select("sig"), "sig").join(heads, F.col("doc_id") == F.col("copy"), "left_anti")
-    rest = stored(rest.join(traits.drop("h0", "h1"), "doc_id"))
+
+    def unsettled(open_members: DataFrame) -> DataFrame:
+        """sig, doc_id, component of the signatures whose members are in several components."""
+        own = open_members.select("sig", "doc_id").join(found, F.col("doc_id") == F.col("node"), "left")
+        own = own.select("sig", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        ends = own.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        return own.join(ends.where("low < high").select("sig"), "sig", "left_semi")
+
+    # A copy has the signatures of its head.
+    heads = copies.select(F.col("a").alias("copy")).distinct()
+    several = members.where("sig is not null").select("sig", "doc_id").distinct().join(heads, F.col("doc_id") == F.col("copy"), "left_anti")
+    left_open = stored(unsettled(several))
+    for draw in range(DRAWS):
+        if left_open.isEmpty():
+            break
+        drawn = left_open.groupBy(F.col("sig").alias("of")).agg(F.min(F.struct(F.xxhash64("sig", "doc_id", F.lit(draw)).alias("h"), "doc_id", "component")).alias("d"))
+        against = left_open.join(drawn, (F.col("sig") == F.col("of")) & (F.col("component") != F.col("d.component")))
+        pairs = against.select(F.greatest("doc_id", "d.doc_id").alias("a"), F.least("doc_id", "d.doc_id").alias("b"))
+        fresh = stored(close_pairs(pairs).join(tried, ["a", "b"], "left_anti"))
+        tried = stored(tried.unionByName(fresh))
+        links = stored(links.unionByName(verified(fresh, docs)))
+        found = stored(components(links))
+        left_open = stored(unsettled(left_open))
+    if left_open.isEmpty():
+        return described.select("doc_id", "n_shingles"), found
+    rest = stored(left_open.join(traits.drop("h0", "h1"), "doc_id"))
     left, right = rest.alias("l"), rest.alias("r")
     apart = (F.col("l.component") < F.col("r.component")) & _close("l", "r")
-    second = left.join(right, (F.col("l.sig") == F.col("r.sig")) & apart).select(
+    last = left.join(right, (F.col("l.sig") == F.col("r.sig")) & apart).select(
         F.greatest("l.doc_id", "r.doc_id").alias("a"), F.least("l.doc_id", "r.doc_id").alias("b")
     )
-    second = stored(second.distinct().join(first, ["a", "b"], "left_anti"))
-    if not second.isEmpty():
-        found = stored(components(links.unionByName(verified(second, docs))))
-    return described.select("doc_id", "n_shingles"), found
+    last = stored(last.distinct().join(tried, ["a", "b"], "left_anti"))
+    return described.select("doc_id", "n_shingles"), stored(components(links.unionByName(verified(last, docs))))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
