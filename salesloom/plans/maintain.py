@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
+from salesloom.operators.lineage import broadcast_if_small, materialized
 from salesloom.operators.upsert import distinct_values, insert_new, newest_per_key, one_of_each, upsert
 from salesloom.sources.sinks import with_raw_json
 
@@ -107,8 +108,10 @@ def reload_window(f_sales: DataFrame, window_rows: DataFrame, as_of=None, days:
 
 def reload_fact_window(warehouse, stg_items, stg_orders, dim_product, as_of=None, days: int = 30) -> list[str]:
     """``reload_window`` on the stored fact table. Only the months the window
-    touches are read and rewritten; rows of an edge month outside the window are
-    carried over. Returns those months."""
+    touches are read, of staging too, and rewritten; rows of an edge month outside
+    the window are carried over. An order that moved into the window leaves no facts
+    on its old day: months that hold such facts are rewritten without them. Returns
+    the months rewritten."""
     day = C.as_date(as_of)
     span = F.sequence(F.trunc(F.date_sub(day, days), "MM"), day, F.expr("interval 1 month"))
     months = [
@@ -116,14 +119,23 @@ def reload_fact_window(warehouse, stg_items, stg_orders, dim_product, as_of=None
         for row in warehouse.spark.range(1).select(F.explode(span).alias("day"))
         .select(F.date_format("day", "yyyy-MM")).collect()
     ]
-    rows = fact_rows(stg_items, stg_orders, dim_product, as_of, days)
-    stored = warehouse.load("f_sales").where(F.col("month").isin(months)).drop("month")
+    # Stored staging lies by month; orders without a day lie apart and count as of today.
+    stg_items, stg_orders = (
+        staged.where(F.col("month").isin([*months, "none"])) if "month" in staged.columns else staged
+        for staged in (stg_items, stg_orders)
+    )
+    rows = materialized(fact_rows(stg_items, stg_orders, dim_product, as_of, days))
+    loaded = broadcast_if_small(materialized(rows.select("order_id").distinct()))
+    facts = warehouse.load("f_sales")
+    left = facts.where(~F.col("month").isin(months)).select("order_id", "month").join(loaded, "order_id", "left_semi")
+    left = distinct_values(left.select("month"))
+    stored = facts.where(F.col("month").isin(months + left)).join(loaded, "order_id", "left_anti").drop("month")
     key = F.col("date_key")
     month = F.format_string("%04d-%02d", F.floor(key / 10000).cast("int"), (F.floor(key / 100) % 100).cast("int"))
     warehouse.overwrite_months(
-        "f_sales", reload_window(stored, rows, as_of, days).withColumn("month", month), months
+        "f_sales", reload_window(stored, rows, as_of, days).withColumn("month", month), months + left
     )
-    return months
+    return months + left
 
 
 def backfill_item_totals(items: DataFrame) -> DataFrame:

@@ -267,3 +267,16 @@ def test_filled_tags_survive_a_product_load(spark, tmp_path):
     land(tmp_path / "pp", "2.json", {"retorno": {"status": "OK", "produtos": entries}})
     ingest_products(spark, warehouse, str(tmp_path / "pp"))
     assert sorted(rows_of(warehouse.load("dim_product"), "code", "name", "tags")) == [("S1", "n", None), ("S2", "renamed", "B")]
+
+
+def test_a_moved_order_leaves_no_facts_behind(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+
+    def load(name, day, as_of):
+        pages = landing.read_arrived_pages(spark, land(tmp_path / f"p{name}", "p.json", page(order(1, day), order(2, "05/01/2024"))), schemas.ORDER_PAGE)
+        details = landing.read_arrived_pages(spark, land(tmp_path / f"d{name}", "d.json", detail(1, line("A")), detail(2, line("B"))), schemas.ORDER_DETAIL)
+        return load_fact_window(warehouse, pages, details, as_of, 20)
+
+    assert load(1, "06/01/2024", "2024-01-10") == ["2023-12", "2024-01"]
+    assert load(2, "05/03/2024", "2024-03-10") == ["2024-02", "2024-03", "2024-01"]
+    assert sorted(rows_of(warehouse.load("f_sales"), "order_id", "date_key")) == [(1, 20240305), (2, 20240105)]

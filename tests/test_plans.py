@@ -85,7 +85,7 @@ def test_first_lines_are_limited_before_the_shuffle(spark):
     try:
         shop = Shop(spark, SMALL)
         questions.question_lines(
-            registry._question_texts(shop), sales_enriched(shop.orders, shop.order_items, shop.dim_product), ["promo"]
+            registry._question_texts(shop), sales_enriched(shop.orders, shop.order_items, shop.dim_product), ["promo"], limit=10
         )
     finally:
         module.materialized = original
