@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import slices, stored
-from salesloom.llm.jaccard_join import IS_WHITE, mix, word_hashes
+from salesloom.llm.jaccard_join import CHUNK_BYTES, IS_WHITE, mix, word_hashes
 from salesloom.llm.langid import fold
 
 KNOWN = 200_000
@@ -52,6 +52,19 @@ F32 = np.float32
 def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes and ending units of all words, an end token after each text's; text bounds."""
     raw = [(text or "").encode("utf-8", "surrogatepass").lower() for text in texts]
+    part = np.cumsum([0, *map(len, raw)])[:-1] // CHUNK_BYTES
+    found = [hashed_chunk(raw[begin:end]) for begin, end in zip(*chunk_bounds(part), strict=True)]
+    sizes = np.concatenate([np.zeros(1, np.int64), *[np.diff(bounds) for _, _, bounds in found]])
+    words, endings = (np.concatenate([chunk[k] for chunk in found]) if found else np.zeros(0, kind) for k, kind in ((0, np.uint64), (1, np.int32)))
+    return words, endings, np.cumsum(sizes)
+
+
+def chunk_bounds(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    begins = np.flatnonzero(np.diff(part, prepend=-1))
+    return begins, np.append(begins, len(part))[1:]
+
+
+def hashed_chunk(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words, bounds = word_hashes(raw)
     joined = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     white = IS_WHITE[joined]
