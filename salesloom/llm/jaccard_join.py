@@ -342,9 +342,9 @@ def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         ends = own.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         return own.join(ends.where("low < high").select("sig"), "sig", "left_semi")
 
-    # A copy has the signatures of its head.
+    # A copy has the signatures of its head. A resolved pivot may be listed twice, which does no harm.
     heads = copies.select(F.col("a").alias("copy")).distinct()
-    several = members.where("sig is not null").select("sig", "doc_id").distinct().join(heads, F.col("doc_id") == F.col("copy"), "left_anti")
+    several = members.where("sig is not null").select("sig", "doc_id").join(heads, F.col("doc_id") == F.col("copy"), "left_anti")
     left_open = stored(unsettled(several))
     for draw in range(DRAWS):
         if left_open.isEmpty():
