@@ -6,8 +6,9 @@ such a unit it has its share of the counts, with one more share for words never
 the model gives every word a probability. Units are put into classes of about equal
 frequency, and the output is a class softmax times a softmax within the class.
 
-Training is by truncated backpropagation over windows of documents that run in step, in
-rounds: every task trains a copy of the parameters on its share of the round's documents,
+Training is by truncated backpropagation over windows of stretches that run in step. A
+document is cut into stretches of ``STRETCH`` tokens, so very long ones do not run alone;
+the state begins anew with each and is carried through its windows. It goes in rounds: every task trains a copy of the parameters on its share of the round's documents,
 and the copies are averaged, weighed by their tokens, first within ``GROUPS`` groups and
 then on the driver. Each training document is in one round. Scoring runs whole documents
 in step and carries their state from window to window.
@@ -35,12 +36,13 @@ from salesloom.llm.jaccard_join import CHUNK_BYTES, IS_WHITE, mix, word_hashes
 from salesloom.llm.langid import fold
 
 KNOWN = 200_000
-UNITS = 2048
-TAIL_UNITS = 256
+UNITS = 1024
+TAIL_UNITS = 128
 CLASSES = 32
 HIDDEN = 16
-WINDOW = 16
-STREAMS = 256
+WINDOW = 32
+STREAMS = 512
+STRETCH = 256
 ROUNDS = 3
 RATE = 0.1
 GROUPS = 16
@@ -183,10 +185,18 @@ class Network:
     def output(self, h: np.ndarray, unit: np.ndarray, grad: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Log probability of each unit after its state; with ``grad``, the gradients of their negative sum."""
         p, rows = self.p, np.arange(len(unit))
+        # States lie between -1 and 1, which bounds the logits; large ones are shifted before exp.
+        reach = max(float((np.abs(p[w]).sum(axis=1) + np.abs(p[b])).max()) for w, b in (("wc", "bc"), ("wo", "bo")))
+
+        def exponentials(logits: np.ndarray) -> np.ndarray:
+            if reach > 80:
+                logits -= logits.max(axis=1, keepdims=True)
+            return np.exp(logits)
+
         of = self.of_class[unit]
-        logits = h @ p["wc"].T + p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
+        logits = h @ p["wc"].T
+        logits += p["bc"]
+        e = exponentials(logits)
         total = e.sum(axis=1)
         logs = logits[rows, of] - np.log(total)
         back = None
@@ -202,9 +212,9 @@ class Network:
             if not len(own) or hi - lo == 1:
                 continue
             mine, target = h[own], unit[own] - lo
-            logits = mine @ p["wo"][lo:hi].T + p["bo"][lo:hi]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
+            logits = mine @ p["wo"][lo:hi].T
+            logits += p["bo"][lo:hi]
+            e = exponentials(logits)
             total = e.sum(axis=1)
             k = np.arange(len(own))
             logs[own] += logits[k, target] - np.log(total)
@@ -238,7 +248,7 @@ def score_texts(net: Network, units: np.ndarray, bounds: np.ndarray, end_unit: i
     while len(sizes) and at < sizes[0]:
         active = int(np.searchsorted(-sizes, -at, side="left"))  # those longer than ``at``
         h, before = h[:active], before[:active]
-        width = min(WINDOW * 2, int(sizes[0]) - at)
+        width = min(WINDOW, int(sizes[0]) - at)
         target, valid = window_of(units, starts[:active], sizes[:active], at, width)
         states = np.empty((width, active, HIDDEN), F32)
         for t in range(width):
@@ -252,13 +262,26 @@ def score_texts(net: Network, units: np.ndarray, bounds: np.ndarray, end_unit: i
     return out
 
 
+def stretches(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of all stretches, the longest first."""
+    n = -(-np.diff(bounds) // STRETCH)
+    text = np.repeat(np.arange(len(n)), n)
+    starts = bounds[:-1][text] + STRETCH * (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n))
+    sizes = np.minimum(STRETCH, bounds[1:][text] - starts)
+    order = np.argsort(-sizes, kind="stable")
+    return starts[order], sizes[order]
+
+
 def train_texts(net: Network, squares: dict[str, np.ndarray], units: np.ndarray, bounds: np.ndarray, end_unit: int) -> None:
-    """Truncated backpropagation over all texts, ``STREAMS`` of about equal length in step."""
-    p, every = net.p, in_step(bounds)
-    for first in range(0, len(every), STREAMS):
-        order = every[first : first + STREAMS]
-        sizes, starts = np.diff(bounds)[order], bounds[:-1][order]
-        h, before = np.zeros((len(order), HIDDEN), F32), np.full(len(order), end_unit)
+    """Truncated backpropagation over all texts, ``STREAMS`` stretches in step."""
+    p = net.p
+    every_start, every_size = stretches(bounds)
+    # What stands before a stretch: the token before it, or an end token.
+    previous = np.where(np.isin(every_start, bounds), end_unit, units[np.maximum(every_start - 1, 0)])
+    for first in range(0, len(every_start), STREAMS):
+        some = slice(first, first + STREAMS)
+        starts, sizes = every_start[some], every_size[some]
+        h, before = np.zeros((len(starts), HIDDEN), F32), previous[some]
         for at in range(0, int(sizes[0]), WINDOW):
             active = int(np.searchsorted(-sizes, -at, side="left"))
             h, before = h[:active], before[:active]
