@@ -20,7 +20,8 @@ intersected.
 
 Signatures travel as packed numbers, 8 bytes each, to the task of their bucket, which
 sorts them and keeps those of two documents or more. A signature that several documents of
-one slice of an Arrow batch share is resolved there, and only its smallest document goes on.
+one slice of an Arrow batch share is resolved there, and only its smallest document goes on,
+flagged; a flagged document that meets any other keeps the signature for all its members.
 
 Words and shingles are compared as 64-bit hashes. Defined cases: null, empty or blank
 text has no shingles and links with nothing; fewer than five words make one shingle of the
@@ -201,8 +202,8 @@ def describe(docs: DataFrame) -> DataFrame:
 def shared_signatures(docs: DataFrame) -> DataFrame:
     """sig, doc_id, pivot: members of the signatures that two documents or more have.
 
-    Of a signature with two documents, ``sig`` is null and there is but the larger one:
-    its pair with the pivot says everything. Pairs come once from each task.
+    Of a signature with two documents in all, ``sig`` is null and there is but the larger
+    one: its pair with the pivot says everything. Pairs come once from each task.
     """
     buckets = partitions(docs.sparkSession)
     low = U((1 << 48) - 1)
@@ -233,16 +234,17 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
                 if many.any():
                     out.append((int(mix(sigs[:1])[0] % U(buckets)), True, np.column_stack([sigs[many], ids[rows[many]].view(np.uint64), ids[pivot[many]].view(np.uint64)]).tobytes()))
                 sent = ~many | head
-                sigs, rows = sigs[sent], rows[sent]
+                sigs, rows, lone = sigs[sent], rows[sent], ~many[sent]
                 bucket = (sigs >> U(48)).astype(np.int64) % buckets if buckets <= 1 << 16 else (mix(sigs) % U(buckets)).astype(np.int64)
                 packed = ((sigs & low) << U(16)) | rows.astype(np.uint64)
-                sort = np.argsort(bucket, kind="stable")
-                bucket, packed = bucket[sort], packed[sort]
+                sort = np.lexsort((lone, bucket))  # heads of resolved signatures first
+                bucket, packed, lone = bucket[sort], packed[sort], lone[sort]
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
                 for at, end in zip(cuts, np.append(cuts, len(bucket))[1:], strict=True):
                     own = packed[at:end]
                     used, place = np.unique(own & U(0xFFFF), return_inverse=True)
-                    body = np.concatenate([U([len(used)]), ids[used.astype(np.int64)].view(np.uint64), (own & ~U(0xFFFF)) | place.astype(np.uint64)])
+                    flagged = int((~lone[at:end]).sum())
+                    body = np.concatenate([np.array([len(used), flagged], U), ids[used.astype(np.int64)].view(np.uint64), (own & ~U(0xFFFF)) | place.astype(np.uint64)])
                     out.append((int(bucket[at]), False, body.tobytes()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.bool_()), pa.array([o[2] for o in out], pa.binary())],
@@ -254,7 +256,7 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([known, *[pa.array(x.view(np.int64)) for x in (doc, pivot)]], ["sig", "doc_id", "pivot"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, docs_of = [], []
+        sigs, docs_of, lone_of = [], [], []
         for batch in batches:
             for resolved, body in zip(batch.column("resolved").to_pylist(), batch.column("body"), strict=True):
                 numbers = np.frombuffer(body.as_buffer(), np.uint64)
@@ -262,21 +264,24 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
                     rows = numbers.reshape(-1, 3)
                     yield rows_of(rows[:, 0] & low, *[np.ascontiguousarray(rows[:, k]) for k in (1, 2)])
                     continue
-                n = int(numbers[0])
-                sigs.append(numbers[n + 1 :] >> U(16))
-                docs_of.append(numbers[1 : n + 1].view(np.int64)[(numbers[n + 1 :] & U(0xFFFF)).astype(np.int64)])
+                n, flagged = int(numbers[0]), int(numbers[1])
+                own = numbers[n + 2 :]
+                sigs.append(own >> U(16))
+                docs_of.append(numbers[2 : n + 2].view(np.int64)[(own & U(0xFFFF)).astype(np.int64)])
+                lone_of.append(np.arange(len(own)) >= flagged)
         if sigs:
-            sig, doc = np.concatenate(sigs), np.concatenate(docs_of)
-            sort = np.lexsort((doc, sig))
-            sig, doc = sig[sort], doc[sort]
+            sig, doc, lone = np.concatenate(sigs), np.concatenate(docs_of), np.concatenate(lone_of)
+            sort = np.lexsort((lone, doc, sig))  # of equal rows the flagged one stays
+            sig, doc, lone = sig[sort], doc[sort], lone[sort]
             fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])])
-            sig, doc = sig[fresh], doc[fresh]
+            sig, doc, lone = sig[fresh], doc[fresh], lone[fresh]
             starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             size = np.diff(np.append(starts, len(sig)))
             pivot = np.repeat(doc[starts], size)
-            several = np.repeat(size > 2, size)
+            more = (size > 2) | (size == 2) & ~np.logical_and.reduceat(lone, starts)  # a flagged one stands for others
+            several = np.repeat(more, size)
             yield rows_of(sig[several], doc[several], pivot[several])
-            two = np.repeat(size == 2, size) & (doc != pivot)
+            two = np.repeat((size == 2) & ~more, size) & (doc != pivot)
             pairs = np.unique(np.column_stack([doc[two], pivot[two]]), axis=0)
             yield rows_of(None, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
 

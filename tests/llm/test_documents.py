@@ -359,5 +359,23 @@ def test_large_groups_of_copies_become_one_component(spark):
     assert Counter(map(tuple, found)) == brute_components(rows)
 
 
+def test_straggler_in_another_partition_is_linked(spark):
+    """Its only link is to a document that is the smallest of no signature in the slice of its group."""
+    rng = random.Random(23)
+    groups, stragglers = [], []
+
+    def changed(words):
+        at = rng.sample(range(6, 294, 8), 6)
+        return " ".join(f"x{rng.randint(0, 10**9)}" if k in at else word for k, word in enumerate(words))
+
+    for group in range(2):
+        base = [f"g{group}w{k}" for k in range(300)]
+        groups += [(1000 * group + k, changed(base)) for k in range(40)] + [(1000 * group + 500, " ".join(base))]
+        stragglers.append((1000 * group + 900, changed(base)))
+    apart = spark.sparkContext.parallelize([groups, stragglers], 2).flatMap(list)
+    found = jaccard_join.jaccard_components(spark.createDataFrame(apart, "doc_id bigint, text string")).collect()
+    assert Counter(map(tuple, found)) == brute_components(groups + stragglers)
+
+
 def test_jaccard_join_of_nothing(no_docs):
     assert jaccard_join.jaccard_components(no_docs).count() == 0
