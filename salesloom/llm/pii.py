@@ -5,7 +5,9 @@ the Luhn check, and international phone numbers. The words before and after a sp
 its lexical patterns. Looser rules give candidates: written-out emails, phone numbers
 without a country code, IPv6 addresses, card-like numbers. Patterns and the values they
 surround make a graph that is scored in rounds: a pattern's confidence is the score of
-the values it surrounds over all occurrences of its word in the corpus, a value's score
+the values it surrounds over all occurrences of its word in the corpus - as a whole word
+if it stands apart from the span, at the start or end of words if it is glued to it, and
+in any case those next to a span -, a value's score
 the chance that one of its patterns is right (seeds keep 1). Candidates that end with a
 score of ``accept`` or more are added; seeds always stay.
 
@@ -126,33 +128,61 @@ def candidate_spans(text: Column, seeds: Column) -> Column:
 
 
 def _graph(searched: DataFrame) -> DataFrame:
-    """kind, value, is_seed, word, n: values and the words next to them, counted."""
+    """kind, value, is_seed, side, unit, word, n: values and the words next to them, counted.
+
+    ``unit`` says of what the word is an occurrence: a whole word (W), or the start (P) or
+    end (S) of the word that the span is in.
+    """
     spans = searched.select(F.explode("_seeds").alias("s"), F.lit(True).alias("is_seed")).unionByName(
         searched.select(F.explode("_candidates").alias("s"), F.lit(False).alias("is_seed"))
     )
     left = F.regexp_extract(F.col("s.before"), rf"({WORD})[\x20\x09-\x0D]*$", 1)
     right = F.regexp_extract(F.col("s.after"), rf"^[\x20\x09-\x0D]*({WORD})", 1)
-    sides = F.array(F.struct(F.lit("L").alias("side"), ascii_lower(left).alias("word")), F.struct(F.lit("R").alias("side"), ascii_lower(right).alias("word")))
+    unit_left = F.when(F.col("s.before").rlike(r"[\x20\x09-\x0D]$"), "W").otherwise("P")
+    unit_right = F.when(F.col("s.after").rlike(r"^[\x20\x09-\x0D]"), "W").otherwise("S")
+    sides = F.array(
+        F.struct(F.lit("L").alias("side"), unit_left.alias("unit"), ascii_lower(left).alias("word")),
+        F.struct(F.lit("R").alias("side"), unit_right.alias("unit"), ascii_lower(right).alias("word")),
+    )
     edges = spans.select(F.col("s.kind").alias("kind"), F.col("s.value").alias("value"), "is_seed", F.explode(sides).alias("p"))
-    edges = edges.select("kind", "value", "is_seed", "p.side", "p.word").where("word <> ''")
-    return edges.groupBy("kind", "value", "is_seed", "side", "word").agg(F.count(F.lit(1)).alias("n"))
+    edges = edges.select("kind", "value", "is_seed", "p.side", "p.unit", "p.word").where("word <> ''")
+    return edges.groupBy("kind", "value", "is_seed", "side", "unit", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _units(word: Column, lengths: dict[str, list[int]]) -> Column:
+    """A word as a whole and its starts and ends of the given lengths, each behind its unit's letter."""
+
+    def cut(unit: str, of) -> Column:
+        proper = F.filter(F.array(*map(F.lit, lengths[unit])), lambda k: k < F.length(word))
+        return F.transform(proper, lambda k: F.concat(F.lit(unit), of(k)))
+
+    parts = [F.array(F.concat(F.lit("W"), word))]
+    parts += [cut("P", lambda k: F.substr(word, F.lit(1), k))] if lengths["P"] else []
+    parts += [cut("S", lambda k: F.substr(word, F.length(word) - k + 1, k))] if lengths["S"] else []
+    return F.concat(*parts)
 
 
 def accepted_values(searched: DataFrame, text: Column, accept: float = ACCEPT, rounds: int = ROUNDS) -> DataFrame:
     """kind, value of the candidates that their patterns confirm."""
     edges = stored(_graph(searched))
-    pattern = ["kind", "side", "word"]
-    used = edges.groupBy(*pattern).agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= MIN_SUPPORT)
+    pattern = ["kind", "side", "unit", "word"]
+    used = edges.groupBy(*pattern).agg(F.count(F.lit(1)).alias("support"), F.sum("n").alias("beside")).where(F.col("support") >= MIN_SUPPORT)
     # Only patterns next to a candidate can confirm one.
     used = stored(used.join(edges.where("not is_seed").select(*pattern).distinct(), pattern, "left_semi"))
-    words = stored(used.select(F.col("word").alias("key")).distinct())
+    words = stored(used.select(F.concat("unit", "word").alias("key")).distinct())
     n = words.count()
     if not n:
         return edges.where(F.lit(False)).select("kind", "value")
     held = Level(words, n, 0.01, 0, MAX_FILTER_BYTES)
-    every = searched.select(F.explode(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))).alias("key")).where(held.holds(F.col("key")))
+    # Fragments are of at most REACH lengths.
+    sizes = used.where("unit <> 'W'").select("unit", F.length("word").alias("size")).distinct().collect()
+    lengths = {unit: sorted(row["size"] for row in sizes if row["unit"] == unit) for unit in "PS"}
+    every = searched.select(F.explode(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))).alias("key"))
+    every = every.select(F.explode(_units(F.col("key"), lengths)).alias("key")).where(held.holds(F.col("key")))
     totals = every.groupBy("key").agg(F.count(F.lit(1)).alias("total"))
-    patterns = stored(used.join(totals, F.col("word") == F.col("key")).select(*pattern, "total"))
+    # A fragment between two spans is at no word's end, so what stands beside spans counts at least.
+    total = F.greatest(F.coalesce("total", F.lit(0)), "beside").alias("total")
+    patterns = stored(used.join(totals, F.concat("unit", "word") == F.col("key"), "left").select(*pattern, total))
     graph = stored(edges.join(patterns, pattern))
     scores = graph.select("kind", "value", "is_seed").distinct().withColumn("score", F.col("is_seed").cast("double"))
     for _ in range(rounds):

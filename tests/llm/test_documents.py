@@ -239,6 +239,18 @@ def test_patterns_find_unseen_identifiers(spark):
         assert found[i] == name(base_spans(text))
 
 
+def test_glued_labels_count_all_their_occurrences(spark):
+    rng = random.Random(4)
+    phone = lambda: f"{rng.randint(200, 999)} {rng.randint(200, 999)} {rng.randint(1000, 9999)}"
+    texts = [f"{sentence(k, 9)} q{k} tel:+44 {phone()} r{k} more" for k in range(30)]
+    texts += [f"{sentence(k, 9)} u{k} +44 {phone()}!! v{k}" for k in range(10)] + ["stop !! here"] * 3 + ["wow!! great!! " * 20] * 10
+    labelled, loose = f"y1 tel:{phone()} z1", f"y2 {phone()}!! z2"
+    docs = spark.createDataFrame(list(enumerate([*texts, labelled, loose])), "doc_id bigint, text string")
+    spans = {row.doc_id: row.spans for row in pii.report(docs).collect()}
+    assert spans[len(texts)] == "phone:7:19"
+    assert spans[len(texts) + 1] == ""
+
+
 def test_personal_data_of_nothing(no_docs):
     assert pii.report(no_docs).count() == 0
 
