@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import embedding_dedup, html_text, jaccard_join, langid, mixing, packing, pii, quality, recurrent_lm, url_filter
+from salesloom.llm import conversation_repair, embedding_dedup, html_text, jaccard_join, langid, mixing, packing, pii, quality
+from salesloom.llm import recurrent_lm, sketch_search, swap_packing, url_filter
 from salesloom.llm.common import table
+from salesloom.llm.repair_sql import REPAIR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -85,6 +87,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return swap_packing.pack(table(spark, sf_dir, "documents"), tokenizer_json("word_bpe_49k.json"), with_ids=False)
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{action}')" for host, path, action in URL_RULES)
 
 ORACLE["op3_url_filters"] = rf"""
@@ -198,3 +215,41 @@ counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(root, e.vec_id) AS component_id, coalesce(root, e.vec_id) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN counted ON a = e.vec_id LEFT JOIN roots ON node = e.vec_id
 """
+
+ORACLE["op11_sketch_search"] = r"""
+WITH texts AS (
+    SELECT doc_id, row_number() OVER () AS row_no,
+        regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+),
+sized AS (SELECT doc_id, row_no, terms, CAST(len(terms) AS BIGINT) AS n FROM texts WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized),
+lengths AS (SELECT doc_id, row_no, 10 + (90 * n * n_docs) // n_terms AS m FROM sized, totals),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+),
+words AS (SELECT row_no, unnest(terms) AS term FROM sized),
+held AS (
+    SELECT row_no, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY row_no, term
+),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, totals GROUP BY term
+),
+scored AS (
+    SELECT item_id, doc_id, row_no, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN lengths USING (row_no)
+    GROUP BY item_id, doc_id, row_no
+),
+ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank,
+        doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+ORACLE["op13_conversation_repair"] = REPAIR
