@@ -34,7 +34,7 @@ COUNTS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
 
 
 def damage(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text, dropped: rows damaged by a checksum of their key. Dropped
+    """conv_id, turn, role, text, _dropped: rows damaged by a checksum of their key. Dropped
     rows stay, marked, so that their conversation is not forgotten."""
     spaced = {name: F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn", "role", "text")}
     drawn = F.crc32(F.concat(spaced["conv_id"], F.lit(":"), spaced["turn"])) % 20
@@ -43,13 +43,13 @@ def damage(turns: DataFrame) -> DataFrame:
         "conv_id", "turn", F.when(drawn == 4, "user").otherwise(spaced["role"]).alias("role"), text.alias("text"), drawn.alias("drawn")
     )
     twice = F.explode(F.when(F.col("drawn") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    return rows.select("conv_id", "turn", "role", "text", (F.col("drawn") == 0).alias("dropped"), twice.alias("_copy")).drop("_copy")
+    return rows.select("conv_id", "turn", "role", "text", (F.col("drawn") == 0).alias("_dropped"), twice.alias("_copy")).drop("_copy")
 
 
 def _digested(turns: DataFrame) -> DataFrame:
-    dropped = F.col("dropped") if "dropped" in turns.columns else F.lit(False)
+    dropped = F.col("_dropped") if "_dropped" in turns.columns else F.lit(False)
     return turns.select(
-        "conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"), dropped.alias("dropped")
+        "conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"), dropped.alias("_dropped")
     ).withColumn("digest", F.unhex(F.sha2("text", 256)))
 
 
@@ -57,10 +57,10 @@ def judged(turns: DataFrame) -> DataFrame:
     """conv_id, turn, role, digest, code: rows without texts; a dropped row's code is null."""
     solid = F.rtrim(F.col("text"), F.lit(SPACES))
     rows = _digested(turns).select(
-        "conv_id", "turn", "role", "digest", "dropped",
+        "conv_id", "turn", "role", "digest", "_dropped",
         (solid == "").alias("blank"), (~F.right(solid, F.lit(1)).isin(".", "!", "?")).alias("truncated"),
     )
-    said = Window.partitionBy("conv_id", "dropped", "role", "digest").orderBy(F.col("turn").asc_nulls_first())
+    said = Window.partitionBy("conv_id", "_dropped", "role", "digest").orderBy(F.col("turn").asc_nulls_first())
     fault = (
         F.when(F.col("blank"), search.BLANK)
         .when(F.row_number().over(said) > 1, search.DUPLICATE)
@@ -69,7 +69,7 @@ def judged(turns: DataFrame) -> DataFrame:
     )
     initial = F.left("role", F.lit(1))
     role = F.when(initial == "s", search.SYSTEM).when(initial == "u", search.USER).when(initial == "a", search.ASSISTANT).otherwise(search.OTHER)
-    code = F.when(~F.col("dropped"), 4 * role + fault).cast("int")
+    code = F.when(~F.col("_dropped"), 4 * role + fault).cast("int")
     # One exchange serves the window and the search.
     return rows.repartition("conv_id").select("conv_id", "turn", "role", "digest", code.alias("code"))
 
@@ -143,7 +143,7 @@ def edits(rows: DataFrame) -> DataFrame:
 
 def _with_edits(turns: DataFrame, found: DataFrame) -> DataFrame:
     """Each conversation's edits in front of its rows, in one sorted partition."""
-    rows = _digested(turns).where("not dropped").drop("dropped")
+    rows = _digested(turns).where("not _dropped").drop("_dropped")
     heads = found.select(
         "conv_id", F.lit(None).cast(rows.schema["turn"].dataType).alias("turn"), F.lit(None).cast("string").alias("role"),
         F.col("audit").alias("text"), F.col("codes").alias("digest"), F.lit(0).alias("part"),

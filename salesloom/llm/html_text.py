@@ -1,4 +1,4 @@
-"""Main text of HTML pages by two-pass block rules.
+"""Main text of HTML pages by two-pass block rules; kept blocks are joined by an empty line.
 
 A page is cut into blocks at block-level tags. The first pass judges each block by its
 length, the share of link text and the density of stop words: blocks of link text, of
@@ -11,7 +11,8 @@ need no stop words.
 
 Pages are independent, so nothing is shuffled. Defined cases: null or empty html has an
 empty text; unclosed comments, scripts and tags end with the page; markup that closes
-nothing is ignored; repeated rows are extracted each; an empty table gives no rows; other
+nothing is ignored; a quote that opens no value of an attribute, or is never closed, is an
+ordinary character of its tag; very long pages are read whole, in one pass; repeated rows are extracted each; an empty table gives no rows; other
 columns are not read. Only white space inside blocks and unkept blocks are dropped.
 """
 
@@ -49,7 +50,7 @@ BAD_MARKS = frozenset(
 )
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
@@ -183,7 +184,7 @@ def labels(found: list[Block], has_article: bool) -> list[bool]:
 
 def main_text(page: str | None) -> str:
     found, has_article = blocks(page or "")
-    return "\n".join(block.text for block, good in zip(found, labels(found, has_article), strict=True) if good)
+    return "\n\n".join(block.text for block, good in zip(found, labels(found, has_article), strict=True) if good)
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators on pages and embeddings, the SQL twins, and the pipeline."""
 
 import random
+import time
 from collections import Counter
 
 import duckdb
@@ -117,7 +118,7 @@ text is long enough to be decided by its stop words.<!-- hidden <p>no</p> --><p>
 
 
 def test_main_text():
-    assert html_text.main_text(PAGE).split("\n") == [
+    assert html_text.main_text(PAGE).split("\n\n") == [
         "A title & more", "The first paragraph of the text is long enough to be decided by its stop words.", "Short one.",
         "And the second paragraph is here, with an inline link in the middle of it.",
     ]
@@ -125,7 +126,31 @@ def test_main_text():
 
 def test_pages_without_an_article_go_by_their_blocks():
     page = "<div><a href=1>One</a> <a href=2>Two</a></div><div><h2>Head</h2><p>This is the text of the page and it is long enough for a decision.</p><p>Yes.</p></div><p><a href=3>More of it</a></p>"
-    assert html_text.main_text(page).split("\n") == ["Head", "This is the text of the page and it is long enough for a decision.", "Yes."]
+    assert html_text.main_text(page).split("\n\n") == ["Head", "This is the text of the page and it is long enough for a decision.", "Yes."]
+
+
+def test_blocks_are_joined_by_an_empty_line(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    for row in html_text.extract(pages).collect():
+        blocks = row.text.split("\n\n")
+        assert all(block and block == " ".join(block.split()) for block in blocks) or row.text == ""
+        assert row.n_chars == len(row.text)
+
+
+PARAGRAPH = "The text of the page is here and it is long enough for a decision by its words."
+
+
+@pytest.mark.parametrize("attributes", ["title=it's", "title=it's class=x", "title='", 'title="', "x'y", '"', "a = 'b>c'", 'a="b>c" d', "data-x='\"' y", "=", "a=b=c'"])
+def test_quotes_that_open_no_value_swallow_nothing(attributes):
+    page = f"<p {attributes}>{PARAGRAPH}</p><p class=y>{PARAGRAPH}</p>"
+    assert html_text.main_text(page) == f"{PARAGRAPH}\n\n{PARAGRAPH}"
+
+
+def test_very_long_pages_are_read_whole():
+    page = "<div>" + f"<p title='it' data=\"x\">{PARAGRAPH}</p>" * 20_000 + "<p " + "a=b " * 100_000
+    start = time.monotonic()
+    assert html_text.main_text(page) == "\n\n".join([PARAGRAPH] * 20_000)
+    assert time.monotonic() - start < 20
 
 
 @pytest.mark.parametrize("page", [None, "", "   ", "<p", "<!-- open", "<script>x", "</div></p>", "<a href='"])
@@ -147,7 +172,7 @@ def test_extract_keeps_every_row(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     result = connection.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
