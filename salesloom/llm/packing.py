@@ -13,17 +13,13 @@ global numbering, so no rows are sorted or gathered.
 
 Defined cases: null or empty text is the end id alone; a null ``doc_id`` is carried; rows
 that repeat are packed each; an empty table gives no rows; other columns are not read.
-Texts are tokenized whole. Splitting a text before a space that is followed by something
-else than white space never crosses a token of a byte-level vocabulary whose pattern
-joins one leading space to a word, so ids of words are kept in tables of about
-``MAX_KNOWN`` entries a worker. Special tokens in a text are ordinary text.
+Texts are tokenized whole, very long ones too. Special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,78 +29,60 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import slices, stored
+from salesloom.llm.segments import byte_letters
 
 SEQ_LEN = 2048
 END_ID = 1
-MAX_KNOWN = 250_000
-SEGMENT = re.compile(r"(?= \S)")
-AWKWARD = re.compile(r" (?:\s|\Z)")
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, slot int, ordinal long"
+# Fixed value: the first step of byte-level vocabularies.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_ranks(vocabulary: dict) -> dict[bytes, int] | None:
+    """Bytes and id of each token of a byte-level vocabulary whose ids are the order of its
+    merges, so that the ids alone say what is merged first; None for any other."""
+    model, step = vocabulary["model"], vocabulary["pre_tokenizer"] or {}
+    plain = step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space")
+    if model["type"] != "BPE" or not plain or vocabulary["normalizer"] or model.get("end_of_word_suffix"):
+        return None
+    letters = {letter: byte for byte, letter in byte_letters().items()}
+    ids = model["vocab"]
+    merged = [ids["".join(pair.split(" ") if isinstance(pair, str) else pair)] for pair in model["merges"]]
+    special = {token["content"] for token in vocabulary["added_tokens"]}
+    if merged != sorted(merged) or not all(set(token) <= letters.keys() for token in ids if token not in special):
+        return None
+    return {bytes(letters[letter] for letter in token): rank for token, rank in ids.items() if token not in special}
 
 
-TAILED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
-
-
-class Remembered(dict):
-    """A bounded table in two generations: what is asked for again survives."""
-
-    def __init__(self, make: Callable[[str], bytes]):
-        super().__init__()
-        self.make, self.old = make, {}
+def text_encoder(tokenizer_json: str) -> Callable[[str], np.ndarray]:
+    """Encodes a text into uint32 ids.
 
-    def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= MAX_KNOWN:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+    Vocabularies that ``byte_ranks`` can read are encoded from their ranks, at half the cost;
+    the ids are the tokenizer's own. Others, and texts whose runs of white space are too
+    long for that, are left to the tokenizer.
+    """
+    from tokenizers import Tokenizer
 
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    tokenizer.encode_special_tokens = True
 
-def byte_letters() -> dict[int, str]:
-    """The letters that stand for bytes in byte-level vocabularies: printable bytes
-    for themselves, the others from 256 on in their order."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [byte for byte in range(256) if byte not in printable]
-    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + place) for place, byte in enumerate(others)}
+    def by_tokenizer(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    ranks = byte_ranks(json.loads(tokenizer_json))
+    if not ranks:
+        return by_tokenizer
+    from tiktoken import Encoding
 
-def text_encoder(tokenizer_json: str) -> Callable[[str], np.ndarray]:
-    """Encodes a text into uint32 ids; remembers words and parts of words it has met.
+    encoding = Encoding("documents", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
 
-    Parts are what the tokenizer's first step makes of a segment. For a space with a run of
-    letters, and marks after it, they are known without asking.
-    """
-    from tokenizers import Tokenizer
+    def by_ranks(text: str) -> np.ndarray:
+        try:
+            return encoding.encode_to_numpy(text, disallowed_special=())
+        except ValueError:
+            return by_tokenizer(text)
 
-    tokenizer = Tokenizer.from_str(tokenizer_json)
-    split, model, letters = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model, byte_letters()
-    parts = Remembered(lambda part: array("I", [token.id for token in model.tokenize(part)]).tobytes())
-
-    def encode_segment(segment: str) -> bytes:
-        return b"".join([parts[part] for part, _ in split(segment)])
-
-    def encode_word(word: str) -> bytes:
-        if word.isalpha():
-            return parts[(" " + word).encode().decode("latin-1").translate(letters)]
-        tailed = TAILED.fullmatch(word)
-        if tailed and tailed[1].isalpha():
-            return parts[(" " + tailed[1]).encode().decode("latin-1").translate(letters)] + parts[tailed[2]]
-        return encode_segment(" " + word)
-
-    words = Remembered(encode_word)
-
-    def encode(text: str) -> np.ndarray:
-        if AWKWARD.search(text):
-            coded = b"".join(map(encode_segment, SEGMENT.split(text)))
-        else:
-            first, *rest = text.split(" ")
-            coded = encode_segment(first) + b"".join([words[word] for word in rest])
-        return np.frombuffer(coded, dtype="<u4")
-
-    return encode
+    return by_ranks
 
 
 def piece_lengths(n: int, seq_len: int = SEQ_LEN) -> list[int]:
