@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from salesloom.contract.registry import _CONTENTS as CONTENTS
 from salesloom.contract.registry import END, START, TAG, VOCABULARY
 from salesloom.contract.tables import AS_OF
 from salesloom.plans import questions as Q
@@ -51,6 +52,7 @@ SELECT -p_partkey-1, TIMESTAMP '1999-01-01', sku, product_name || ' (old)', pric
 SELECT sku AS code, id AS id_src, product_name AS name, gtin, unit, status, location, price, promo_price,
   created_at, tags FROM p
 QUALIFY row_number() OVER (PARTITION BY sku ORDER BY created_at DESC NULLS LAST, id DESC) = 1""",
+    "k": "SELECT code, row_number() OVER (ORDER BY code) AS product_key FROM d",
     "li": """
 SELECT i.*, o.order_date, o.channel, o.status FROM i JOIN o USING (order_id)""",
     "e": f"""
@@ -60,16 +62,16 @@ SELECT li.order_date AS day, coalesce(li.product_name, '(sem nome)') AS product,
 FROM li JOIN d ON d.code = li.sku AND d.status = 'A'""",
     "f": f"""
 SELECT coalesce(h.day, {DAY}) AS day, order_id, item_seq, order_number, code, description, qty, unit_price, total,
-  order_status, dd.code IS NOT NULL AS has_product
+  order_status, product_key
 FROM (SELECT order_id, item_seq, sku AS code, product_name AS description, coalesce(qty,0) AS qty,
         coalesce(price,0) AS unit_price, coalesce(total,0) AS total FROM i
       QUALIFY row_number() OVER (PARTITION BY order_id, item_seq ORDER BY sku DESC NULLS LAST,
         product_name DESC NULLS LAST, i.qty DESC NULLS LAST, price DESC NULLS LAST, i.total DESC NULLS LAST) = 1)
 JOIN (SELECT order_id, order_number, status AS order_status,
         CASE WHEN order_id%71<>0 THEN order_date END AS day FROM o) h USING (order_id)
-LEFT JOIN (SELECT code FROM d) dd USING (code)""",
+LEFT JOIN k USING (code)""",
 }
-_NEEDS = {"p": ["p0"], "d": ["p0", "p"], "li": ["i", "o"], "e": ["i", "o", "li", "p0", "p", "d"], "f": ["i", "o", "p0", "p", "d"]}
+_NEEDS = {"p": ["p0"], "d": ["p0", "p"], "li": ["i", "o"], "e": ["i", "o", "li", "p0", "p", "d"], "f": ["i", "o", "p0", "p", "d", "k"], "k": ["p0", "p", "d"]}
 _TYPES = {"s": "VARCHAR", "b": "BIGINT", "d": "DOUBLE", "t": "BOOLEAN"}
 # Revenue of a line: total, else quantity times price.
 REV = f"coalesce(total, CAST(coalesce(qty,0)*coalesce(price,0) AS {MONEY}))"
@@ -113,6 +115,15 @@ def _label(column: str, default: str) -> str:
 
 
 APPROVED = "status ILIKE '%aprov%'"
+# Lines that the replies of ``src`` hold, see ``pages.order_details``.
+REPLY_LINES = """
+  SELECT order_id, 1 + n AS item_seq, product_id, nullif(sku,'') AS sku, product_name,
+    CASE WHEN n=0 OR order_id%13<>0 THEN qty END AS qty, price, CASE WHEN n=0 OR order_id%17<>0 THEN total END AS total
+  FROM {src}, (SELECT unnest([0, 1, 2]) AS n) WHERE order_id%89<>0 AND n <= order_id%3"""
+# The last line of an order, by the text that tells its place.
+LAST_LINE = """(SELECT * FROM i QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY
+  concat_ws('|', lpad(CAST(item_seq AS VARCHAR), 9, '0'), product_id, coalesce(sku,''), coalesce(product_name,''),
+    coalesce(CAST(i.qty AS VARCHAR),''), coalesce(CAST(price AS VARCHAR),''), coalesce(CAST(i.total AS VARCHAR),'')) DESC) = 1)"""
 ORACLE: dict[str, str] = {}
 
 
@@ -403,6 +414,15 @@ def _profiles() -> dict[str, str]:
 
 def _sources() -> dict[str, str]:
     dirty_day = """CASE WHEN order_id%73=0 OR order_id%79=0 THEN NULL ELSE order_date END"""
+    month = f"coalesce(strftime({dirty_day}, '%Y-%m'), 'none')"
+    line_cols = "order_id:b item_seq:b product_id:s sku:s product_name:s qty:d price:d total:d"
+    landed = """
+      SELECT id, sku AS code, product_name AS name, gtin, unit, CASE WHEN abs(id)%11<>0 THEN price END AS price, promo_price,
+        status, location, CASE WHEN abs(id)%9<>1 THEN strftime(created_at, '%Y-%m-%d %H:%M:%S') END AS created_at,
+        CASE WHEN tags IS NULL THEN NULL
+          WHEN abs(id)%4 IN (0, 2) THEN trim(split_part(tags,',',1)) || ',' || trim(split_part(tags,',',2)) || ',3'
+          WHEN abs(id)%4 = 1 THEN trim(split_part(tags,',',1)) || ',' || trim(split_part(tags,',',2))
+          ELSE tags END AS tags FROM p"""
     return {
         "landed_order_pages": _sql("o", "order_id:b external_id:s order_number:s order_date:s channel:s customer_id:s customer_name:s status:s total:d", f"""
           SELECT order_id, CAST(order_id AS VARCHAR) AS external_id, CASE WHEN order_id%5<>0 THEN order_number END AS order_number,
@@ -432,24 +452,57 @@ def _sources() -> dict[str, str]:
             CASE WHEN order_id%3<>0 THEN nullif(total, 0) END AS total
           FROM o WHERE order_id%83<>0 AND order_id<>0"""),
         "staged_items": _sql("i", "code:s description:s lines:b qty:d total:d unpriced:b", """
-          SELECT nullif(sku,'') AS code, product_name AS description, 2 * count(*) AS lines,
-            sum(coalesce(qty,0) + CASE WHEN order_id%13<>0 THEN coalesce(qty,0) ELSE 0 END) AS qty,
-            sum(coalesce(total,0) + CASE WHEN order_id%17<>0 THEN coalesce(total,0) ELSE 0 END) AS total,
-            2 * count(*) FILTER (WHERE coalesce(price,0) = 0) AS unpriced
+          SELECT nullif(sku,'') AS code, product_name AS description, sum(1 + order_id%3) AS lines,
+            sum(coalesce(qty,0) + CASE WHEN order_id%13<>0 THEN order_id%3 * coalesce(qty,0) ELSE 0 END) AS qty,
+            sum(coalesce(total,0) + CASE WHEN order_id%17<>0 THEN order_id%3 * coalesce(total,0) ELSE 0 END) AS total,
+            coalesce(sum(1 + order_id%3) FILTER (WHERE coalesce(price,0) = 0), 0) AS unpriced
           FROM i WHERE order_id%89<>0 GROUP BY 1, 2"""),
         "landed_page_rejects": _sql("o", "reason:s pages:b", "SELECT 'limite de acessos' AS reason, count(*) AS pages FROM o WHERE order_id%83=0"),
-        "landed_order_details": _sql("i", "order_id:b item_seq:b product_id:s sku:s product_name:s qty:d price:d total:d", """
-          SELECT order_id, 1 AS item_seq, product_id, nullif(sku,'') AS sku, product_name, qty, price, total FROM i WHERE order_id%89<>0
-          UNION ALL SELECT order_id, 2, product_id, nullif(sku,''), product_name, CASE WHEN order_id%13<>0 THEN qty END, price,
-            CASE WHEN order_id%17<>0 THEN total END FROM i WHERE order_id%89<>0"""),
-        "landed_product_pages": _sql("p", "id:b code:s name:s gtin:s unit:s price:d promo_price:d status:s location:s created_at:s tags:s", """
-          SELECT id, sku AS code, product_name AS name, gtin, unit, CASE WHEN abs(id)%11<>0 THEN price END AS price, promo_price,
-            status, location, CASE WHEN abs(id)%9<>1 THEN strftime(created_at, '%Y-%m-%d %H:%M:%S') END AS created_at,
-            CASE WHEN tags IS NULL THEN NULL
-              WHEN abs(id)%4 IN (0, 2) THEN trim(split_part(tags,',',1)) || ',' || trim(split_part(tags,',',2)) || ',' ||
-                CASE WHEN abs(id)%4=0 THEN '3' ELSE '3' END
-              WHEN abs(id)%4 = 1 THEN trim(split_part(tags,',',1)) || ',' || trim(split_part(tags,',',2))
-              ELSE tags END AS tags FROM p"""),
+        "landed_order_details": _sql("i", f"{line_cols}", REPLY_LINES.format(src="i")),
+        "stored_order_amounts": _sql("o", "order_id:b ordered_at:s products_amount:d discount_amount:d freight_amount:d total_amount:d month:s", f"""
+          SELECT order_id, strftime(CASE WHEN order_id%4<>3 THEN {dirty_day} END + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS ordered_at,
+            CASE WHEN order_id%5<>0 THEN total END AS products_amount, CASE WHEN order_id%6=0 THEN 1.5 END AS discount_amount,
+            CASE WHEN order_id%4<>0 THEN 12.25 END AS freight_amount, CASE WHEN order_id%3=0 THEN total END AS total_amount,
+            {month} AS month FROM o WHERE order_id%83<>0 AND order_id<>0"""),
+        "stored_lines_replaced": _sql("o i", f"{line_cols} month:s", f"""
+          WITH doubled AS (SELECT * REPLACE (CASE WHEN order_id IN (SELECT order_id FROM o WHERE {RECENT}30) THEN CAST(qty * 2 AS {MONEY}) ELSE qty END AS qty)
+            FROM {LAST_LINE})
+          SELECT l.*, coalesce(stored, 'none') AS month FROM ({REPLY_LINES.format(src="doubled")}) AS l
+          LEFT JOIN (SELECT order_id, {month} AS stored FROM o WHERE order_id%83<>0 AND order_id<>0) USING (order_id)"""),
+        "stored_detail_rejects": _sql("i", "order_id:b reason:s", "SELECT DISTINCT order_id, 'Erro' AS reason FROM i WHERE order_id%89=0"),
+        "stored_dimension": _sql("p", "product_key:b code:s id_src:b name:s gtin:s unit:s status:s location:s price:d promo_price:d created_at:s updated_at:s tags:s", f"""
+          WITH pages AS ({landed}),
+          first_keys AS (SELECT code, row_number() OVER (ORDER BY code) AS product_key FROM (SELECT DISTINCT code FROM pages WHERE status = 'I')),
+          keys AS (FROM first_keys UNION ALL SELECT code, (SELECT count(*) FROM first_keys) + row_number() OVER (ORDER BY code)
+            FROM (SELECT DISTINCT code FROM pages WHERE code NOT IN (SELECT code FROM first_keys))),
+          newest AS (SELECT * FROM pages QUALIFY row_number() OVER (PARTITION BY code ORDER BY created_at DESC NULLS LAST, id DESC) = 1),
+          early AS (SELECT code, tags FROM pages WHERE status = 'I'
+            QUALIFY row_number() OVER (PARTITION BY code ORDER BY created_at DESC NULLS LAST, id DESC) = 1)
+          SELECT product_key, code, id AS id_src, name, gtin, unit, status, location, price, promo_price, created_at,
+            '{AS_OF} 00:00:00' AS updated_at, coalesce(newest.tags, early.tags) AS tags
+          FROM newest JOIN keys USING (code) LEFT JOIN early USING (code)"""),
+        "stream_increments": _sql("o i", "order_id:b status:s total:d month:s lines:b qty:d", f"""
+          WITH heads AS (SELECT order_id, status, CASE WHEN order_id%3=0 THEN total ELSE nullif(total, 0) END AS total, {month} AS month
+              FROM o WHERE order_id%83<>0 AND order_id<>0),
+            sums AS (SELECT order_id, count(*) AS lines, sum(qty) AS qty FROM ({REPLY_LINES.format(src=LAST_LINE)}) GROUP BY 1)
+          SELECT order_id, status, total, coalesce(month, 'none') AS month, lines, qty FROM heads FULL JOIN sums USING (order_id)"""),
+        "stream_batches": _sql("o i", 'stream:s number:b pages:b rejected:b "rows":b parts:s', f"""
+          WITH heads AS (SELECT order_id, order_date >= {DAY} - 60 AS late, order_id%83=0 AS bad, {month} AS month FROM o),
+          kept AS (SELECT * FROM heads WHERE NOT bad AND order_id<>0),
+          replies AS (SELECT DISTINCT order_id FROM i),
+          first_months AS (SELECT order_id, month FROM kept WHERE NOT late),
+          sums AS (SELECT order_id, count(*) AS lines FROM ({REPLY_LINES.format(src=LAST_LINE)}) GROUP BY 1),
+          spread AS (SELECT r.order_id, coalesce(f.month, 'none') AS early, coalesce(k.month, 'none') AS late_month
+            FROM replies r LEFT JOIN first_months f USING (order_id) LEFT JOIN kept k USING (order_id) WHERE r.order_id%89<>0)
+          SELECT 'orders' AS stream, CAST(late AS BIGINT) AS number, count(*) AS pages, count(DISTINCT CASE WHEN bad THEN PART END) AS rejected,
+            count(*) FILTER (WHERE NOT bad AND order_id<>0) AS "rows",
+            string_agg(DISTINCT month, ',' ORDER BY month) FILTER (WHERE NOT bad AND order_id<>0) AS parts
+          FROM (SELECT *, 0 AS PART FROM heads) GROUP BY late
+          UNION ALL SELECT 'order_items', n, (SELECT count(*) FROM replies), (SELECT count(*) FROM replies WHERE order_id%89=0),
+            (SELECT sum(lines) FROM sums), CASE n WHEN 0 THEN (SELECT string_agg(DISTINCT early, ',' ORDER BY early) FROM spread)
+              ELSE (SELECT string_agg(DISTINCT late_month, ',' ORDER BY late_month) FROM spread) END
+          FROM (SELECT unnest([0, 1]) AS n)"""),
+        "landed_product_pages": _sql("p", "id:b code:s name:s gtin:s unit:s price:d promo_price:d status:s location:s created_at:s tags:s", landed),
         "product_category_tags": _sql("p", "id_src:b tag:s", """
           SELECT id AS id_src, CASE WHEN abs(id)%6 IN (0, 2) THEN '' ELSE location END AS tag FROM p WHERE abs(id)%31<>0"""),
         "rows_as_json": _sql("o", "order_id:b " + " ".join(f"json_{c}:s" for c in (
@@ -526,12 +579,16 @@ def _maintenance() -> dict[str, str]:
             strftime(v, '%B') AS month_name, dayofweek(v) AS dow, strftime(v, '%A') AS dow_name, dayofweek(v) IN (0,6) AS is_weekend, orders
           FROM (SELECT CAST(unnest(generate_series({DAY} - INTERVAL 6 YEAR, {DAY} + INTERVAL 1 YEAR, INTERVAL 1 DAY)) AS DATE) AS v)
           LEFT JOIN (SELECT order_date, count(*) AS orders FROM o GROUP BY 1) ON order_date = v"""),
-        "dimension_products": _sql("p", dim, dim_row.format(stamp=AS_OF, tags="tags", where="")),
-        "dimension_upsert": _sql("p", dim, f"""
-          WITH c AS ({dim_row.format(stamp=AS_OF, tags="tags", where="WHERE status = 'A'")})
+        "dimension_products": _sql("p k", f"product_key:b {dim}", f"SELECT * FROM ({dim_row.format(stamp=AS_OF, tags='tags', where='')}) JOIN k USING (code)"),
+        "dimension_upsert": _sql("p", f"product_key:b {dim}", f"""
+          WITH c AS ({dim_row.format(stamp=AS_OF, tags="tags", where="WHERE status = 'A'")}),
+          first_keys AS (SELECT code, row_number() OVER (ORDER BY code) AS product_key FROM (SELECT DISTINCT sku AS code FROM p WHERE status = 'I')),
+          keys AS (FROM first_keys UNION ALL SELECT code, (SELECT count(*) FROM first_keys) + row_number() OVER (ORDER BY code)
+            FROM c WHERE code NOT IN (SELECT code FROM first_keys))
+          SELECT u.*, product_key FROM (
           SELECT * REPLACE (coalesce(tags, CASE WHEN code IN (SELECT sku FROM p WHERE status = 'I') THEN 'x' END) AS tags)
           FROM c UNION ALL SELECT * FROM ({dim_row.format(stamp="2001-01-01", tags="'x'", where="WHERE status = 'I'")})
-          WHERE code NOT IN (SELECT code FROM c)"""),
+          WHERE code NOT IN (SELECT code FROM c)) AS u JOIN keys USING (code)"""),
         "orders_upserted": _sql("o", f"{order_cols} version:b", f"""
           SELECT * REPLACE (CASE WHEN {recent60} THEN CASE WHEN {APPROVED} THEN 'Entregue' ELSE 'Em aberto' END ELSE status END AS status),
             CASE WHEN {recent60} THEN CASE WHEN {APPROVED} THEN 2 ELSE 1 END ELSE 0 END AS version
@@ -541,7 +598,18 @@ def _maintenance() -> dict[str, str]:
           WHERE NOT ({recent30} AND status = 'aprovação parcial')"""),
         "orders_migrated": _sql("o", order_cols, """
           SELECT * REPLACE (CASE WHEN order_date < DATE '2000-01-01' THEN external_id END AS external_id) FROM o"""),
-        "fact_reloaded": _sql("f", "date_key:b order_id:b item_seq:b order_number:s code:s description:s qty:d unit_price:d total:d order_status:s has_product:t",
+        "fact_window_loaded": _sql("o i k", "date_key:b order_id:b item_seq:b order_number:s product_key:b code:s description:s qty:d unit_price:d total:d order_status:s month:s", f"""
+          WITH heads AS (SELECT order_id, CASE WHEN order_id%5<>0 THEN order_number END AS order_number,
+              CASE WHEN order_id%3<>0 THEN status END AS order_status,
+              CASE WHEN order_id%4 IN (0, 3) AND order_id%73<>0 AND order_id%79<>0 THEN order_date END AS known
+            FROM o WHERE order_id%83<>0 AND order_id<>0),
+          dated AS (SELECT *, coalesce(known, {DAY}) AS day FROM heads WHERE coalesce(known, {DAY}) BETWEEN {DAY} - 90 AND {DAY})
+          SELECT CAST(strftime(day, '%Y%m%d') AS BIGINT) AS date_key, order_id, item_seq, order_number, product_key, code, description, qty, unit_price,
+            total, order_status, strftime(day, '%Y-%m') AS month
+          FROM (SELECT order_id, item_seq, sku AS code, product_name AS description, coalesce(qty,0) AS qty, coalesce(price,0) AS unit_price,
+              coalesce(total,0) AS total FROM ({REPLY_LINES.format(src=LAST_LINE)}))
+          JOIN dated USING (order_id) LEFT JOIN k USING (code)"""),
+        "fact_reloaded": _sql("f", "date_key:b order_id:b item_seq:b order_number:s code:s description:s qty:d unit_price:d total:d order_status:s product_key:b",
             "SELECT *, CAST(strftime(day, '%Y%m%d') AS BIGINT) AS date_key FROM f"),
         "backfilled_orders": _sql("o i", "order_id:b channel:s total:d", f"""
           SELECT order_id, CASE WHEN channel IS NULL OR channel = '' OR channel ILIKE 'null' THEN '(sem canal)' ELSE channel END AS channel,
@@ -570,5 +638,24 @@ def _maintenance() -> dict[str, str]:
     }
 
 
+def _contents() -> str:
+    """Rows of all stored reports, from the reports' own twins."""
+    sources = {
+        "daily_orders": "daily_orders_from_headers", "channels_30d": "channel_orders", "product_ranking_90d": "product_ranking",
+        "daily_orders_lines": "daily_orders_from_lines", "channel_lines_30d": "channel_revenue_from_lines",
+        "product_sales_90d": "product_sales", "daily_channels": "daily_channel_orders",
+    }
+    parts = []
+    for report, (key, name, *measures) in CONTENTS.items():
+        numbers = ", ".join(f"CAST({column or 'NULL'} AS DOUBLE) AS {alias}" for column, alias in zip(measures, "abc", strict=True))
+        parts.append(f"SELECT '{report}' AS report, {key} AS key, CAST({name or 'NULL'} AS VARCHAR) AS name, {numbers} FROM ({ORACLE[sources[report]]})")
+    return " UNION ALL ".join(parts)
+
+
 for _group in (_sales_reports, _period_reports, _question_reports, _profiles, _sources, _cleansing, _maintenance):
     ORACLE.update(_group())
+ORACLE["reports_contents"] = ORACLE["reports_contents_incremental"] = _contents()
+ORACLE["period_summary_merged"] = ORACLE["period_summary"]
+ORACLE["orders_page_after"] = ORACLE["orders_page"]
+ORACLE["product_search_indexed"] = ORACLE["product_search_word"]
+ORACLE["record_search_indexed"] = ORACLE["record_search"]

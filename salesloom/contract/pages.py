@@ -32,6 +32,10 @@ def _wrapped_or_bare(body: dict[str, Column], wrapper: str, wrapped: Column) ->
 
 
 def order_pages(orders: DataFrame) -> DataFrame:
+    return _parsed(page_texts(orders), orders, schemas.ORDER_PAGE)
+
+
+def page_texts(orders: DataFrame) -> Column:
     key = F.col("order_id")
     text = F.date_format("order_date", "dd/MM/yyyy")
     dirty = (
@@ -71,11 +75,16 @@ def order_pages(orders: DataFrame) -> DataFrame:
         F.when(bad, "limite de acessos").alias("erros"),
         F.when(~bad, F.array(_wrapped_or_bare(body, "pedido", key % 2 == 0))).alias("pedidos"),
     )
-    return _parsed(F.to_json(F.struct(page.alias("retorno"))), orders, schemas.ORDER_PAGE)
+    return F.to_json(F.struct(page.alias("retorno")))
 
 
 def order_details(items: DataFrame) -> DataFrame:
-    """Details with two lines: the line itself wrapped, and bare under other names."""
+    """Details with one to three lines: the line itself wrapped, and up to twice bare under
+    other names."""
+    return _parsed(detail_texts(items), items, schemas.ORDER_DETAIL)
+
+
+def detail_texts(items: DataFrame) -> Column:
     key = F.col("order_id")
     qty, price, total = (F.col(c).cast("string") for c in ("qty", "price", "total"))
     line = {
@@ -96,19 +105,41 @@ def order_details(items: DataFrame) -> DataFrame:
         F.lit(None).cast(f"struct<{','.join(f'{n}:string' for n in line)}>").alias("item"),
         *[other.get(n, F.lit(None).cast("string")).alias(n) for n in fields],
     )
-    lines = F.array(first, second)
+    lines = F.slice(F.array(first, second, second), 1, (key % 3 + 1).cast("int"))
     bad = key % 89 == 0
     reply = F.struct(
         F.when(bad, "Erro").otherwise("OK").alias("status"),
-        F.when(~bad & (key % 3 != 0), F.struct(key.cast("string").alias("id"), lines.alias("itens"))).alias("pedido"),
-        F.when(~bad & (key % 3 == 0), lines).alias("itens"),
+        F.when(~bad & (key % 5 != 0), F.struct(key.cast("string").alias("id"), lines.alias("itens"))).alias("pedido"),
+        F.when(~bad & (key % 5 == 0), lines).alias("itens"),
     )
-    text = F.to_json(F.struct(key.cast("string").alias("id"), reply.alias("retorno")))
-    return _parsed(text, items, schemas.ORDER_DETAIL)
+    return F.to_json(F.struct(key.cast("string").alias("id"), reply.alias("retorno")))
+
+
+def line_order(items: DataFrame) -> Column:
+    """Text by which the line of an order that counts as its last is told; equal lines are equal."""
+    rest = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("product_id", "sku", "product_name", "qty", "price", "total")]
+    return F.concat_ws("|", F.lpad(F.col("item_seq").cast("string"), 9, "0"), *rest)
+
+
+def arriving_details(items: DataFrame) -> DataFrame:
+    """Details that arrive in the order of their lines, so that an order's last line is known."""
+    rows = items.select("*", line_order(items).alias("file"))
+    text = detail_texts(rows)
+    arrived = F.struct(F.lit(None).cast("timestamp").alias("time"), "file", F.lit(0).cast("bigint").alias("split"))
+    return rows.select(F.from_json(text, schemas.ORDER_DETAIL).alias("r"), arrived.alias("arrived")).select("r.*", "arrived")
+
+
+def last_lines(items: DataFrame) -> DataFrame:
+    """One line of each order, its last."""
+    return items.groupBy("order_id").agg(F.max_by(F.struct(*items.columns), line_order(items)).alias("r")).select("r.*")
 
 
 def product_pages(products: DataFrame) -> DataFrame:
     """Product pages whose tags come in each of the four shapes."""
+    return _parsed(product_texts(products), products, schemas.PRODUCT_PAGE)
+
+
+def product_texts(products: DataFrame) -> Column:
     key = F.abs("id")
     brand = F.trim(F.split("tags", ",")[0])
     kind = F.trim(F.split("tags", ",")[1])
@@ -149,8 +180,7 @@ def product_pages(products: DataFrame) -> DataFrame:
         entry = F.array(F.struct(product.alias("produto")))
         return F.to_json(F.struct(F.struct(F.lit("OK").alias("status"), entry.alias("produtos")).alias("retorno")))
 
-    text = F.when(key % 4 == 1, page(shapes[0])).when(key % 4 == 2, page(shapes[1])).otherwise(page(shapes[2]))
-    return _parsed(text, products, schemas.PRODUCT_PAGE)
+    return F.when(key % 4 == 1, page(shapes[0])).when(key % 4 == 2, page(shapes[1])).otherwise(page(shapes[2]))
 
 
 def product_details(products: DataFrame) -> DataFrame:

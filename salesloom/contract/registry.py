@@ -8,20 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesloom import schemas
 from salesloom.contract import pages
 from salesloom.contract.tables import AS_OF, MONEY, Shop, utc_midnight
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
 from salesloom.operators.lineage import ensure_checkpoint_dir
-from salesloom.operators.ordering import high_first, low_first, page
+from salesloom.operators.ordering import high_first, last_key, low_first, page, page_after
 from salesloom.operators.ranking import running_share
 from salesloom.operators.upsert import duplicate_keys, replace_keys, upsert
-from salesloom.plans import channels, customers, dataset, maintain, products, quality, questions, sales, search
+from salesloom.plans import channels, customers, dataset, maintain, products, quality, questions, sales, search, states
 from salesloom.plans.lines import sales_enriched, sales_rollup, sold_lines
 from salesloom.sources import landing
 from salesloom.sources.sinks import with_raw_json, write_csv
-from salesloom.sources.warehouse import Warehouse, add_missing_columns
-from salesloom.streaming.ingest import apply_order_pages
+from salesloom.sources.warehouse import Warehouse, add_missing_columns, month_text
+from salesloom.streaming.ingest import apply_order_details, apply_order_pages, ingest_increment, ingest_products, load_fact_window
 
 START, END, TAG = "2000-07-01", "2001-07-31", "promo"
 VOCABULARY = ("economy", "small", "medium", "promo", "brand#2", "brand#11")
@@ -301,7 +302,7 @@ def kpi_comparison(s: Shop) -> DataFrame:
 
 
 def _facts(s: Shop) -> DataFrame:
-    return maintain.fact_rows(s.stg_order_items, s.stg_orders, s.dim_product, AS_OF, None)
+    return maintain.fact_rows(s.stg_order_items, s.stg_orders, s.keyed_products, AS_OF, None)
 
 
 @query
@@ -311,8 +312,8 @@ def fact_daily_sales(s: Shop) -> DataFrame:
 
 @query
 def fact_top_skus(s: Shop) -> DataFrame:
-    recent = maintain.fact_rows(s.stg_order_items, s.stg_orders, s.dim_product, AS_OF, 30)
-    return products.fact_top_skus(recent, s.dim_product, AS_OF)
+    recent = maintain.fact_rows(s.stg_order_items, s.stg_orders, s.keyed_products, AS_OF, 30)
+    return products.fact_top_skus(recent, s.keyed_products, AS_OF)
 
 
 @query
@@ -610,14 +611,17 @@ def product_search_exact(s: Shop) -> DataFrame:
     return _search(s, "RED WIDGET", "name", "exact")
 
 
-@query
-def record_search(s: Shop) -> DataFrame:
-    records = {
+def _records(s: Shop) -> dict[str, DataFrame]:
+    return {
         "order": s.orders.withColumnRenamed("order_id", "id"),
         "customer": s.given("customer").withColumnRenamed("c_custkey", "id"),
         "product": s.products,
     }
-    found = search.record_search(records, "customer#00000001")
+
+
+@query
+def record_search(s: Shop) -> DataFrame:
+    found = search.record_search(_records(s), "customer#00000001")
     return found.select("kind", F.get_json_object("record", "$.id").alias("id"))
 
 
@@ -626,6 +630,37 @@ def orders_page(s: Shop) -> DataFrame:
     return page(s.orders.select("order_id", "order_date", "status"), 3, 50, high_first("order_date"), low_first("order_id"))
 
 
+@query
+def orders_page_after(s: Shop) -> DataFrame:
+    """The third page, each one started from the last key of the one before."""
+    orders, order, last = s.orders.select("order_id", "order_date", "status"), [("order_date", True), ("order_id", False)], None
+    for _ in range(2):
+        last = last_key(page_after(orders, 50, order, last), order)
+    return page_after(orders, 50, order, last)
+
+
+def _indexed(s: Shop, name: str, texts: DataFrame) -> Warehouse:
+    shop = _scratch(s, name)
+    search.build_search_index(shop, name, texts)
+    return shop
+
+
+@query
+def product_search_indexed(s: Shop) -> DataFrame:
+    """The word search by candidates of the stored index."""
+    accented = s.products.withColumn("product_name", F.translate("product_name", "aei", "ãéí"))
+    shop = _indexed(s, "product_grams", search.product_texts(accented))
+    return search.product_search_indexed(accented, shop, "product_grams", "Ring", "name", "word").select("id", "sku", "product_name")
+
+
+@query
+def record_search_indexed(s: Shop) -> DataFrame:
+    records = _records(s)
+    shop = _indexed(s, "record_grams", search.record_texts(records))
+    found = search.record_search_indexed(records, shop, "record_grams", "customer#00000001")
+    return found.select("kind", F.get_json_object("record", "$.id").alias("id"))
+
+
 # --- joins, windows, maintenance ------------------------------------------------
 
 
@@ -651,17 +686,19 @@ def calendar_orders(s: Shop) -> DataFrame:
 
 @query
 def dimension_products(s: Shop) -> DataFrame:
-    return s.dim_product.drop("product_key")
+    return s.keyed_products
 
 
 @query
 def dimension_upsert(s: Shop) -> DataFrame:
     """Dimension built from inactive products first, then updated from all."""
     stamp = utc_midnight("2001-01-01")
-    before = maintain.dim_product_rows(s.stg_products.where("status = 'I'").withColumn("tags", F.lit("x")), stamp)
+    inactive = s.stg_products.where("status = 'I'").withColumn("tags", F.lit("x"))
+    keys = maintain.new_product_keys(s.spark.createDataFrame([], schemas.PRODUCT_KEYS), inactive)
+    before = maintain.dim_product_rows(inactive, stamp, keys)
     changes = s.stg_products.where("status = 'A'")
-    after = maintain.upsert_dim_product(before, changes, utc_midnight(AS_OF))
-    return after.drop("product_key")
+    keys = keys.unionByName(maintain.new_product_keys(keys, changes))
+    return maintain.upsert_dim_product(before, changes, utc_midnight(AS_OF), keys)
 
 
 @query
@@ -702,6 +739,91 @@ def stored_page_rejects(s: Shop) -> DataFrame:
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("pages"))
 
 
+@query
+def stored_order_amounts(s: Shop) -> DataFrame:
+    return _stored_increments(s).load("order_amounts")
+
+
+def _stored_lines(s: Shop) -> Warehouse:
+    """Headers, then the details of all lines, then recent details again with other quantities."""
+    shop = _scratch(s, "lines")
+    apply_order_pages(shop, pages.order_pages(s.orders))
+    apply_order_details(shop, pages.arriving_details(s.order_items))
+    recent = s.orders.where(P.since_days(F.col("order_date"), AS_OF, 30)).select("order_id")
+    again = s.order_items.withColumn("qty", (F.col("qty") * 2).cast(MONEY)).join(recent, "order_id", "left_semi")
+    apply_order_details(shop, pages.arriving_details(again))
+    return shop
+
+
+@query
+def stored_lines_replaced(s: Shop) -> DataFrame:
+    return _stored_lines(s).load("order_items").drop("raw_json")
+
+
+@query
+def stored_detail_rejects(s: Shop) -> DataFrame:
+    return _stored_lines(s).load("rejected_details").select("order_id", "reason")
+
+
+def _land(rows: DataFrame, text, folder: str) -> None:
+    """Write replies as files of JSON lines, one more set in the folder."""
+    rows.select(text.alias("value")).write.mode("append").text(folder)
+
+
+@query
+def stored_dimension(s: Shop) -> DataFrame:
+    """Dimension, with its keys, after two landings of product pages: the inactive
+    products, then all others."""
+    shop = _scratch(s, "dimension")
+    folder = shop.path("landing")
+    for status in ("I", "A"):
+        rows = s.products.where(F.col("status") == status)
+        _land(rows, pages.product_texts(rows), folder)
+        ingest_products(s.spark, shop, folder, utc_midnight(AS_OF))
+    return shop.load("dim_product")
+
+
+def _landed_twice(s: Shop) -> Warehouse:
+    """Two runs of the stream. Between them the recent pages land, and the details of all
+    orders once more."""
+    shop = _scratch(s, "stream")
+    page_folder, detail_folder = shop.path("landing/pages"), shop.path("landing/details")
+    details = pages.last_lines(s.order_items)
+    recent = P.since_days(F.col("order_date"), AS_OF, 60)
+    for rows in (s.orders.where(~recent), s.orders.where(recent)):
+        _land(rows, pages.page_texts(rows), page_folder)
+        _land(details, pages.detail_texts(details), detail_folder)
+        ingest_increment(s.spark, shop, page_folder, detail_folder)
+    return shop
+
+
+@query
+def stream_increments(s: Shop) -> DataFrame:
+    """Orders of the stream with their lines, after two runs with repeated files."""
+    shop = _landed_twice(s)
+    lines = shop.load("order_items").groupBy("order_id", "month").agg(F.count(F.lit(1)).alias("lines"), F.sum("qty").alias("qty"))
+    orders = shop.load("orders").select("order_id", "status", "total", "month")
+    return orders.join(lines, ["order_id", "month"], "full")
+
+
+@query
+def stream_batches(s: Shop) -> DataFrame:
+    """What each batch of the stream wrote."""
+    return _landed_twice(s).load("load_batches").drop("batch")
+
+
+@query
+def fact_window_loaded(s: Shop) -> DataFrame:
+    """The stored fact table after its last 90 days, then its last 30 days were loaded from pages."""
+    shop = _scratch(s, "facts")
+    known = s.spark.createDataFrame([], schemas.PRODUCT_KEYS)
+    shop.materialize("dim_product", maintain.dim_product_rows(s.stg_products, utc_midnight(AS_OF), maintain.new_product_keys(known, s.stg_products)))
+    details = pages.arriving_details(s.order_items)
+    for days in (90, 30):
+        load_fact_window(shop, pages.order_pages(s.orders), details, AS_OF, days)
+    return shop.load("f_sales")
+
+
 @query
 def orders_as_csv(s: Shop) -> DataFrame:
     """Orders written as CSV and read back."""
@@ -739,10 +861,10 @@ def orders_migrated(s: Shop) -> DataFrame:
 def fact_reloaded(s: Shop) -> DataFrame:
     """Fact of all days, its last 30 days reloaded twice."""
     facts = _facts(s)
-    window = maintain.fact_rows(s.stg_order_items, s.stg_orders, s.dim_product, AS_OF, 30)
+    window = maintain.fact_rows(s.stg_order_items, s.stg_orders, s.keyed_products, AS_OF, 30)
     once = maintain.reload_window(facts, window, AS_OF)
     twice = maintain.reload_window(once, window, AS_OF)
-    return twice.withColumn("has_product", F.col("product_key").isNotNull()).drop("product_key")
+    return twice
 
 
 @query
@@ -775,8 +897,66 @@ def duplicate_line_keys(s: Shop) -> DataFrame:
     return duplicate_keys(s.order_items, ["order_id", "item_seq"])
 
 
+# What of each report is compared: its key, a name, and three measures.
+_CONTENTS = {
+    "daily_orders": ("day", None, "orders", "revenue", "items"),
+    "channels_30d": ("channel", None, "orders", "revenue", None),
+    "product_ranking_90d": ("sku", "product_name", "rank", "revenue", "qty"),
+    "daily_orders_lines": ("day", None, "orders", "revenue", "items"),
+    "channel_lines_30d": ("channel", None, "active_days", "revenue", None),
+    "product_sales_90d": ("sku", "product_name", None, "revenue", "qty"),
+    "daily_channels": ("day", "channel", "orders", "revenue", None),
+}
+
+
+def _contents(shop: Warehouse) -> DataFrame:
+    """All rows of the stored reports in one long table."""
+    whole = None
+    for name, (key, label, *measures) in _CONTENTS.items():
+        texts = [(F.lit(None) if column is None else F.col(column)).cast("string") for column in (key, label)]
+        numbers = [(F.lit(None) if column is None else F.col(column)).cast("double") for column in measures]
+        rows = shop.load(name).select(F.lit(name).alias("report"), *texts, *numbers).toDF("report", "key", "name", "a", "b", "c")
+        whole = rows if whole is None else whole.unionByName(rows)
+    return whole
+
+
+@query
+def reports_contents(s: Shop) -> DataFrame:
+    shop = _scratch(s, "reports")
+    shop.refresh(dataset.materialized_reports(s.orders, s.order_items, AS_OF), keys=dataset.REPORT_KEYS)
+    return _contents(shop)
+
+
+def _states(s: Shop) -> Warehouse:
+    """States of all days up to 60 days ago, then brought up to date with the rest."""
+    shop = _scratch(s, "states")
+    shop.materialize("dim_product", s.dim_product)
+    raw, month = F.lit(None).cast("string").alias("raw_json"), month_text(F.col("order_date")).alias("month")
+    orders = s.orders.select("*", raw, month)
+    items = s.order_items.select("*", raw).join(orders.select("order_id", "month"), "order_id")
+    early = F.col("month") < "2001-06"
+    for part in (early, ~early):
+        for name, rows in (("orders", orders), ("order_items", items)):
+            shop.overwrite_months(name, rows.where(part), [], moved=False)
+        states.refresh_states(shop)
+    return shop
+
+
+@query
+def reports_contents_incremental(s: Shop) -> DataFrame:
+    """The same reports, merged from states that were made in two steps."""
+    shop = _states(s)
+    shop.refresh(states.reports_from_states(shop, AS_OF), keys=dataset.REPORT_KEYS)
+    return _contents(shop)
+
+
+@query
+def period_summary_merged(s: Shop) -> DataFrame:
+    """The summary of a period from sums and name bitmaps of its days."""
+    return states.period_summary_from_states(_states(s), START, END)
+
+
 @query
 def reports_refreshed(s: Shop) -> DataFrame:
     """All reports materialized into the shared folder, and their row counts."""
-    warehouse = Warehouse(s.spark, f"{ensure_checkpoint_dir(s.spark)}/reports-{uuid.uuid4().hex}")
-    return warehouse.refresh(dataset.materialized_reports(s.orders, s.order_items, AS_OF))
+    return _scratch(s, "reports").refresh(dataset.materialized_reports(s.orders, s.order_items, AS_OF), keys=dataset.REPORT_KEYS)

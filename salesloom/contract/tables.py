@@ -12,6 +12,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesloom import schemas
+
 # Newest order day of the given tables at every scale.
 AS_OF = "2001-08-01"
 MONEY = "decimal(18,4)"
@@ -157,6 +159,14 @@ class Shop:
 
         return dim_product_rows(self.stg_products, utc_midnight(AS_OF))
 
+    @cached_property
+    def keyed_products(self) -> DataFrame:
+        """The dimension with its keys."""
+        from salesloom.plans.maintain import dim_product_rows, new_product_keys
+
+        none = self.spark.createDataFrame([], schemas.PRODUCT_KEYS)
+        return dim_product_rows(self.stg_products, utc_midnight(AS_OF), new_product_keys(none, self.stg_products))
+
     @cached_property
     def stg_orders(self) -> DataFrame:
         """Staged headers; the date is source text, missing for some orders."""

@@ -1,18 +1,17 @@
 """Insert-or-update, replace and insert-if-new as joins; no row-at-a-time writes.
 
-The ``DataFrame`` forms return the new table. The ``*_table`` forms write it,
-touching only the month partitions that hold an old or a new version of a
-changed row.
+The functions return the new table, or the new rows of those partitions of it that
+hold an old or a new version of a changed row; ``Warehouse`` stores them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.operators.lineage import broadcast_if_small, materialized
+from salesloom.operators.lineage import broadcast_if_small
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -73,60 +72,39 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
-def replace_keys_in_table(
-    spark: SparkSession,
-    path: str,
+class RepeatedKey(ValueError):
+    """A key that must be unique is held by several rows."""
+
+
+def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
+    """Raise ``RepeatedKey`` with an example if a key is held by more than one row."""
+    repeated = duplicate_keys(df, keys).take(1)
+    if repeated:
+        raise RepeatedKey(f"{name}: {repeated[0].asDict()}")
+
+
+def changed_partitions(
+    target: DataFrame,
     replaced: DataFrame,
     rows: DataFrame,
     keys: Sequence[str],
     partition: str,
-    schema: str,
     within: Sequence[str] | None = None,
-) -> list[str]:
-    """``replace_keys`` on a Parquet table partitioned by ``partition`` (text).
+) -> tuple[DataFrame, list[str]]:
+    """``replace_keys`` on the partitions of a table that it changes: their new rows, and
+    which they are: those that hold a replaced row or receive a new one.
 
-    Only partitions that hold a replaced row or receive a new one are rewritten.
-    ``within`` names the partitions that can hold a replaced row, when that is
-    known; otherwise the key columns of the table are searched. Returns the
-    partitions rewritten.
+    ``within`` names the partitions that can hold a replaced row, when that is known;
+    otherwise the key columns of the table are searched. ``replaced`` and ``rows`` are
+    materialized, as they are read several times.
     """
-    replaced = broadcast_if_small(materialized(replaced.select(*keys).distinct()))
-    rows = materialized(rows)
-    target = spark.read.schema(schema).parquet(path)
+    replaced = broadcast_if_small(replaced)
     searched = target if within is None else target.where(F.col(partition).isin(list(within)))
     holding = searched.select(*keys, partition).join(replaced, list(keys), "left_semi")
     touched = distinct_values(holding.select(partition).union(rows.select(partition)))
-    if touched:
-        result = replace_keys(target.where(F.col(partition).isin(touched)), replaced, rows, keys)
-        overwrite_partitions(spark, path, result, touched, partition, schema)
-    return touched
+    return replace_keys(target.where(F.col(partition).isin(touched)), replaced, rows, keys), touched
 
 
 def distinct_values(column: DataFrame) -> list[str]:
-    """Distinct partition values: months, so a few hundred whatever the table size."""
+    """Distinct partition values: months, say, so a few hundred whatever the table size."""
     return sorted(row[0] for row in column.distinct().collect())
-
-
-def overwrite_partitions(
-    spark: SparkSession, path: str, rows: DataFrame, touched: Sequence[str], partition: str, schema: str
-) -> None:
-    """Make ``rows`` the whole content of the ``touched`` partitions.
-
-    Dynamic partition overwrite stages the new files and swaps partitions at job
-    commit, after all reads are done, so ``rows`` may come from the same table. A
-    job that dies half-way is repaired by running it again. The rebalance hint lets
-    adaptive execution gather small partitions into one file and split large ones.
-    """
-    written = Observation()
-    (
-        rows.hint("rebalance", partition)
-        .observe(written, F.collect_set(partition).alias("parts"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    # A partition left without rows gets no file from the write above.
-    for value in sorted(set(touched) - set(written.get["parts"])):
-        empty = spark.createDataFrame([], schema).drop(partition)
-        empty.write.mode("overwrite").parquet(f"{path}/{partition}={value}")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
 from salesloom.operators.lineage import broadcast_if_small, materialized
+from salesloom.operators.ranking import numbered
+from salesloom.operators.skew import heavy_values, spread_left_join
 from salesloom.operators.upsert import distinct_values, insert_new, newest_per_key, one_of_each, upsert
 from salesloom.sources.sinks import with_raw_json
 
@@ -31,8 +33,17 @@ def dim_date(spark: SparkSession, as_of=None, years_back: int = 6, years_ahead:
     )
 
 
-def dim_product_rows(stg_products: DataFrame, updated_at=None) -> DataFrame:
-    """Dimension rows from staging: the newest product of each code."""
+def new_product_keys(known: DataFrame, codes: DataFrame) -> DataFrame:
+    """Keys (code, product_key) of the codes that the registry ``known`` lacks: numbers
+    after its greatest, in the order of the codes. A key that was given once stays."""
+    fresh = codes.select("code").where("code is not null").distinct().join(known, "code", "left_anti")
+    given = F.lit(known.agg(F.max("product_key")).first()[0] or 0)  # one number
+    return numbered(fresh, "product_key", [F.col("code")]).select("code", (given + F.col("product_key")).cast("bigint").alias("product_key"))
+
+
+def dim_product_rows(stg_products: DataFrame, updated_at=None, keys: DataFrame | None = None) -> DataFrame:
+    """Dimension rows from staging: the newest product of each code, with its key from the
+    registry (null without one)."""
     newest = newest_per_key(
         stg_products.select(
             "code", "created_at", F.col("id").alias("id_src"),
@@ -41,8 +52,9 @@ def dim_product_rows(stg_products: DataFrame, updated_at=None) -> DataFrame:
         ["code"],
         ["created_at", "id_src"],
     )
+    newest = newest.join(keys, "code", "left") if keys is not None else newest.withColumn("product_key", F.lit(None).cast("bigint"))
     return newest.select(
-        F.xxhash64("code").alias("product_key"),
+        "product_key",
         "code", "id_src", "name", "gtin", "unit", "status", "location", "price", "promo_price",
         "created_at",
         (F.current_timestamp() if updated_at is None else updated_at).alias("updated_at"),
@@ -50,14 +62,16 @@ def dim_product_rows(stg_products: DataFrame, updated_at=None) -> DataFrame:
     )
 
 
-def upsert_dim_product(dim_product: DataFrame, stg_products: DataFrame, updated_at=None) -> DataFrame:
+def upsert_dim_product(
+    dim_product: DataFrame, stg_products: DataFrame, updated_at=None, keys: DataFrame | None = None
+) -> DataFrame:
     """Dimension after staging: known codes updated, new ones added, others kept.
 
     Staging has no tags of products that got theirs from their detail, so a known
     tag stays where staging has none.
     """
     known = dim_product.select("code", F.col("tags").alias("_known"))
-    rows = dim_product_rows(stg_products, updated_at).join(known, "code", "left")
+    rows = dim_product_rows(stg_products, updated_at, keys).join(known, "code", "left")
     rows = rows.withColumn("tags", F.coalesce("tags", "_known")).drop("_known")
     return upsert(dim_product, rows, ["code"], ["updated_at"])
 
@@ -88,7 +102,8 @@ def fact_rows(
     spread = lines.join(headers, "order_id").repartition("order_id", "item_seq")
     lines = one_of_each(spread, ["order_id", "item_seq"])
     products = dim_product.select("code", "product_key")
-    return lines.join(products, "code", "left").select(
+    keyed = spread_left_join(lines, products, "code", heavy_values(stg_items, "code"), ["order_id", "item_seq"])
+    return keyed.select(
         C.date_key(F.col("order_date")).alias("date_key"),
         "order_id", "item_seq", "order_number", "product_key", "code", "description",
         C.zero_if_null(F.col("qty")).alias("qty"),
@@ -125,16 +140,17 @@ def reload_fact_window(warehouse, stg_items, stg_orders, dim_product, as_of=None
         for staged in (stg_items, stg_orders)
     )
     rows = materialized(fact_rows(stg_items, stg_orders, dim_product, as_of, days))
-    loaded = broadcast_if_small(materialized(rows.select("order_id").distinct()))
-    facts = warehouse.load("f_sales")
-    left = facts.where(~F.col("month").isin(months)).select("order_id", "month").join(loaded, "order_id", "left_semi")
-    left = distinct_values(left.select("month"))
-    stored = facts.where(F.col("month").isin(months + left)).join(loaded, "order_id", "left_anti").drop("month")
-    key = F.col("date_key")
-    month = F.format_string("%04d-%02d", F.floor(key / 10000).cast("int"), (F.floor(key / 100) % 100).cast("int"))
-    warehouse.overwrite_months(
-        "f_sales", reload_window(stored, rows, as_of, days).withColumn("month", month), months + left
-    )
+    loaded = materialized(rows.select("order_id").distinct())
+    with warehouse.together():
+        homes = distinct_values(warehouse.homes("f_sales", loaded).select("month"))
+        left = [month for month in homes if month not in months]
+        facts = warehouse.load("f_sales").where(F.col("month").isin(months + left)).drop("month")
+        stored = facts.join(broadcast_if_small(loaded), "order_id", "left_anti")
+        key = F.col("date_key")
+        month = F.format_string("%04d-%02d", F.floor(key / 10000).cast("int"), (F.floor(key / 100) % 100).cast("int"))
+        warehouse.overwrite_months(
+            "f_sales", reload_window(stored, rows, as_of, days).withColumn("month", month), months + left
+        )
     return months + left
 
 
@@ -179,21 +195,26 @@ def backfill(orders: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def backfill_tables(warehouse) -> None:
-    """``backfill`` on the stored tables. Only months that lack something are
-    rewritten; lines lie in the month of their order, so a month is enough to
-    total its orders."""
+    """``backfill`` on the stored tables, both in one switch. Only months that lack
+    something are rewritten; lines lie in the month of their order, so a month is enough
+    to total its orders."""
+    with warehouse.together():
+        _backfill_parts(warehouse)
+
+
+def _backfill_parts(warehouse) -> None:
     items = warehouse.load("order_items")
     months = distinct_values(items.where(_lacks_total()).select("month"))
     if months:
         lacking = items.where(F.col("month").isin(months))
-        warehouse.overwrite_months("order_items", backfill_item_totals(lacking), months)
+        warehouse.overwrite_months("order_items", backfill_item_totals(lacking), months, moved=False)
     orders = warehouse.load("orders")
     months = distinct_values(orders.where(_lacks_total() | _lacks_channel()).select("month"))
     if months:
         these = F.col("month").isin(months)
         lines = warehouse.load("order_items").where(these)
         fixed = label_missing_channels(backfill_order_totals(orders.where(these), lines))
-        warehouse.overwrite_months("orders", fixed, months)
+        warehouse.overwrite_months("orders", fixed, months, moved=False)
 
 
 def fill_tags(

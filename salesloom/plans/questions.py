@@ -1,18 +1,19 @@
 """Answers to sales questions: one given as filters, or a table of texts.
 
-The texts are Portuguese. The tags to look for are a parameter: a short list, as
-the shop keeps it.
+The texts are Portuguese. The tags to look for are a parameter: a list or a table of any
+size. Texts and tags meet by equality joins (``operators.grams``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
+from salesloom.operators.grams import contained
 from salesloom.operators.lineage import materialized
 
 # Month names in the order they are looked for, with their number.
@@ -37,8 +38,6 @@ COMPARISON_WORDS = (" ou ", " vs ", "versus", "vale mais a pena")
 # A greeting as the first whole word; accented letters are part of a word.
 SMALL_TALK = rf"^({'|'.join(GREETINGS)})($|[^\p{{L}}\p{{N}}_])"
 
-ANY = "*"
-
 
 def sales_question(
     sales: DataFrame,
@@ -69,10 +68,11 @@ def contains_any(text: Column, words: Sequence[str]) -> Column:
     return C.any_of(F.contains(text, F.lit(word)) for word in words)
 
 
-def named_tags(text: Column, vocabulary: Sequence[str]) -> Column:
-    """Vocabulary tags a text contains, sorted."""
-    tags = F.array(*[F.lit(tag) for tag in sorted(set(vocabulary))])
-    return F.filter(tags, lambda tag: F.contains(text, tag))
+def vocabulary_table(spark: SparkSession, vocabulary: Sequence[str] | DataFrame) -> DataFrame:
+    """Distinct tags, in column ``term``; of a table the first column is taken."""
+    if isinstance(vocabulary, DataFrame):
+        return vocabulary.select(F.col(vocabulary.columns[0]).cast("string").alias("term")).where("term <> ''").distinct()
+    return spark.createDataFrame([(tag,) for tag in sorted(set(vocabulary))], "term string")
 
 
 def named_month(text: Column) -> Column:
@@ -83,51 +83,47 @@ def named_month(text: Column) -> Column:
     return first
 
 
-def read_questions(questions: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
-    """What each question text asks for: year, month, tags, totals or lines, and
-    whether it needs data at all."""
-    text = F.lower(F.trim("text"))
+def read_questions(questions: DataFrame, vocabulary: Sequence[str] | DataFrame) -> DataFrame:
+    """What each question text asks for: year, month, tags (sorted), totals or lines, and
+    whether it needs data at all. ``question_id`` identifies a question."""
+    lowered = questions.select("question_id", F.lower(F.trim("text")).alias("text"))
+    named = contained(lowered, "question_id", "text", vocabulary_table(questions.sparkSession, vocabulary))
+    # A question's tags are few: those its own text contains.
+    tags = named.groupBy("question_id").agg(F.sort_array(F.collect_set("term")).alias("tags"))
+    text = F.col("text")
     year = F.regexp_extract(text, r"20\d{2}", 0)
     small_talk = (F.length(text) <= SMALL_TALK_LENGTH) | text.rlike(SMALL_TALK)
     wants_data = contains_any(text, ANALYSIS_WORDS) | contains_any(text, COMPARISON_WORDS)
-    return questions.select(
+    read = lowered.select(
         "question_id",
         F.nullif(year, F.lit("")).cast("int").alias("year"),
         named_month(text).alias("month"),
-        named_tags(text, vocabulary).alias("tags"),
         contains_any(text, TOTAL_WORDS).alias("wants_totals"),
         (~small_talk & wants_data).alias("uses_data"),
     )
+    none = F.array().cast("array<string>")
+    return read.join(tags, "question_id", "left").select(
+        "question_id", "year", "month", F.coalesce("tags", none).alias("tags"), "wants_totals", "uses_data"
+    )
 
 
 # --- answering them -----------------------------------------------------------
 
-_COMBO = ["q_tags", "q_year", "q_month"]
-
+_COMBO = ["tags", "q_year", "q_month"]
 
-def _combos(asked: DataFrame) -> DataFrame:
-    """Distinct filters among the questions, stored because they are read twice.
-    Many questions share one, and their number is bounded by vocabulary and
-    calendar, not by the questions."""
-    return materialized(asked.select(*_COMBO).distinct())
 
-
-def _as_filters(asked: DataFrame) -> DataFrame:
-    return asked.withColumns(
-        {
-            "q_tags": F.when(F.size("tags") > 0, F.col("tags")).otherwise(F.array(F.lit(ANY))),
-            "q_year": F.coalesce("year", F.lit(0)),
-            "q_month": F.coalesce("month", F.lit(0)),
-        }
-    )
+def _as_filters(read: DataFrame) -> DataFrame:
+    """Questions with their calendar filter as a key; stored, because they are read twice."""
+    return materialized(read.withColumns({"q_year": F.coalesce("year", F.lit(0)), "q_month": F.coalesce("month", F.lit(0))}))
 
 
-def _matching_sets(combos: DataFrame, cells: DataFrame) -> DataFrame:
-    """Pairs of (asked tag set, tag set of sales) that share a tag, once each."""
-    asked = combos.select("q_tags").distinct().select("q_tags", F.explode("q_tags").alias("tag"))
-    held = cells.select("held").distinct()
-    held = held.select("held", F.explode(F.concat("held", F.array(F.lit(ANY)))).alias("tag"))
-    return asked.join(held, "tag").select("q_tags", "held").distinct()
+def _unions(combos: DataFrame, held: DataFrame, vocabulary: Sequence[str] | DataFrame) -> DataFrame:
+    """tags, held: for every set of tags asked for, the tag texts of sales that hold one of
+    them, once each: the union of the tags' postings."""
+    texts = held.select("held", F.lower("held").alias("text")).distinct()
+    postings = contained(texts, "held", "text", vocabulary_table(held.sparkSession, vocabulary))
+    asked = combos.select("tags").distinct().select("tags", F.explode("tags").alias("term"))
+    return asked.join(postings, "term").select("tags", "held").distinct()
 
 
 def _calendar_keys(day: Column) -> Column:
@@ -137,41 +133,47 @@ def _calendar_keys(day: Column) -> Column:
     return F.array(*[F.struct(y.alias("q_year"), m.alias("q_month")) for y, m in pairs])
 
 
-def answer_questions(
-    questions: DataFrame, sales: DataFrame, vocabulary: Sequence[str]
-) -> DataFrame:
+_SUMS = ["revenue", "qty", "lines"]
+
+
+def _added() -> list[Column]:
+    return [F.sum(name).alias(name) for name in _SUMS]
+
+
+def _held_text() -> Column:
+    return F.coalesce("tags", F.lit("")).alias("held")
+
+
+def answer_questions(questions: DataFrame, sales: DataFrame, vocabulary: Sequence[str] | DataFrame) -> DataFrame:
     """Totals for every question, in one job.
 
-    Sales are summed once by vocabulary tags held and calendar month; those cells
-    are few. Every distinct filter is answered from the cells by equality joins,
-    and each question picks up the answer of its filter.
+    Sales are summed once by tag text and month. A tag has a posting of the tag texts that
+    contain it; the texts of a question are the union of its tags' postings, and its
+    answer is the sum of their cells. A question without tags takes the sums of all texts.
     """
     asked = _as_filters(read_questions(questions, vocabulary))
-    combos = _combos(asked.where("uses_data"))
+    combos = asked.where("uses_data").select(*_COMBO).distinct()
     lines = F.sum("lines") if "lines" in sales.columns else F.count(F.lit(1))
-    # Sales without any known tag still count for questions without a tag.
-    held = F.coalesce(named_tags(F.lower("tags"), vocabulary), F.array().cast("array<string>"))
     # Read several times below, so the sales are summed into a few stored rows once.
-    # They are summed by the tag text first, so tags are looked for once per text.
-    by_text = sales.groupBy("tags", C.month_of(F.col("day")).alias("month_start")).agg(
-        F.sum("total").alias("revenue"), F.sum("qty").alias("qty"), lines.alias("lines")
-    )
     months = materialized(
-        by_text.groupBy(held.alias("held"), "month_start").agg(
-            F.sum("revenue").alias("revenue"), F.sum("qty").alias("qty"), F.sum("lines").alias("lines")
+        sales.groupBy(_held_text(), C.month_of(F.col("day")).alias("month_start")).agg(
+            F.sum("total").alias("revenue"), F.sum("qty").alias("qty"), lines.alias("lines")
         )
     )
-    cells = (
-        months.withColumn("key", F.explode(_calendar_keys(F.col("month_start"))))
-        .groupBy("held", "key.q_year", "key.q_month")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("qty").alias("qty"), F.sum("lines").alias("lines"))
-    )
-    answers = (
-        combos.join(_matching_sets(combos, months), "q_tags")
-        .join(cells, ["held", "q_year", "q_month"])
+
+    def by_calendar(cells: DataFrame, *keys: str) -> DataFrame:
+        each = cells.withColumn("key", F.explode(_calendar_keys(F.col("month_start"))))
+        return each.groupBy(*keys, "key.q_year", "key.q_month").agg(*_added())
+
+    tagged = (
+        combos.join(_unions(combos, months, vocabulary), "tags")
+        .join(by_calendar(months, "held"), ["held", "q_year", "q_month"])
         .groupBy(*_COMBO)
-        .agg(F.sum("revenue").alias("revenue"), F.sum("qty").alias("qty"), F.sum("lines").alias("lines"))
+        .agg(*_added())
     )
+    whole = by_calendar(months.groupBy("month_start").agg(*_added()))
+    untagged = combos.where(F.size("tags") == 0).join(whole, ["q_year", "q_month"]).select(*_COMBO, *_SUMS)
+    answers = tagged.unionByName(untagged)
     return asked.join(answers, _COMBO, "left").select(
         "question_id",
         "year",
@@ -186,41 +188,37 @@ def answer_questions(
 
 
 def question_lines(
-    questions: DataFrame, sales: DataFrame, vocabulary: Sequence[str], limit: int | None = None
+    questions: DataFrame, sales: DataFrame, vocabulary: Sequence[str] | DataFrame, limit: int | None = None
 ) -> DataFrame:
     """All lines for every question that asks for lines; with a ``limit``, the first
     ones by day and their position.
 
-    With a limit, the first lines of each cell are kept before any join: a line
-    outside them cannot be among the first of a filter that includes the cell.
+    Sales lie in cells of a tag text and a month, of which there are few. Every distinct
+    filter is first turned into its cells, and lines meet filters by the cell, so a line is
+    read once and no key holds more than one month of one tag text. With a limit, only the
+    first lines of each cell are kept before that: a line outside them cannot be among the
+    first of a filter that includes the cell.
     """
     asked = _as_filters(read_questions(questions, vocabulary)).where("uses_data and not wants_totals")
-    combos = _combos(asked)
-    held = F.coalesce(named_tags(F.lower("tags"), vocabulary), F.array().cast("array<string>"))
-    order = [F.col("day"), F.col("product"), F.col("total"), F.col("qty"), F.col("tags")]
+    combos = asked.select(*_COMBO).distinct()
+    order = [F.col("day"), F.col("product"), F.col("revenue"), F.col("qty"), F.col("line_tags")]
+    each = sales.select(
+        _held_text(), C.month_of(F.col("day")).alias("month_start"), "day", "product", F.col("tags").alias("line_tags"), "qty",
+        F.col("total").alias("revenue"),
+    )
+    cell = ["held", "month_start"]
+    if limit is not None:
+        numbered = each.withColumn("n", F.row_number().over(Window.partitionBy(*cell).orderBy(*order)))
+        each = materialized(numbered.where(F.col("n") <= limit).drop("n"))
+    cells = materialized(each.select(*cell).distinct())
+    calendar = cells.withColumn("key", F.explode(_calendar_keys(F.col("month_start")))).select(*cell, "key.q_year", "key.q_month")
+    tagged = combos.join(_unions(combos, cells, vocabulary), "tags").join(calendar, ["held", "q_year", "q_month"])
+    untagged = combos.where(F.size("tags") == 0).join(calendar, ["q_year", "q_month"])
+    wanted = tagged.select(*_COMBO, *cell).unionByName(untagged.select(*_COMBO, *cell))
+    found = wanted.join(each, cell).drop(*cell)
+    columns = ["day", "product", "line_tags", "qty", "revenue"]
     if limit is None:
-        each = sales.select(held.alias("held"), "day", "product", "tags", "qty", "total")
-        each = each.withColumn("key", F.explode(_calendar_keys(F.col("day"))))
-        each = each.select("held", "key.q_year", "key.q_month", "day", "product", F.col("tags").alias("line_tags"), "qty", F.col("total").alias("revenue"))
-        sets = materialized(_matching_sets(combos, sales.select("tags").distinct().select(held.alias("held"))))
-        wanted = asked.join(sets, "q_tags").select("question_id", "held", "q_year", "q_month")
-        return wanted.join(each, ["held", "q_year", "q_month"]).select("question_id", "day", "product", "line_tags", "qty", "revenue")
-    by_cell = Window.partitionBy("held", "month_start").orderBy(*order)
-    first_of_cells = materialized(
-        sales.select(held.alias("held"), C.month_of(F.col("day")).alias("month_start"), "day", "product", "tags", "qty", "total")
-        .withColumn("n", F.row_number().over(by_cell))
-        .where(F.col("n") <= limit)
-    )
-    cells = (
-        first_of_cells.withColumn("key", F.explode(_calendar_keys(F.col("month_start"))))
-        .select("held", "key.q_year", "key.q_month", "day", "product", "tags", "qty", "total")
-    )
-    by_combo = Window.partitionBy(*_COMBO).orderBy(*order)
-    first = (
-        combos.join(_matching_sets(combos, cells), "q_tags")
-        .join(cells, ["held", "q_year", "q_month"])
-        .withColumn("position", F.row_number().over(by_combo))
-        .where(F.col("position") <= limit)
-        .select(*_COMBO, "position", "day", "product", F.col("tags").alias("line_tags"), "qty", F.col("total").alias("revenue"))
-    )
-    return asked.join(first, _COMBO).select("question_id", "position", "day", "product", "line_tags", "qty", "revenue")
+        return asked.join(found, _COMBO).select("question_id", *columns)
+    position = F.row_number().over(Window.partitionBy(*_COMBO).orderBy(*order))
+    first = found.withColumn("position", position).where(F.col("position") <= limit)
+    return asked.join(first, _COMBO).select("question_id", "position", *columns)

@@ -118,6 +118,11 @@ def period_summary(sales: DataFrame, start, end, tag: str | None = None) -> Data
         F.count_distinct("product").alias("products"),
         F.count_distinct("day").alias("days"),
     )
+    return period_summary_row(one, start, end, tag)
+
+
+def period_summary_row(one: DataFrame, start, end, tag: str | None = None) -> DataFrame:
+    """The summary from its one row of sums and counts."""
     return one.select(
         C.as_date(start).alias("start"),
         C.as_date(end).alias("end"),

@@ -1,14 +1,22 @@
-"""Search over products and over whole records."""
+"""Search over products and over whole records, by a scan or by a stored index."""
 
 from __future__ import annotations
 
 from functools import reduce
+from zlib import crc32
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
+from salesloom.operators.grams import GRAM, grams
+from salesloom.operators.lineage import broadcast_if_small, materialized
+from salesloom.sources.warehouse import Warehouse
+
+
+def _name_and_code() -> Column:
+    return F.concat_ws(" ", C.first_filled(F.col("product_name")), C.first_filled(F.col("sku")))
 
 
 def product_search(products: DataFrame, term: str | None, field: str = "auto", mode: str = "contains") -> DataFrame:
@@ -22,22 +30,115 @@ def product_search(products: DataFrame, term: str | None, field: str = "auto", m
         "name": name,
         "code": code,
         "sku": code,
-        "auto": F.concat_ws(" ", C.first_filled(F.col("product_name")), C.first_filled(F.col("sku"))),
+        "auto": _name_and_code(),
     }
     return products.where(P.matches(texts[field], term, mode))
 
 
+def _record_rows(records: dict[str, DataFrame], kind: str | None) -> DataFrame:
+    chosen = {name: df for name, df in records.items() if not kind or name == kind}
+    rows = [
+        df.select(
+            F.lit(name).alias("kind"), F.col("id").cast("string").alias("id"),
+            F.to_json(F.struct(F.lit(name).alias("kind"), *df.columns)).alias("record"),
+        )
+        for name, df in chosen.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def record_search(records: dict[str, DataFrame], term: str | None = None, kind: str | None = None) -> DataFrame:
     """Records of any kind whose JSON text contains the term.
 
-    ``records`` maps a kind (order, customer, product) to its table. A kind that
-    is filtered out is not read.
+    ``records`` maps a kind (order, customer, product) to its table, whose key is ``id``. A
+    kind that is filtered out is not read.
     """
-    chosen = {name: df for name, df in records.items() if not kind or name == kind}
-    rows = [
-        df.select(F.lit(name).alias("kind"), F.to_json(F.struct(F.lit(name).alias("kind"), *df.columns)).alias("record"))
-        for name, df in chosen.items()
-    ]
-    found = reduce(DataFrame.unionByName, rows)
+    found = _record_rows(records, kind).select("kind", "record")
     wanted = (term or "").lower().strip()
     return found.where(F.contains(F.lower("record"), F.lit(wanted))) if wanted else found
+
+
+# --- a stored index of the texts' grams -----------------------------------------
+#
+# Each distinct run of three characters of a folded text is posted with the record's kind
+# and id. A term's rarest runs are looked up, the records that hold them all are the
+# candidates, and the search itself decides among those.
+
+BUCKETS = 64
+# So many of a term's runs are looked up, the rarest.
+RUNS = 4
+# Posted for texts with characters that collations may treat in ways folding does not know.
+ODD = ""
+
+
+def _folded(text: Column) -> Column:
+    return C.fold_accents(F.lower(text))
+
+
+def product_texts(products: DataFrame) -> DataFrame:
+    """kind, id, text of products, for ``build_search_index``."""
+    return products.select(F.lit("product").alias("kind"), F.col("id").cast("string").alias("id"), _folded(_name_and_code()).alias("text"))
+
+
+def record_texts(records: dict[str, DataFrame]) -> DataFrame:
+    return _record_rows(records, None).select("kind", "id", F.lower("record").alias("text"))
+
+
+def build_search_index(warehouse: Warehouse, name: str, texts: DataFrame, buckets: int = BUCKETS) -> None:
+    """Store the index of texts (kind, id, text): in buckets of runs, sorted by run, so that a
+    search reads the buckets of its runs and skips the rows of others."""
+    odd = F.when(F.rlike("text", F.lit(r"[^\x20-\x7E]")), F.array(F.lit(ODD))).otherwise(F.array().cast("array<string>"))
+    posted = texts.select("kind", "id", F.explode(F.concat(grams(F.col("text")), odd)).alias("gram"))
+    rows = posted.withColumn("bucket", (F.crc32("gram") % buckets).cast("int")).repartition("bucket")
+    with warehouse.together():
+        warehouse.materialize(name, rows.sortWithinPartitions("bucket", "gram", "kind", "id"), partition_by=["bucket"])
+        warehouse.note("buckets", name, str(buckets))
+
+
+def search_candidates(warehouse: Warehouse, name: str, term: str) -> DataFrame | None:
+    """kind, id of the records that may hold a (folded) term; none known, so that all must be
+    read, for a term too short or with characters that folding does not know."""
+    runs = sorted({term[k : k + GRAM] for k in range(len(term) - GRAM + 1)})
+    if not runs or any(not " " <= letter <= "~" for letter in term):
+        return None
+    buckets = int(warehouse.notes("buckets")[name])
+    index = warehouse.load(name)
+
+    def posted(wanted: list[str]) -> DataFrame:
+        places = sorted({crc32(run.encode()) % buckets for run in wanted})
+        return index.where(F.col("bucket").isin(places) & F.col("gram").isin(wanted))
+
+    # One number for each run of the term.
+    counts = {row.gram: row["count"] for row in posted(runs).groupBy("gram").count().collect()}
+    rarest = sorted(runs, key=lambda run: (counts.get(run, 0), run))[:RUNS]
+    all_held = posted(rarest).groupBy("kind", "id").agg(F.count(F.lit(1)).alias("runs")).where(F.col("runs") == len(rarest))
+    return all_held.select("kind", "id").unionByName(posted([ODD]).select("kind", "id")).distinct()
+
+
+def product_search_indexed(
+    products: DataFrame, warehouse: Warehouse, name: str, term: str | None, field: str = "auto", mode: str = "contains"
+) -> DataFrame:
+    """``product_search`` among the candidates of the stored index."""
+    folded = warehouse.spark.range(1).select(_folded(F.lit(term or ""))).first()[0]
+    found = search_candidates(warehouse, name, folded)
+    if found is not None:
+        ids = broadcast_if_small(materialized(found.select(F.col("id").alias("_id"))))
+        products = products.join(ids, F.col("id").cast("string") == F.col("_id"), "left_semi")
+    return product_search(products, term, field, mode)
+
+
+def record_search_indexed(
+    records: dict[str, DataFrame], warehouse: Warehouse, name: str, term: str | None = None, kind: str | None = None
+) -> DataFrame:
+    """``record_search`` among the candidates of the stored index; only their JSON is made."""
+    found = search_candidates(warehouse, name, (term or "").lower().strip())
+    if found is not None:
+        found = materialized(found)
+        records = {
+            of: df.join(
+                broadcast_if_small(found.where(F.col("kind") == of).select(F.col("id").alias("_id"))),
+                F.col("id").cast("string") == F.col("_id"), "left_semi",
+            )
+            for of, df in records.items()
+        }
+    return record_search(records, term, kind)

@@ -13,6 +13,10 @@ ORDER_ITEMS = (
     "order_id bigint, item_seq int, product_id string, sku string, product_name string, "
     "qty decimal(18,4), price decimal(18,4), total decimal(18,4), raw_json string"
 )
+ORDER_AMOUNTS = (
+    "order_id bigint, ordered_at timestamp, products_amount decimal(18,4), discount_amount decimal(18,4), "
+    "freight_amount decimal(18,4), total_amount decimal(18,4)"
+)
 PRODUCTS = (
     "id bigint, sku string, product_name string, price decimal(18,4), promo_price decimal(18,4), "
     "cost_price decimal(18,4), avg_cost decimal(18,4), unit string, gtin string, variation_type string, "
@@ -46,6 +50,19 @@ F_SALES = (
 )
 REJECTED_DETAILS = "order_id bigint, reason string"
 REJECTED_PAGES = "file string, reason string, page string"
+LOAD_BATCHES = "stream string, number bigint, pages bigint, rejected bigint, rows bigint, parts string"
+ORDER_MONTHS = "order_id bigint, month string"
+PRODUCT_KEYS = "code string, product_key bigint"
+PRODUCT_NAMES = "name string, number bigint"
+STATE_DAYS = (
+    "day date, orders bigint, order_total decimal(28,4), qty decimal(28,4), items decimal(28,4), line_revenue decimal(38,4)"
+)
+STATE_CHANNELS = "day date, channel string, orders bigint, order_total decimal(28,4), line_revenue decimal(38,4)"
+STATE_PRODUCTS = (
+    "day date, sku string, product_name string, qty decimal(28,4), items decimal(28,4), total decimal(28,4), line_revenue decimal(38,4)"
+)
+STATE_SALES = "day date, units decimal(28,4), revenue decimal(38,4)"
+STATE_NAMES = "day date, bucket bigint, names binary"
 
 # Landed pages. Every scalar may arrive as text or number, so all are read as
 # text and typed by the cleansing functions.

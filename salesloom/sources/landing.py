@@ -173,6 +173,7 @@ def order_amounts(pages: DataFrame) -> DataFrame:
                 ("valor_total", "total_amount"),
             ]
         ],
+        *_arrival(entries),
     ).where(F.col("order_id").isNotNull())
 
 
