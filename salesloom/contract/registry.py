@@ -16,6 +16,7 @@ from salesloom.functions import predicates as P
 from salesloom.operators.lineage import ensure_checkpoint_dir
 from salesloom.operators.ordering import high_first, last_key, low_first, page, page_after
 from salesloom.operators.ranking import running_share
+from salesloom.operators.skew import heavy_values
 from salesloom.operators.upsert import duplicate_keys, replace_keys, upsert
 from salesloom.plans import channels, customers, dataset, maintain, products, quality, questions, sales, search, states
 from salesloom.plans.lines import sales_enriched, sales_rollup, sold_lines
@@ -301,13 +302,11 @@ def kpi_comparison(s: Shop) -> DataFrame:
     return products.kpi_comparison(s.orders, s.order_items, AS_OF)
 
 
-def _facts(s: Shop) -> DataFrame:
-    return maintain.fact_rows(s.stg_order_items, s.stg_orders, s.keyed_products, AS_OF, None)
-
-
 @query
 def fact_daily_sales(s: Shop) -> DataFrame:
-    return sales.fact_daily_sales(_facts(s), maintain.dim_date(s.spark, AS_OF, 8))
+    """Days need no product keys, so the fact is built without them."""
+    facts = maintain.fact_rows(s.stg_order_items, s.stg_orders, None, AS_OF, None)
+    return sales.fact_daily_sales(facts, maintain.dim_date(s.spark, AS_OF, 8))
 
 
 @query
@@ -860,8 +859,10 @@ def orders_migrated(s: Shop) -> DataFrame:
 @query
 def fact_reloaded(s: Shop) -> DataFrame:
     """Fact of all days, its last 30 days reloaded twice."""
-    facts = _facts(s)
-    window = maintain.fact_rows(s.stg_order_items, s.stg_orders, s.keyed_products, AS_OF, 30)
+    heavy = heavy_values(s.stg_order_items, "code")
+    facts, window = (
+        maintain.fact_rows(s.stg_order_items, s.stg_orders, s.keyed_products, AS_OF, days, heavy) for days in (None, 30)
+    )
     once = maintain.reload_window(facts, window, AS_OF)
     twice = maintain.reload_window(once, window, AS_OF)
     return twice

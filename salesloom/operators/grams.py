@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.operators.lineage import broadcast_if_small, materialized
+
 GRAM = 3
 
 
 def grams(text: Column, size: int = GRAM) -> Column:
     """The distinct runs of ``size`` characters of a text; none where it is shorter."""
-    letters = F.split(text, "")
-    count = F.greatest(F.char_length(text) - (size - 1), F.lit(0))
-    runs = F.slice(letters, 1, count)
-    for shift in range(1, size):
-        runs = F.zip_with(runs, F.slice(letters, 1 + shift, count), lambda run, letter: F.concat(run, letter))
-    return F.array_distinct(runs)
+    # A look-ahead consumes nothing, so every place of the text gives a match.
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+
+
+def spread_by(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt to all shuffle tasks by their key."""
+    return df.repartition(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), key)
 
 
 def key_grams(terms: DataFrame) -> DataFrame:
@@ -33,11 +36,14 @@ def contained(texts: DataFrame, key: str, text: str, terms: DataFrame) -> DataFr
     empty terms are in none. ``terms`` has the distinct terms in column ``term``.
 
     Texts send their grams and keys to the terms' key grams; what meets is looked up in the
-    text itself. Nothing grows with texts times terms.
+    text itself. Nothing grows with texts times terms. Texts are dealt out by key first: the
+    last join needs them so, and a few large files of texts keep all tasks busy.
     """
+    texts = spread_by(texts, key)
     terms = terms.where("term <> ''")
     lengths = terms.where(F.char_length("term") < GRAM).select(F.char_length("term")).distinct().collect()
     sizes = [GRAM, *sorted(row[0] for row in lengths)]  # three numbers at most
     runs = F.concat(*[grams(F.col(text), size) for size in sizes])
-    met = texts.select(key, F.explode(runs).alias("gram")).join(key_grams(terms), "gram").select(key, "term").distinct()
+    keys = broadcast_if_small(materialized(key_grams(terms)))
+    met = texts.select(key, F.explode(runs).alias("gram")).join(keys, "gram").select(key, "term").distinct()
     return met.join(texts.select(key, text), key).where(F.contains(F.col(text), F.col("term"))).select(key, "term")

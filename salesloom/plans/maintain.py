@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,9 +79,12 @@ def upsert_dim_product(
 
 
 def fact_rows(
-    stg_items: DataFrame, stg_orders: DataFrame, dim_product: DataFrame, as_of=None, days: int | None = 30
+    stg_items: DataFrame, stg_orders: DataFrame, dim_product: DataFrame | None, as_of=None, days: int | None = 30,
+    heavy: Sequence | None = None,
 ) -> DataFrame:
-    """Fact rows of the window, one per staged (order, line).
+    """Fact rows of the window, one per staged (order, line); without product keys where no
+    dimension is given. ``heavy`` names the codes that hold very many lines, where that is
+    known; otherwise they are looked for.
 
     Staging may hold the same line several times; one of them counts, always the
     same, so a rerun loads the same rows. An order without a date counts as of today.
@@ -101,8 +106,11 @@ def fact_rows(
     lines = stg_items.select("order_id", "item_seq", "code", "description", "qty", "unit_price", "total")
     spread = lines.join(headers, "order_id").repartition("order_id", "item_seq")
     lines = one_of_each(spread, ["order_id", "item_seq"])
-    products = dim_product.select("code", "product_key")
-    keyed = spread_left_join(lines, products, "code", heavy_values(stg_items, "code"), ["order_id", "item_seq"])
+    if dim_product is None:
+        keyed = lines.withColumn("product_key", F.lit(None).cast("bigint"))
+    else:
+        heavy = heavy_values(stg_items, "code") if heavy is None else heavy
+        keyed = spread_left_join(lines, dim_product.select("code", "product_key"), "code", heavy, ["order_id", "item_seq"])
     return keyed.select(
         C.date_key(F.col("order_date")).alias("date_key"),
         "order_id", "item_seq", "order_number", "product_key", "code", "description",

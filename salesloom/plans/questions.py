@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
-from salesloom.operators.grams import contained
+from salesloom.operators.grams import contained, spread_by
 from salesloom.operators.lineage import materialized
 
 # Month names in the order they are looked for, with their number.
@@ -87,6 +87,7 @@ def read_questions(questions: DataFrame, vocabulary: Sequence[str] | DataFrame)
     """What each question text asks for: year, month, tags (sorted), totals or lines, and
     whether it needs data at all. ``question_id`` identifies a question."""
     lowered = questions.select("question_id", F.lower(F.trim("text")).alias("text"))
+    lowered = spread_by(lowered, "question_id")
     named = contained(lowered, "question_id", "text", vocabulary_table(questions.sparkSession, vocabulary))
     # A question's tags are few: those its own text contains.
     tags = named.groupBy("question_id").agg(F.sort_array(F.collect_set("term")).alias("tags"))
