@@ -204,10 +204,11 @@ def find_spans(
     # Rows are numbered and searched once; later reads see the same numbers.
     searched = stored(seeded.withColumn("_candidates", candidate_spans(F.col("_text"), F.col("_seeds"))))
     keep += ["_text"] if with_text else []
-    base = searched.select(*keep, "_row", "_seeds")
     met = searched.where(F.size("_candidates") > 0)
+    # Texts without a candidate are as the fixed rules leave them, and are not moved.
+    plain = searched.where(F.size("_candidates") == 0).select(*keep, "_seeds", F.col("_seeds").alias("_spans"))
     if met.isEmpty():
-        return base.withColumn("_spans", F.col("_seeds")).drop("_row")
+        return plain
     values = accepted_values(searched, F.col("_text"), accept, rounds)
     added = met.select("_row", F.explode("_candidates").alias("s")).join(
         values.withColumnRenamed("kind", "of_kind").withColumnRenamed("value", "of_value"),
@@ -217,8 +218,8 @@ def find_spans(
     every = F.concat("_seeds", F.coalesce("_added", F.array().cast(f"array<{SPAN}>")))
     rank = lambda s: F.array_position(F.array(*[F.lit(k) for k in KINDS]), s["kind"])
     order = lambda a, b: F.when(rank(a) != rank(b), rank(a) - rank(b)).otherwise(a["start"] - b["start"]).cast("int")
-    joined = base.join(added, F.col("_row") == F.col("_at"), "left")
-    return joined.select(*keep, "_seeds", F.array_sort(every, order).alias("_spans"))
+    joined = met.join(added, F.col("_row") == F.col("_at"), "left")
+    return plain.unionByName(joined.select(*keep, "_seeds", F.array_sort(every, order).alias("_spans")))
 
 
 def span_names(spans: Column) -> Column:
