@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.common import slices, stored
 from salesloom.llm.segments import byte_letters
+from salesloom.operators.lineage import broadcast_if_small
 
 SEQ_LEN = 2048
 END_ID = 1
@@ -156,6 +157,8 @@ def place_pieces(pieces: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
     starts = counted.join(F.broadcast(bases), F.col("length") == F.col("of_length")).select(
         F.col("slot").alias("at_slot"), "of_length", "begin", "full", "rest", "per", "first_id"
     )
+    # A few counts for each task; pieces, which may hold their ids, meet them where they lie.
+    starts = broadcast_if_small(stored(starts))
     joined = pieces.join(starts, (F.col("slot") == F.col("at_slot")) & (F.col("length") == F.col("of_length")))
     number = F.col("begin") + F.col("ordinal")
     left = number - F.col("full") * F.col("per")
