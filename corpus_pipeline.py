@@ -9,11 +9,13 @@ stage; rows equal in id and text count as copies; a null id is never a duplicate
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm import jaccard_join, langid, mixing, packing, pii
-from salesloom.llm.common import n_words, stored, table
+from salesloom.llm.common import discard, recorded, stored, table
 from salesloom.llm.queries import tokenizer_json
 
 # Share of a text that its main language must hold.
@@ -29,6 +31,27 @@ def _named(docs: DataFrame) -> list:
     return [F.col(f"`{name}`") for name in docs.columns]
 
 
+_left: list[DataFrame] = []
+
+
+def _stage(function):
+    """A stage that discards what the one before it stored on its way, which nothing reads any
+    more once that one's result is written. So a result must be written before the next
+    stage is called."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(*_left)
+        _left.clear()
+        with recorded() as frames:
+            made = function(spark, docs, sf_dir)
+        _left.extend(frames)
+        return made
+
+    return run_stage
+
+
+@_stage
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter, and those of which no language holds ``MIN_SHARE``."""
     carried = _numbered(docs)
@@ -39,6 +62,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.select(*[F.col(n).alias(name) for n, name in zip(carried, docs.columns, strict=True)])
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of each group of linked ones: the one with the smallest id."""
     _, found = jaccard_join.link_documents(docs)
@@ -52,6 +76,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.join(repeated, same, "left_anti").unionByName(once)
 
 
+@_stage
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each span of personal data gives way to its kind in brackets; ``n_chars`` follows."""
     carried = _numbered(docs)
@@ -74,15 +99,21 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return found.select(*[column(n, name) for n, name in zip(carried, docs.columns, strict=True)])
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's draw takes it."""
-    drawn = mixing.mix(docs).where("taken > 0").select(F.col("doc_id").alias("_draw_id"), F.col("size").alias("_draw_size"), (F.col("taken") / F.col("size")).cast("int").alias("_draw_copies"))
-    # Rows that share id and size share the draw.
-    drawn = drawn.groupBy("_draw_id", "_draw_size").agg(F.max("_draw_copies").alias("_draw_copies"))
-    met = docs.withColumn("_draw_words", n_words(F.col("text"))).join(drawn, F.col("doc_id").eqNullSafe(F.col("_draw_id")) & (F.col("_draw_words") == F.col("_draw_size")))
-    return met.withColumn("_draw_copy", F.explode(F.sequence(F.lit(1), F.col("_draw_copies")))).select(*_named(docs))
+    """Each row as often as its source's draw takes it. Rows are told apart by their place in
+    the table, so those that share id and size have draws of their own."""
+    carried = _numbered(docs)
+    rows = docs.select(*[c.alias(n) for c, n in zip(_named(docs), carried, strict=True)], F.monotonically_increasing_id().alias("_row"))
+    own = dict(zip(docs.columns, carried, strict=True))
+    read = rows.select("_row", *[F.col(own[name]).alias(name) for name in ("doc_id", "source", "text")])
+    drawn = mixing.mix(read, keep=["_row"]).where("taken > 0")
+    copies = drawn.select(F.col("_row").alias("_drawn"), (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    met = rows.join(copies, F.col("_row") == F.col("_drawn")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return met.select(*[F.col(n).alias(name) for name, n in own.items()])
 
 
+@_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences with their token ids."""
     return packing.pack(docs, tokenizer_json())

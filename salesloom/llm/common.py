@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +49,25 @@ def stored(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_at = path
+    for frames in _RECORDS:
+        frames.append(back)
     return back
 
 
+_RECORDS: list[list[DataFrame]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """What ``stored`` writes inside, so that it can be discarded together."""
+    frames: list[DataFrame] = []
+    _RECORDS.append(frames)
+    try:
+        yield frames
+    finally:
+        _RECORDS.remove(frames)
+
+
 def discard(*frames: DataFrame) -> None:
     """Remove what ``stored`` wrote, once nothing will read it again."""
     for df in frames:

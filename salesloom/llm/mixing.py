@@ -58,10 +58,12 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, cap: in
     return settled.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target and taken, one row per row of ``docs``."""
+def mix(
+    docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP, seed: str = SEED, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``keep`` columns, doc_id, size, source_size, target and taken, one row per row of ``docs``."""
     spark = docs.sparkSession
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    sized = docs.select(*keep, "doc_id", "source", n_words(F.col("text")).alias("size"))
     order = ["source", "size", "doc_id"]
     sliced = stored(sized.repartitionByRange(partitions(spark), *order).withColumn("slice", F.spark_partition_id()))
     targets = source_targets(sliced, weights, cap)
@@ -82,6 +84,6 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP, see
     copies = F.floor(offset + (index + 1) * rate) - F.floor(offset + index * rate)
     # Rounding of the products must not add a copy beyond the cap.
     taken = (F.least(copies, F.lit(cap)) * F.col("size")).cast("bigint")
-    mixed = placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    mixed = placed.select(*keep, "doc_id", "size", "source_size", "target", taken.alias("taken"))
     unsized = sliced.where("size = 0").join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-    return mixed.unionByName(unsized.select("doc_id", "size", "source_size", "target", F.lit(0).cast("bigint").alias("taken")))
+    return mixed.unionByName(unsized.select(*keep, "doc_id", "size", "source_size", "target", F.lit(0).cast("bigint").alias("taken")))

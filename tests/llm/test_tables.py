@@ -7,6 +7,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from salesloom.llm import embedding_dedup, html_text, url_filter
@@ -198,6 +199,28 @@ def test_pipeline_stages(spark, edge_docs, no_docs):
         assert stage(spark, no_docs, SMALL).count() == 0
 
 
+def test_pipeline_draws_rows_with_one_id_and_size_apart(spark):
+    """Of 300 rows that share a null id and a size the mix takes a share, not all or none."""
+    rows = [(None, f"{k:04d} b c d e f", "a") for k in range(300)] + [(k, "x " * 6, "b") for k in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = Counter(row.text for row in corpus_pipeline.mix_sources(spark, frame, "").where("source = 'a'").collect())
+    assert len(got) == 300 and set(got.values()) == {3}
+    flipped = frame.withColumn("source", F.when(F.col("source") == "a", "z").otherwise("a"))
+    got = Counter(row.text for row in corpus_pipeline.mix_sources(spark, flipped, "").where("source = 'z'").collect())
+    assert max(got.values()) <= 3 and sum(got.values()) == 900
+
+
+def test_stages_discard_what_the_one_before_stored(spark, edge_docs):
+    import os
+
+    first = corpus_pipeline.mix_sources(spark, edge_docs, "")
+    first.count()
+    paths = [frame.stored_at for frame in corpus_pipeline._left]
+    assert paths
+    corpus_pipeline.pack_sequences(spark, edge_docs, "").count()
+    assert not any(os.path.exists(path.removeprefix("file:")) for path in paths)
+
+
 def test_pipeline_redacts(spark):
     rows = [(1, "write to joe@example.com or +1 (555) 123-4567 now", 40, "x"), (2, None, None, "y"), (3, "clean", 5, "z")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint, _seeds string")
