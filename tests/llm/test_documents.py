@@ -130,6 +130,75 @@ def test_marks_between_words_are_rejected_and_clean_texts_kept(spark):
     assert sum(judged[i] for i, _, _ in clean) >= 0.97 * len(clean)
 
 
+def test_words_set_apart_by_bars_are_rejected(spark):
+    """Also where the habit is as common as in one document of eight."""
+    clean = [(i, sentence(i, 150), "en") for i in range(140)]
+    junk = [(1000 + i, " ".join(w + (" |" if k % 4 else " ||") for k, w in enumerate(sentence(900 + i, 120).split())), "en") for i in range(20)]
+    judged = {r.doc_id: r.kept for r in quality.judge_quality(spark.createDataFrame(clean + junk, "doc_id bigint, text string, lang string")).collect()}
+    assert not any(judged[i] for i, _, _ in junk)
+    assert sum(judged[i] for i, _, _ in clean) >= 0.97 * len(clean)
+
+
+def test_kept_equals_a_plain_reckoning(spark, monkeypatch):
+    """Model, perplexity and bands by definition, with dictionaries, on a small table."""
+    monkeypatch.setattr(quality.modelled_languages, "__defaults__", (2,))
+    docs = [(i, sentence(i, 20 + i % 50, ("en", "de")[i % 2]) + ("!|" * (i % 7 == 0)), ("en", "de", "fr", None)[min(i % 7, 3) if i > 60 else i % 2]) for i in range(90)]
+    docs += [(500, None, "en"), (501, "###", "de"), (502, sentence(3, 5000), "xx")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    table = quality.symbol_table()
+    count = Counter(lang for _, _, lang in docs)
+    own = sorted(count, key=lambda lang: (-count[lang], lang is not None, lang or ""))[:2]
+    part = {lang: lang if lang in own else "rest" for lang in count}
+    grams = {}
+    for _, text, lang in docs:
+        codes = [0, 0, 0, *[int(table[ord(c) % 0x400]) for c in text or ""]]
+        grams.setdefault(part[lang], Counter()).update(tuple(codes[k : k + 4]) for k in range(len(codes) - 3))
+
+    def model(counted):
+        orders = {4: counted}
+        for size in (3, 2, 1):
+            orders[size] = Counter(gram[1:] for gram in orders[size + 1])
+        cuts = {size: quality.discounts(np.array(list(of.values()))) for size, of in orders.items()}
+        contexts = {size: {} for size in orders}
+        for size, of in orders.items():
+            for gram, n in of.items():
+                total, rest = contexts[size].get(gram[:-1], (0, 0.0))
+                contexts[size][gram[:-1]] = (total + n, rest + cuts[size][min(n, 3)])
+
+        def p(gram):
+            size = len(gram)
+            if not size:
+                return 1 / 64
+            known = contexts[size].get(gram[:-1])
+            if not known:
+                return p(gram[1:])
+            n = orders[size].get(gram, 0)
+            return max(n - cuts[size][min(n, 3)], 0) / known[0] + known[1] / known[0] * p(gram[1:])
+
+        return p
+
+    models, scores, base = {name: model(counted) for name, counted in grams.items()}, {}, {}
+    for i, text, lang in docs:
+        if len(text or "") > 2000:
+            continue
+        codes = [0, 0, 0, *[int(table[ord(c) % 0x400]) for c in text or ""]]
+        letters = [0 < c <= 26 or c >= 40 for c in codes]
+        runs = sum(b and not a for a, b in itertools.pairwise(letters))
+        scores[i] = (-sum(math.log10(models[part[lang]](tuple(codes[k : k + 4]))) for k in range(len(codes) - 3)) / max(runs, 1), runs)
+    judged = {r.doc_id: r for r in quality.judge_quality(frame).collect()}
+    for i, (score, _) in scores.items():
+        assert abs(judged[i].log_perplexity - score) < 1e-6, i
+    for lang in count:
+        passing = sorted(judged[i].log_perplexity for i, _, of in docs if of == lang and not judged[i].base_failed)
+        if passing:
+            q1, q3 = (passing[max(math.ceil(q * len(passing)) - 1, 0)] for q in (0.25, 0.75))
+            for i, _, of in docs:
+                if of == lang and i in scores and not judged[i].base_failed:
+                    middle, trust = (q1 + q3) / 2, scores[i][1] / (scores[i][1] + quality.SHRINK)
+                    inside = q1 - 3 * (q3 - q1) <= middle + (judged[i].log_perplexity - middle) * trust <= q3 + 3 * (q3 - q1)
+                    assert judged[i].kept == inside, i
+
+
 def test_quality_of_nothing(no_docs):
     assert quality.judge_quality(no_docs).count() == 0
 
