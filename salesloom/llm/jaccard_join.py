@@ -46,7 +46,10 @@ from salesloom.llm.url_filter import Level
 
 WIDTH = 5
 SKETCH_WORDS = 8
-CHUNK_BYTES = 1 << 21
+# Bytes of text hashed at a time; some 50 times as much memory is used for it.
+CHUNK_BYTES = 1 << 18
+# Bytes of text whose sets are held at a time.
+SLICE_BYTES = 1 << 21
 DRAWS = 2
 #: Up to this size a filter of the wanted ids spares the shuffle of other texts; results are the same without it.
 FILTER_BYTES = 16 << 20
@@ -183,7 +186,7 @@ def describe(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
             sets = shingle_sets(batch.column("text").to_pylist())
             hashes = np.zeros((len(sets), 2), np.uint64)
             words = np.zeros((len(sets), SKETCH_WORDS), np.uint64)
@@ -210,7 +213,7 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
                 sets = shingle_sets(part.column("text").to_pylist())
                 # Copies within the batch have the same signatures: the smallest stands for them.
@@ -305,7 +308,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         texts = texts.where(Level(wanted, n, 0.05, 0, FILTER_BYTES).holds(F.col("id")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "x")):
+        for batch in (part for whole in batches for part in slices(whole, "x", SLICE_BYTES)):
             kept = []
             left, right = (shingle_sets(batch.column(c).to_pylist()) for c in ("x", "y"))
             for x, y in zip(left, right, strict=True):
