@@ -37,6 +37,7 @@ ACCEPT = 0.5
 ROUNDS = 3
 DOUBT = 2.0
 REACH = 40
+GROUP = 128
 
 # Runs are matched from their start or from the end of the previous match only, and
 # without backtracking into them, so long runs take linear time.
@@ -89,25 +90,47 @@ def _matches(text: Column, kind: str, pattern: str, wanted: Column) -> Column:
     """All matches of a pattern as spans with the text around them.
 
     The text between matches comes from splitting by the same pattern; positions are the
-    running sum of both lengths.
+    sums of both lengths before them.
     """
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     n = F.size(values)
     pairs = F.arrays_zip(values.alias("value"), F.slice(gaps, 1, n).alias("gap"), F.slice(gaps, 2, n).alias("next"))
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("found"))
+    none = F.array().cast(f"array<{SPAN}>")
+    return F.when(wanted, _bound(pairs, lambda made: _placed(kind, made))).otherwise(none)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, b: a + b)
+
 
-    def step(done: Column, pair: Column) -> Column:
-        start = done["at"] + F.length(pair["gap"])
-        stop = start + F.length(pair["value"])
-        span = F.struct(
-            F.lit(kind).alias("kind"), start.cast("bigint").alias("start"), stop.cast("bigint").alias("stop"), pair["value"].alias("value"),
+def _placed(kind: str, pairs: Column) -> Column:
+    """Spans of matches and the text between them.
+
+    A span begins behind the blocks of ``GROUP`` matches before its own and the matches
+    before it in its block, so finding all places takes little more than one pass.
+    """
+
+    def from_lengths(lengths: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), (F.size(lengths) / GROUP).cast("int")), lambda k: _sum(F.slice(lengths, k * GROUP + 1, F.lit(GROUP))))
+        return _bound(blocks, lambda sums: F.transform(pairs, lambda pair, k: span(pair, k, lengths, sums)))
+
+    def span(pair: Column, k: Column, lengths: Column, sums: Column) -> Column:
+        block = (k / GROUP).cast("int")
+        before = _sum(F.slice(sums, F.lit(1), block)) + _sum(F.slice(lengths, block * GROUP + 1, k % GROUP))
+        return _bound(before + F.length(pair["gap"]), lambda start: F.struct(
+            F.lit(kind).alias("kind"), start.cast("bigint").alias("start"), (start + F.length(pair["value"])).cast("bigint").alias("stop"),
+            pair["value"].alias("value"),
             F.substring(pair["gap"], -REACH, REACH).alias("before"), F.substring(pair["next"], 1, REACH).alias("after"),
-        )
-        return F.struct(stop.cast("bigint").alias("at"), F.concat(done["found"], F.array(span)).alias("found"))
+        ))
 
-    none = F.array().cast(f"array<{SPAN}>")
-    return F.when(wanted, F.aggregate(pairs, empty, step)["found"]).otherwise(none)
+    lengths = F.transform(pairs, lambda pair: F.length(pair["gap"]) + F.length(pair["value"]))
+    return _bound(lengths, from_lengths)
 
 
 def seed_spans(text: Column) -> Column:

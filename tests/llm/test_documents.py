@@ -5,11 +5,13 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesloom.llm import jaccard_join, langid, mixing, packing, pii, quality, recurrent_lm
@@ -460,3 +462,14 @@ def test_straggler_in_another_partition_is_linked(spark):
 
 def test_jaccard_join_of_nothing(no_docs):
     assert jaccard_join.jaccard_components(no_docs).count() == 0
+
+
+def test_many_spans_of_one_text_take_their_share_of_time(spark):
+    n = 16_000
+    text = " ".join(f"mail{k}@example{k % 7}.com 10.0.{k % 200}.{k % 250}" for k in range(n))
+    frame = spark.createDataFrame([(1, text), (2, "none")], "doc_id bigint, text string")
+    start = time.monotonic()
+    found = frame.select("doc_id", pii.seed_spans(F.col("text")).alias("s")).orderBy("doc_id").first().s
+    assert time.monotonic() - start < 60
+    assert [(s.start, s.stop) for s in found] == [m.span() for m in re.finditer(r"mail\S+", text)] + [m.span() for m in re.finditer(r"10\.0\S+", text)]
+    assert all(text[s.start : s.stop] == s.value for s in found)
