@@ -15,7 +15,7 @@ documents. Where members are in different components after that, they are compar
 one member drawn by hash, for ``DRAWS`` rounds, which joins documents that link with many
 others; and only members of components that are still different are compared with each
 other. Candidates pass the sizes and a bound on the difference from 512-bit parity sketches
-(a differing element flips one bit) before the shingle sets of their whole texts are
+(a differing element flips one bit; large sets have 4,096 bits besides) before the shingle sets of their whole texts are
 intersected.
 
 Signatures travel as packed numbers, 8 bytes each, to the task of their bucket, which
@@ -46,6 +46,8 @@ from salesloom.llm.url_filter import Level
 
 WIDTH = 5
 SKETCH_WORDS = 8
+#: Sets of so many elements have a second sketch of so many words: a short one is full and rejects nothing.
+LONG_FROM, LONG_WORDS = 800, 64
 # Bytes of text hashed at a time; some 50 times as much memory is used for it.
 CHUNK_BYTES = 1 << 18
 # Bytes of text whose sets are held at a time.
@@ -180,8 +182,14 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), full[np.concatenate(owners)]
 
 
+def parities(own: np.ndarray, words: int) -> np.ndarray:
+    """Whether an odd number of the elements falls on each of ``64 * words`` bits."""
+    flips = np.bincount((own >> U(20)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.uint64)
+
+
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the set and its parity sketch."""
+    """doc_id, n_shingles, two hashes of the set, its parity sketch and, for a large set, a longer one."""
     sketch = ", ".join(f"s{k} long" for k in range(SKETCH_WORDS))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -190,16 +198,18 @@ def describe(docs: DataFrame) -> DataFrame:
             sets = shingle_sets(batch.column("text").to_pylist())
             hashes = np.zeros((len(sets), 2), np.uint64)
             words = np.zeros((len(sets), SKETCH_WORDS), np.uint64)
+            longer = []
             for row, own in enumerate(sets):
+                longer.append(parities(own, LONG_WORDS).view(np.int64) if len(own) >= LONG_FROM else [])
                 if len(own):
                     hashes[row] = own.sum(), mix(own ^ U(0x632BE59BD9B4E019)).sum()
-                    flips = np.bincount((own >> U(20)).astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
-                    words[row] = np.packbits(flips.astype(np.uint8)).view(np.uint64)
+                    words[row] = parities(own, SKETCH_WORDS)
             columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64())]
             columns += [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in [*hashes.T, *words.T]]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h0", "h1", *[f"s{k}" for k in range(SKETCH_WORDS)]])
+            columns.append(pa.array(longer, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h0", "h1", *[f"s{k}" for k in range(SKETCH_WORDS)], "longer"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_shingles long, h0 long, h1 long, {sketch}")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_shingles long, h0 long, h1 long, {sketch}, longer array<long>")
 
 
 def shared_signatures(docs: DataFrame) -> DataFrame:
@@ -296,7 +306,10 @@ def _close(a: str, b: str) -> Column:
     """Sizes and sketches allow a similarity of 4/5."""
     flips = sum((F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
     n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * flips <= n + m)
+    both = F.zip_with(f"{a}.longer", f"{b}.longer", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    # Only one of the two may be large enough for the longer sketch.
+    longer = F.aggregate(both, F.lit(0), lambda done, bits: done + F.coalesce(bits, F.lit(0)))
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * flips <= n + m) & (9 * longer <= n + m)
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -331,7 +344,7 @@ def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = usable.join(same.select("h0", "h1", "n_shingles", "head"), ["h0", "h1", "n_shingles"]).select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
     copies = stored(copies.where("a > b"))
     members = stored(shared_signatures(docs))
-    traits = usable.select("doc_id", "n_shingles", "h0", "h1", *[f"s{k}" for k in range(SKETCH_WORDS)])
+    traits = usable.select("doc_id", "n_shingles", "h0", "h1", *[f"s{k}" for k in range(SKETCH_WORDS)], "longer")
 
     def close_pairs(pairs: DataFrame) -> DataFrame:
         """Distinct pairs of different sets that may be similar."""

@@ -442,6 +442,35 @@ def test_large_groups_of_copies_become_one_component(spark):
     assert Counter(map(tuple, found)) == brute_components(rows)
 
 
+def test_large_sets_at_the_threshold(spark):
+    """Texts of over 800 shingles, some a word beyond the threshold, some a word short of it."""
+    rng = random.Random(12)
+    rows = []
+    for group in range(6):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([700, 900, 1300, 4000]))]
+        rows.append((len(rows), " ".join(words)))
+        n = len(words) - 4
+        for changed in (0.02, 0.5, 0.9, 0.99, 1.0, 1.02, 1.3):
+            # So many trailing words differ that the similarity is near 0.8.
+            tail = round(changed * n / 9)
+            rows.append((len(rows), " ".join(words[: len(words) - tail] + [f"x{rng.randrange(10**6)}" for _ in range(tail)])))
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    sets = [{tuple(text.split()[k : k + 5]) for k in range(len(text.split()) - 4)} for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    assert got == {k: find(k) for k in range(len(rows))}
+    assert len(set(got.values())) > 6
+
+
 def test_straggler_in_another_partition_is_linked(spark):
     """Its only link is to a document that is the smallest of no signature in the slice of its group."""
     rng = random.Random(23)
