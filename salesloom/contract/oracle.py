@@ -503,6 +503,8 @@ def _sources() -> dict[str, str]:
               ELSE (SELECT string_agg(DISTINCT late_month, ',' ORDER BY late_month) FROM spread) END
           FROM (SELECT unnest([0, 1]) AS n)"""),
         "landed_product_pages": _sql("p", "id:b code:s name:s gtin:s unit:s price:d promo_price:d status:s location:s created_at:s tags:s", landed),
+        "landed_catalogue": _sql("p", "id:b sku:s product_name:s price:d promo_price:d cost_price:d avg_cost:d unit:s gtin:s variation_type:s location:s status:s created_at:s", f"""
+          SELECT *, code AS sku, name AS product_name, NULL AS cost_price, NULL AS avg_cost, NULL AS variation_type FROM ({landed})"""),
         "product_category_tags": _sql("p", "id_src:b tag:s", """
           SELECT id AS id_src, CASE WHEN abs(id)%6 IN (0, 2) THEN '' ELSE location END AS tag FROM p WHERE abs(id)%31<>0"""),
         "rows_as_json": _sql("o", "order_id:b " + " ".join(f"json_{c}:s" for c in (
@@ -598,6 +600,13 @@ def _maintenance() -> dict[str, str]:
           WHERE NOT ({recent30} AND status = 'aprovação parcial')"""),
         "orders_migrated": _sql("o", order_cols, """
           SELECT * REPLACE (CASE WHEN order_date < DATE '2000-01-01' THEN external_id END AS external_id) FROM o"""),
+        "items_migrated": _sql("o i", "order_id:b item_seq:b product_id:s sku:s product_name:s qty:d price:d total:d", """
+          WITH early AS (SELECT order_id FROM o WHERE order_date < DATE '2000-01-01'),
+          known AS (SELECT * FROM i WHERE order_id IN (SELECT order_id FROM early))
+          SELECT * FROM known UNION ALL
+          SELECT * FROM (SELECT * FROM i QUALIFY row_number() OVER (PARTITION BY order_id, item_seq ORDER BY product_id DESC NULLS LAST,
+            sku DESC NULLS LAST, product_name DESC NULLS LAST, i.qty DESC NULLS LAST, price DESC NULLS LAST, i.total DESC NULLS LAST) = 1)
+          WHERE (order_id, item_seq) NOT IN (SELECT (order_id, item_seq) FROM known)"""),
         "fact_window_loaded": _sql("o i k", "date_key:b order_id:b item_seq:b order_number:s product_key:b code:s description:s qty:d unit_price:d total:d order_status:s month:s", f"""
           WITH heads AS (SELECT order_id, CASE WHEN order_id%5<>0 THEN order_number END AS order_number,
               CASE WHEN order_id%3<>0 THEN status END AS order_status,

@@ -471,6 +471,11 @@ def landed_product_pages(s: Shop) -> DataFrame:
     return landing.product_rows(pages.product_pages(s.products)).drop("raw_json")
 
 
+@query
+def landed_catalogue(s: Shop) -> DataFrame:
+    return landing.catalogue_rows(pages.product_pages(s.products)).drop("raw_json")
+
+
 @query
 def product_category_tags(s: Shop) -> DataFrame:
     return landing.product_categories(pages.product_details(s.products))
@@ -856,6 +861,19 @@ def orders_migrated(s: Shop) -> DataFrame:
     return maintain.migrate_orders(known.select(*columns, "raw_json"), legacy).drop("raw_json")
 
 
+@query
+def items_migrated(s: Shop) -> DataFrame:
+    """Known lines of orders up to 1999, joined by all legacy lines that are new."""
+    before = s.orders.where(F.col("order_date") < F.lit("2000-01-01").cast("date")).select("order_id")
+    known = s.order_items.join(before, "order_id", "left_semi").withColumn("raw_json", F.lit("{}"))
+    legacy = s.order_items.select(
+        "order_id", "item_seq", F.col("product_id").alias("produto_id"), F.col("sku").alias("produto_codigo"),
+        F.col("product_name").alias("produto_nome"), F.col("qty").alias("quantidade"), F.col("price").alias("valor_unitario"),
+        F.col("total").alias("valor_total"),
+    )
+    return maintain.migrate_items(known, legacy).drop("raw_json")
+
+
 @query
 def fact_reloaded(s: Shop) -> DataFrame:
     """Fact of all days, its last 30 days reloaded twice."""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution picks the join strategy from measured sizes, merges small
@@ -27,4 +31,19 @@ def get_session(master: str | None = None, app_name: str = "salesloom", **overri
     settings = DEFAULTS | {key.replace("__", "."): value for key, value in overrides.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, wherever the job was started."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="salesloom-"), "salesloom.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.relpath(file, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
