@@ -181,4 +181,5 @@ def period_summary_from_states(warehouse: Warehouse, start, end) -> DataFrame:
     # One bitmap of the period for each 32,768 names.
     sold = within("state_names").groupBy("bucket").agg(F.bitmap_or_agg("names").alias("names"))
     products = sold.agg(F.coalesce(F.sum(F.bitmap_count("names")), F.lit(0)).alias("products"))
-    return period_summary_row(sums.crossJoin(F.broadcast(products)), start, end)
+    both = sums.unionByName(products, allowMissingColumns=True)  # a row of each
+    return period_summary_row(both.agg(*[F.sum(name).alias(name) for name in ("units", "revenue", "days", "products")]), start, end)
