@@ -247,8 +247,8 @@ def question_lines(s: Shop) -> DataFrame:
 @query
 def question_all_lines(s: Shop) -> DataFrame:
     """How many lines, and for how much, each question that asks for lines gets."""
-    lines = questions.question_lines(_question_texts(s), _enriched(s), VOCABULARY)
-    return lines.groupBy("question_id").agg(F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue"))
+    totals = questions.question_lines(_question_texts(s), _enriched(s), VOCABULARY, summed=True)
+    return totals.groupBy("question_id").agg(F.sum("lines").alias("lines"), F.sum("revenue").alias("revenue"))
 
 
 @query

@@ -189,10 +189,13 @@ def answer_questions(questions: DataFrame, sales: DataFrame, vocabulary: Sequenc
 
 
 def question_lines(
-    questions: DataFrame, sales: DataFrame, vocabulary: Sequence[str] | DataFrame, limit: int | None = None
+    questions: DataFrame, sales: DataFrame, vocabulary: Sequence[str] | DataFrame, limit: int | None = None,
+    summed: bool = False,
 ) -> DataFrame:
     """All lines for every question that asks for lines; with a ``limit``, the first
-    ones by day and their position.
+    ones by day and their position; ``summed``, how many there are and their revenue, for
+    the questions that get any. Those are sums of whole cells, so each line is added up once
+    in its cell and no line is listed for a question.
 
     Sales lie in cells of a tag text and a month, of which there are few. Every distinct
     filter is first turned into its cells, and lines meet filters by the cell, so a line is
@@ -208,7 +211,9 @@ def question_lines(
         F.col("total").alias("revenue"),
     )
     cell = ["held", "month_start"]
-    if limit is not None:
+    if summed:
+        each = materialized(each.groupBy(*cell).agg(F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue")))
+    elif limit is not None:
         numbered = each.withColumn("n", F.row_number().over(Window.partitionBy(*cell).orderBy(*order)))
         each = materialized(numbered.where(F.col("n") <= limit).drop("n"))
     cells = materialized(each.select(*cell).distinct())
@@ -217,6 +222,9 @@ def question_lines(
     untagged = combos.where(F.size("tags") == 0).join(calendar, ["q_year", "q_month"])
     wanted = tagged.select(*_COMBO, *cell).unionByName(untagged.select(*_COMBO, *cell))
     found = wanted.join(each, cell).drop(*cell)
+    if summed:
+        totals = found.groupBy(*_COMBO).agg(F.sum("lines").alias("lines"), F.sum("revenue").alias("revenue"))
+        return asked.join(totals, _COMBO).select("question_id", "lines", "revenue")
     columns = ["day", "product", "line_tags", "qty", "revenue"]
     if limit is None:
         return asked.join(found, _COMBO).select("question_id", *columns)

@@ -96,6 +96,15 @@ def test_lines_equal_brute_force(sales, texts):
             assert key not in got
 
 
+def test_sums_of_lines_list_no_line(sales, texts):
+    from tests.test_plans import plan_of
+
+    listed = Q.question_lines(texts, sales, VOCABULARY).groupBy("question_id").agg(F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue"))
+    summed = Q.question_lines(texts, sales, VOCABULARY, summed=True)
+    assert listed.count() and sorted(map(tuple, summed.collect())) == sorted(map(tuple, listed.collect()))
+    assert "product" not in plan_of(summed)  # cells of a tag text and a month, not lines
+
+
 def test_single_question_lines(sales):
     lines = Q.sales_question(sales, ["luxo"], 2024, 6, aggregate=False).collect()
     assert lines and [r.day for r in lines] == sorted(r.day for r in lines)
