@@ -69,6 +69,29 @@ def test_line_shapes(spark, tmp_path):
     assert sorted(rows_of(landing.replaced_orders(details))) == [(1,), (2,), (4,)]
 
 
+def test_replies_are_settled_in_one_pass(spark, tmp_path):
+    path = land(
+        tmp_path, "d.json", detail(1, {"item": {"codigo": "A"}}), detail(1, {"item": {"codigo": "B"}}), detail(1, status="Erro"),
+        detail(2, status="Erro"), detail(2, status="Zero"), detail(None, {"item": {"codigo": "C"}}), detail(4),
+    )
+    settled = landing.settled_details(landing.read_arrived_pages(spark, path, schemas.ORDER_DETAIL))
+    ids, latest = landing.accepted_details(settled)
+    assert sorted(rows_of(ids)) == [(1,), (4,)]
+    assert rows_of(landing.order_item_rows(latest), "order_id", "sku") == [(1, "B")]
+    assert rows_of(landing.failed_details(settled)) == [(2, "Zero")]
+    assert sum(r.replies for r in settled.collect()) == 7
+
+
+def test_arriving_details_are_parsed_once(spark):
+    from salesloom.contract import pages
+    from salesloom.contract.tables import Shop
+    from tests.conftest import SMALL
+    from tests.test_plans import plan_of
+
+    for made in (landing.replaced_orders, landing.settled_details):
+        assert plan_of(made(pages.arriving_details(Shop(spark, SMALL).order_items))).count("from_json") <= 2
+
+
 def test_bad_page_stops_the_load(spark, tmp_path):
     path = land(tmp_path, "p.json", page({"pedido": {"id": 1}}), page(status="Erro", erros=[{"erro": "limite"}]))
     with pytest.raises(landing.RejectedPages, match="limite"):
