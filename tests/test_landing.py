@@ -342,3 +342,23 @@ def test_a_batch_that_dies_is_loaded_by_the_next_run(spark, tmp_path, monkeypatc
     ingest_increment(spark, warehouse, str(tmp_path / "pages"), str(tmp_path / "details"))
     assert [r[0] for r in orders_of(warehouse)] == [1] and warehouse.load("rejected_pages").count() == 1
     assert lines_of(warehouse) == [(1, 1, "A", "2024-03")]
+
+
+def test_pages_are_computed_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    entries = [order(1, "05/03/2024"), order(1, "06/04/2024"), order(2, "05/03/2024")]
+    replies = spark.read.schema(schemas.ORDER_PAGE).json(land(tmp_path / "p", "p.json", page(*entries), page(status="Erro", erros="x")))
+    met = spark.sparkContext.accumulator(0)
+
+    def seen(status):
+        met.add(1)
+        return status
+
+    status = F.udf(seen).asNondeterministic()(F.col("retorno.status"))
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    account = apply_order_pages(warehouse, replies.select(F.col("retorno").withField("status", status).alias("retorno")))
+    assert met.value == 2
+    assert (account["pages"], account["rejected"], account["rows"]) == (2, 1, 3)
+    assert sorted((r.order_id, r.month) for r in warehouse.load("orders").collect()) == [(1, "2024-04"), (2, "2024-03")]
+    assert sorted((r.order_id, r.month) for r in warehouse.load("order_amounts").collect()) == [(1, "2024-04"), (2, "2024-03")]
