@@ -13,14 +13,30 @@ from salesloom.plans.lines import revenue_of_line, sold_lines
 
 def channel_revenue_from_lines(orders: DataFrame, items: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     """Line revenue and active days per channel; an order without lines adds 0."""
-    recent = orders.where(P.since_days(F.col("order_date"), as_of, days)).select(
-        "order_id", "order_date", C.label_or(F.col("channel"), C.UNKNOWN_CHANNEL).alias("channel")
-    )
+    recent = _labelled_orders(orders, as_of, days)
     lines = (
         sold_lines(recent, items, ["channel", "order_date"], ["qty", "price", "total"])
         .groupBy("channel", "order_date")
         .agg(F.sum(revenue_of_line()).alias("revenue"))
     )
+    return _channel_revenue(recent, lines)
+
+
+def channel_revenue_of_lines(orders: DataFrame, lines: DataFrame, as_of=None, days: int = 30) -> DataFrame:
+    """``channel_revenue_from_lines`` from partial sums (channel, order_date, revenue) of the lines."""
+    lines = lines.where(P.since_days(F.col("order_date"), as_of, days)).select(
+        C.label_or(F.col("channel"), C.UNKNOWN_CHANNEL).alias("channel"), "order_date", "revenue"
+    )
+    return _channel_revenue(_labelled_orders(orders, as_of, days), lines)
+
+
+def _labelled_orders(orders: DataFrame, as_of, days: int) -> DataFrame:
+    return orders.where(P.since_days(F.col("order_date"), as_of, days)).select(
+        "order_id", "order_date", C.label_or(F.col("channel"), C.UNKNOWN_CHANNEL).alias("channel")
+    )
+
+
+def _channel_revenue(recent: DataFrame, lines: DataFrame) -> DataFrame:
     present = recent.select("channel", "order_date").distinct().withColumn(
         "revenue", F.lit(0).cast("decimal(28,4)")
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.functions import predicates as P
+from salesloom.operators.lineage import materialized
 from salesloom.plans import channels, products, sales
+from salesloom.plans.lines import line_cells
 
 
 def report_tables(orders: DataFrame, items: DataFrame, as_of=None) -> DataFrame:
@@ -45,15 +48,32 @@ def materialized_reports(orders: DataFrame, items: DataFrame, as_of=None, recent
 
     ``recent`` gives orders and lines that cover the last 90 days, such as
     ``Warehouse.recent``; the reports over days read those instead of everything.
+    Lines meet their orders once, for the first report that is built; the sums are stored
+    for the others.
     """
     new_orders, new_items = recent or (orders, items)
+    day = F.col("order_date")
+
+    def summed(orders: DataFrame, items: DataFrame):
+        return cache(lambda: materialized(line_cells(orders, items, P.since_days(day, as_of, 90))))
+
+    every = summed(orders, items)
+    new = summed(new_orders, new_items) if recent else every
+
+    def lately(*columns) -> DataFrame:
+        return new().where(P.since_days(day, as_of, 90)).select(*columns)
+
     return {
-        "daily_orders": lambda: sales.daily_orders_from_headers(new_orders, new_items, as_of),
+        "daily_orders": lambda: sales.daily_orders_of_headers(
+            new_orders.where(P.since_days(day, as_of, 90)), lately(day.alias("day"), F.col("qty").alias("items"))
+        ),
         "channels_30d": lambda: channels.channel_orders(new_orders, as_of),
-        "product_ranking_90d": lambda: products.product_ranking(new_orders, new_items, as_of),
-        "daily_orders_lines": lambda: sales.daily_orders_from_lines(orders, items),
-        "channel_lines_30d": lambda: channels.channel_revenue_from_lines(new_orders, new_items, as_of),
-        "product_sales_90d": lambda: products.product_sales(new_orders, new_items, as_of),
+        "product_ranking_90d": lambda: products.product_ranking_of_lines(lately("sku", "product_name", "qty", "total")),
+        "daily_orders_lines": lambda: sales.daily_orders_of_lines(orders, every().select(day.alias("day"), "items", "revenue")),
+        "channel_lines_30d": lambda: channels.channel_revenue_of_lines(new_orders, new(), as_of),
+        "product_sales_90d": lambda: products.product_sales_of_lines(
+            lately("sku", "product_name", F.col("items").alias("qty"), "revenue")
+        ),
         "daily_channels": lambda: channels.daily_channel_orders(orders),
     }
 

@@ -32,6 +32,19 @@ def enriched_total() -> Column:
     )
 
 
+def line_cells(orders: DataFrame, items: DataFrame, recent: Column) -> DataFrame:
+    """Sums of lines by day, and for ``recent`` orders by channel, sku and name besides.
+
+    One join from which all reports over lines are made; older days are one cell each.
+    """
+    lines = sold_lines(orders, items, ["order_date", "channel"], ["sku", "product_name", "qty", "price", "total"])
+    keys = [F.when(recent, F.col(name)).alias(name) for name in ("channel", "sku", "product_name")]
+    return lines.groupBy("order_date", *keys).agg(
+        F.sum("qty").alias("qty"), F.sum(C.zero_if_null(F.col("qty"))).alias("items"),
+        F.sum("total").alias("total"), F.sum(revenue_of_line()).alias("revenue"),
+    )
+
+
 def one_per_sku(products: DataFrame) -> DataFrame:
     """Catalogue with one row per sku, the newest; a repeated sku would multiply sales."""
     return newest_per_key(products.select("sku", "created_at", "id", "cost_price"), ["sku"], ["created_at", "id"])

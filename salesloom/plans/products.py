@@ -28,6 +28,11 @@ def product_sales(orders: DataFrame, items: DataFrame, as_of=None, days: int = 9
             F.sum(revenue_of_line()).alias("revenue"),
         )
     )
+    return product_sales_of_lines(sums)
+
+
+def product_sales_of_lines(sums: DataFrame) -> DataFrame:
+    """``product_sales`` from partial sums (sku, product_name, qty, revenue) of the recent lines."""
     return (
         sums.groupBy("sku")
         .agg(
@@ -57,7 +62,18 @@ def labelled_product_sales(orders: DataFrame, items: DataFrame, as_of=None, days
 
 def product_ranking(orders: DataFrame, items: DataFrame, as_of=None, days: int = 90) -> DataFrame:
     """All products numbered by revenue; ties by sku, then name."""
-    sales = labelled_product_sales(orders, items, as_of, days)
+    return _ranked(labelled_product_sales(orders, items, as_of, days))
+
+
+def product_ranking_of_lines(sums: DataFrame) -> DataFrame:
+    """``product_ranking`` from partial sums (sku, product_name, qty, total) of the recent lines."""
+    sales = sums.groupBy(
+        C.label_or(F.col("sku"), C.NO_SKU).alias("sku"), C.label_or(F.col("product_name"), C.NO_NAME).alias("product_name")
+    ).agg(*[F.coalesce(F.sum(of).cast("decimal(28,4)"), F.lit(0)).alias(name) for name, of in (("revenue", "total"), ("qty", "qty"))])
+    return _ranked(sales)
+
+
+def _ranked(sales: DataFrame) -> DataFrame:
     order = [high_first("revenue"), low_first("sku"), low_first("product_name")]
     return numbered(sales, "rank", order).select("rank", "sku", "product_name", "revenue", "qty")
 

@@ -13,8 +13,8 @@ from salesloom.operators.ordering import high_first, low_first, top
 from salesloom.plans.lines import revenue_of_line, sold_lines
 
 
-def _by_day(orders: DataFrame, items: DataFrame, item_measures: dict) -> DataFrame:
-    """Header and line sums per day, added up from two partial tables.
+def _by_day(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Header sums per day with those of ``lines``, partial sums of measures by ``day``.
 
     Orders without lines keep their day, as with an outer join, but the only join
     is an inner one and lines are summed per day before they meet the headers.
@@ -22,16 +22,19 @@ def _by_day(orders: DataFrame, items: DataFrame, item_measures: dict) -> DataFra
     headers = orders.groupBy(F.col("order_date").alias("day")).agg(
         F.count(F.lit(1)).alias("orders"), F.sum("total").alias("order_total")
     )
-    lines = (
-        sold_lines(orders, items, ["order_date"], ["qty", "price", "total"])
-        .groupBy(F.col("order_date").alias("day"))
-        .agg(*[measure.alias(name) for name, measure in item_measures.items()])
-    )
     both = headers.unionByName(lines, allowMissingColumns=True)
     return both.groupBy("day").agg(
         F.sum("orders").alias("orders"),
         F.sum("order_total").alias("order_total"),
-        *[F.sum(name).alias(name) for name in item_measures],
+        *[F.sum(name).alias(name) for name in lines.columns if name != "day"],
+    )
+
+
+def _lines_by_day(orders: DataFrame, items: DataFrame, measures: dict) -> DataFrame:
+    return (
+        sold_lines(orders, items, ["order_date"], ["qty", "price", "total"])
+        .groupBy(F.col("order_date").alias("day"))
+        .agg(*[measure.alias(name) for name, measure in measures.items()])
     )
 
 
@@ -41,7 +44,12 @@ def daily_orders_from_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
         "items": F.sum(C.zero_if_null(F.col("qty"))),
         "revenue": F.sum(revenue_of_line()),
     }
-    return _by_day(orders, items, measures).select("day", "orders", "items", "revenue").orderBy(low_first("day"))
+    return daily_orders_of_lines(orders, _lines_by_day(orders, items, measures))
+
+
+def daily_orders_of_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """``daily_orders_from_lines`` from partial sums (day, items, revenue) of the lines."""
+    return _by_day(orders, lines).select("day", "orders", "items", "revenue").orderBy(low_first("day"))
 
 
 def daily_orders_from_headers(
@@ -49,8 +57,13 @@ def daily_orders_from_headers(
 ) -> DataFrame:
     """Orders, header revenue and items per day of the last ``days`` days."""
     recent = orders.where(P.since_days(F.col("order_date"), as_of, days))
+    return daily_orders_of_headers(recent, _lines_by_day(recent, items, {"items": F.sum("qty")}))
+
+
+def daily_orders_of_headers(recent: DataFrame, lines: DataFrame) -> DataFrame:
+    """``daily_orders_from_headers`` from recent orders and partial sums (day, items) of their lines."""
     return (
-        _by_day(recent, items, {"items": F.sum("qty")})
+        _by_day(recent, lines)
         .select(
             "day",
             "orders",

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from salesloom.contract.registry import bound_queries
 from salesloom.contract.tables import AS_OF, Shop
 from salesloom.plans import products, sales
+from salesloom.plans.dataset import materialized_reports
 from salesloom.plans.lines import sales_enriched, sold_lines
+from salesloom.sources.warehouse import Warehouse
 from tests.conftest import SMALL
 
 QUERIES = bound_queries()
@@ -177,3 +179,21 @@ def test_same_result_under_any_partition_count(spark, conf):
     conf(spark__sql__shuffle__partitions="13", spark__sql__adaptive__enabled="false")
     for n in names:
         assert sorted(map(str, QUERIES[n](spark, SMALL).collect())) == before[n]
+
+
+def test_lines_meet_their_orders_once_for_all_reports(spark, tmp_path, make_orders, make_items):
+    met = spark.sparkContext.accumulator(0)
+
+    def seen(key):
+        met.add(1)
+        return key
+
+    orders = make_orders([(1, "2024-03-01", "a", "x", "Aprovado", 5), (2, "2024-03-02", " ", None, None, None), (3, "2020-01-01", "b", None, None, 1)])
+    items = make_items([(1, 1, "S", "n", 1, 5, 5), (1, 2, None, None, 1, 1, None), (3, 1, "S", "o", None, 2, 7)])
+    items = items.withColumn("order_id", F.udf(seen, "bigint").asNondeterministic()("order_id"))
+    shop = Warehouse(spark, str(tmp_path))
+    shop.refresh(materialized_reports(orders, items, "2024-03-10"))
+    assert met.value == 3
+    days = {str(r.day): (r.orders, r["items"], r.revenue) for r in shop.load("daily_orders_lines").collect()}
+    assert days == {"2024-03-01": (1, 2, 6), "2024-03-02": (1, None, None), "2020-01-01": (1, 0, 7)}
+    assert [(r.sku, r["product_name"], r.qty) for r in shop.load("product_sales_90d").collect()] == [("S", "n", 1), (None, "", 1)]
