@@ -270,8 +270,14 @@ def migrate_orders(orders: DataFrame, legacy: DataFrame) -> DataFrame:
 
 
 def migrate_items(items: DataFrame, legacy: DataFrame) -> DataFrame:
-    """Lines plus those legacy lines whose (order, number) is not known yet."""
-    renamed = with_raw_json(legacy).select(
+    """Lines plus those legacy lines whose (order, number) is not known yet.
+
+    Known ones go before the others get their JSON, so no text is shuffled that is not kept.
+    """
+    keys = ["order_id", "item_seq"]
+    columns = legacy.columns
+    legacy = with_raw_json(legacy.join(items.select(*keys), keys, "left_anti").select(*columns))
+    renamed = legacy.select(
         "order_id",
         "item_seq",
         F.col("produto_id").alias("product_id"),
@@ -282,4 +288,5 @@ def migrate_items(items: DataFrame, legacy: DataFrame) -> DataFrame:
         F.col("valor_total").alias("total"),
         "raw_json",
     )
-    return insert_new(items, renamed.select(*items.columns), ["order_id", "item_seq"])
+    fresh = newest_per_key(renamed.select(*items.columns), keys, [])
+    return items.unionByName(fresh.select(*items.columns))

@@ -10,6 +10,7 @@ from salesloom.contract.tables import AS_OF, Shop
 from salesloom.plans import products, sales
 from salesloom.plans.dataset import materialized_reports
 from salesloom.plans.lines import sales_enriched, sold_lines
+from salesloom.plans.maintain import migrate_items
 from salesloom.sources.warehouse import Warehouse
 from tests.conftest import SMALL
 
@@ -197,3 +198,20 @@ def test_lines_meet_their_orders_once_for_all_reports(spark, tmp_path, make_orde
     days = {str(r.day): (r.orders, r["items"], r.revenue) for r in shop.load("daily_orders_lines").collect()}
     assert days == {"2024-03-01": (1, 2, 6), "2024-03-02": (1, None, None), "2020-01-01": (1, 0, 7)}
     assert [(r.sku, r["product_name"], r.qty) for r in shop.load("product_sales_90d").collect()] == [("S", "n", 1), (None, "", 1)]
+
+
+def test_known_legacy_lines_go_before_their_json_is_made(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    money = "decimal(18,4)"
+    items = spark.createDataFrame(
+        [(1, 1, "p", "s", "n", None, None, None, "{}")],
+        f"order_id bigint, item_seq int, product_id string, sku string, product_name string, qty {money}, price {money}, total {money}, raw_json string",
+    )
+    legacy = spark.createDataFrame(
+        [(1, 1, "q", "t", "m"), (1, 2, "a", "b", "c"), (1, 2, "a", "b", "d"), (None, 3, "a", "b", "d"), (2, None, "a", "b", "d")],
+        "order_id bigint, item_seq int, produto_id string, produto_codigo string, produto_nome string",
+    ).selectExpr("*", *[f"cast(null as {money}) as {name}" for name in ("quantidade", "valor_unitario", "valor_total")])
+    both = migrate_items(items, legacy)
+    assert sorted((r.order_id, r.item_seq, r.product_name) for r in both.collect()) == [(1, 1, "n"), (1, 2, "d")]
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("StructsToJson") < plan.index("LeftAnti")  # a plan is written from its end
