@@ -13,7 +13,7 @@ from salesloom.contract import pages
 from salesloom.contract.tables import AS_OF, MONEY, Shop, utc_midnight
 from salesloom.functions import cleanse as C
 from salesloom.functions import predicates as P
-from salesloom.operators.lineage import ensure_checkpoint_dir
+from salesloom.operators.lineage import broadcast_if_small, ensure_checkpoint_dir, materialized
 from salesloom.operators.ordering import high_first, last_key, low_first, page, page_after
 from salesloom.operators.ranking import running_share
 from salesloom.operators.skew import heavy_values
@@ -841,8 +841,9 @@ def orders_as_csv(s: Shop) -> DataFrame:
 def order_lines_replaced(s: Shop) -> DataFrame:
     """Lines of recent orders replaced; orders in part approval come back empty."""
     recent = s.orders.where(P.since_days(F.col("order_date"), AS_OF, 30)).select("order_id", "status")
-    ok = recent.where("status <> 'Em aberto'")
-    rows = s.order_items.join(recent.where("status = 'Aprovado'").select("order_id"), "order_id", "left_semi")
+    recent = materialized(recent.where("status <> 'Em aberto'"))
+    ok = broadcast_if_small(recent)
+    rows = s.order_items.join(broadcast_if_small(recent.where("status = 'Aprovado'").select("order_id")), "order_id", "left_semi")
     rows = rows.withColumn("qty", (F.col("qty") * 2).cast(MONEY))
     return replace_keys(s.order_items, ok, rows, ["order_id"])
 

@@ -56,7 +56,8 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], newest: S
 
 
 def replace_keys(target: DataFrame, replaced: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target without the rows of the ``replaced`` keys, plus ``rows``."""
+    """Target without the rows of the ``replaced`` keys, plus ``rows``. Few keys are best
+    stored before (``broadcast_if_small``): the target is not shuffled then."""
     kept = target.join(replaced.select(*keys).distinct(), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(rows.select(*target.columns))
 

@@ -215,3 +215,9 @@ def test_known_legacy_lines_go_before_their_json_is_made(spark, conf):
     assert sorted((r.order_id, r.item_seq, r.product_name) for r in both.collect()) == [(1, 1, "n"), (1, 2, "d")]
     plan = both._jdf.queryExecution().executedPlan().toString()
     assert plan.index("StructsToJson") < plan.index("LeftAnti")  # a plan is written from its end
+
+
+def test_lines_of_few_orders_are_replaced_without_a_shuffle(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    plan = plan_of(bound_queries()["order_lines_replaced"](spark, SMALL))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
