@@ -882,6 +882,7 @@ def fact_reloaded(s: Shop) -> DataFrame:
     facts, window = (
         maintain.fact_rows(s.stg_order_items, s.stg_orders, s.keyed_products, AS_OF, days, heavy) for days in (None, 30)
     )
+    window = materialized(window)
     once = maintain.reload_window(facts, window, AS_OF)
     twice = maintain.reload_window(once, window, AS_OF)
     return twice

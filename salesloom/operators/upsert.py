@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.operators.lineage import broadcast_if_small
+from salesloom.operators.lineage import broadcast_if_small, materialized
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -34,9 +34,11 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) ->
 
 def one_of_each(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``newest_per_key`` without an order, for tables whose keys hardly ever repeat:
-    keys are counted by hash, and only the rows of repeated ones are compared."""
+    keys are counted by hash, and only the rows of repeated ones are compared. The repeated
+    keys are stored, so that the other rows are not shuffled for them."""
     known = df.where(~_any_null(keys))
     repeated = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(*keys)
+    repeated = broadcast_if_small(materialized(repeated))
     single = known.join(repeated, list(keys), "left_anti").select(*df.columns)
     several = known.join(repeated, list(keys), "left_semi").select(*df.columns)
     return single.unionByName(newest_per_key(several, keys, []))

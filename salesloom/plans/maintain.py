@@ -96,16 +96,17 @@ def fact_rows(
         ["order_id"],
         ["order_number"],
     ).select("order_id", "order_number", F.col("status").alias("order_status"), day.alias("order_date"))
+    lines = stg_items.select("order_id", "item_seq", "code", "description", "qty", "unit_price", "total")
     if days is not None:
         headers = headers.where(
             (F.col("order_date") >= F.date_sub(today, days)) & (F.col("order_date") <= today)
         )
-    # Lines meet the window's headers first, so only those are deduplicated. The
-    # shuffle in between lets an order with very many lines be split in the join
-    # and spread by line afterwards.
-    lines = stg_items.select("order_id", "item_seq", "code", "description", "qty", "unit_price", "total")
-    spread = lines.join(headers, "order_id").repartition("order_id", "item_seq")
-    lines = one_of_each(spread, ["order_id", "item_seq"])
+        # A window's orders are few and stored, so other lines go without a shuffle.
+        headers = broadcast_if_small(materialized(headers))
+        lines = lines.join(headers.select("order_id"), "order_id", "left_semi")
+    # Lines are deduplicated before they meet their headers, so that they are joined once. A
+    # join lets an order with very many lines be split.
+    lines = one_of_each(lines, ["order_id", "item_seq"]).join(headers, "order_id")
     if dim_product is None:
         keyed = lines.withColumn("product_key", F.lit(None).cast("bigint"))
     else:

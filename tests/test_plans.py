@@ -10,7 +10,7 @@ from salesloom.contract.tables import AS_OF, Shop
 from salesloom.plans import products, sales
 from salesloom.plans.dataset import materialized_reports
 from salesloom.plans.lines import sales_enriched, sold_lines
-from salesloom.plans.maintain import migrate_items
+from salesloom.plans.maintain import fact_rows, migrate_items
 from salesloom.sources.warehouse import Warehouse
 from tests.conftest import SMALL
 
@@ -221,3 +221,23 @@ def test_lines_of_few_orders_are_replaced_without_a_shuffle(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     plan = plan_of(bound_queries()["order_lines_replaced"](spark, SMALL))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_fact_lines_meet_their_headers_once(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    money = "decimal(18,4)"
+    headers = spark.createDataFrame(
+        [(1, "7", "05/03/2024", "a"), (2, "8", "01/01/2020", "b"), (2, "9", None, "b")],
+        "order_id bigint, order_number string, order_date_text string, status string",
+    )
+    lines = spark.createDataFrame(
+        [(1, 1, "A", "x"), (1, 1, "B", "x"), (1, 2, None, "y"), (1, None, "C", "z"), (None, 1, "C", "z"), (2, 1, "D", "w"), (3, 1, "E", "v")],
+        "order_id bigint, item_seq int, code string, description string",
+    ).selectExpr("*", *[f"cast(null as {money}) as {name}" for name in ("qty", "unit_price", "total")])
+    got = {}
+    for days in (None, 30):
+        facts = fact_rows(lines, headers, None, "2024-03-10", days)
+        plan = plan_of(facts)
+        got[days] = sorted((r.order_id, r.item_seq, r.code, r.date_key) for r in facts.collect())
+        assert len(re.findall(r"SortMergeJoin [^\n]*Inner", plan)) == (1 if days is None else 0), plan
+    assert got[None] == got[30] == [(1, 1, "B", 20240305), (1, 2, None, 20240305), (2, 1, "D", 20240310)]
