@@ -954,7 +954,7 @@ def _states(s: Shop) -> Warehouse:
     shop.materialize("dim_product", s.dim_product)
     raw, month = F.lit(None).cast("string").alias("raw_json"), month_text(F.col("order_date")).alias("month")
     orders = s.orders.select("*", raw, month)
-    items = s.order_items.select("*", raw).join(orders.select("order_id", "month"), "order_id")
+    items = materialized(s.order_items.select("*", raw).join(orders.select("order_id", "month"), "order_id"))
     early = F.col("month") < "2001-06"
     for part in (early, ~early):
         for name, rows in (("orders", orders), ("order_items", items)):

@@ -25,29 +25,28 @@ from salesloom.plans.sales import period_summary_row
 from salesloom.sources.warehouse import BATCH, MONTH, Warehouse, month_text
 
 _HELD = ("orders", "order_items")
+_CELL_SUMS = ("orders", "order_total", "qty", "items", "line_revenue")
 
 
-def state_days(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Headers and lines by day; no lines on a day leaves nulls."""
-    headers = orders.groupBy(F.col("order_date").alias("day")).agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total").alias("order_total")
-    )
-    lines = sold_lines(orders, items, ["order_date"], ["qty", "price", "total"]).groupBy(F.col("order_date").alias("day")).agg(
-        F.sum("qty").alias("qty"), F.sum(C.zero_if_null(F.col("qty"))).alias("items"), F.sum(revenue_of_line()).alias("line_revenue")
-    )
-    both = headers.unionByName(lines, allowMissingColumns=True).groupBy("day")
-    return both.agg(*[F.sum(name).alias(name) for name in ("orders", "order_total", "qty", "items", "line_revenue")])
-
-
-def state_channels(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Headers and line revenue by day and channel, as it is written in the header."""
+def channel_cells(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Headers and lines by day and channel, as it is written in the header; no lines leave nulls."""
     cell = [F.col("order_date").alias("day"), "channel"]
     headers = orders.groupBy(*cell).agg(F.count(F.lit(1)).alias("orders"), F.sum("total").alias("order_total"))
     lines = sold_lines(orders, items, ["order_date", "channel"], ["qty", "price", "total"]).groupBy(*cell).agg(
-        F.sum(revenue_of_line()).alias("line_revenue")
+        F.sum("qty").alias("qty"), F.sum(C.zero_if_null(F.col("qty"))).alias("items"), F.sum(revenue_of_line()).alias("line_revenue")
     )
     both = headers.unionByName(lines, allowMissingColumns=True).groupBy("day", "channel")
-    return both.agg(*[F.sum(name).alias(name) for name in ("orders", "order_total", "line_revenue")])
+    return both.agg(*[F.sum(name).alias(name) for name in _CELL_SUMS])
+
+
+def state_days(cells: DataFrame) -> DataFrame:
+    """Headers and lines by day, from ``channel_cells``."""
+    return cells.groupBy("day").agg(*[F.sum(name).alias(name) for name in _CELL_SUMS])
+
+
+def state_channels(cells: DataFrame) -> DataFrame:
+    """Headers and line revenue by day and channel, from ``channel_cells``."""
+    return cells.select("day", "channel", "orders", "order_total", "line_revenue")
 
 
 def state_products(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -104,14 +103,17 @@ def refresh_states(warehouse: Warehouse) -> list[str]:
         touched = sorted(month for month in {*now, *before} if now.get(month) != before.get(month))
         if touched:
             orders, items = (warehouse.load(name).where(F.col(MONTH).isin(touched)).drop(MONTH) for name in _HELD)
-            enriched = materialized(sales_enriched(orders, items, active))
+            # Lines are summed before they are stored: a day has a cell for each name.
+            enriched = sales_enriched(orders, items, active).groupBy("day", "product")
+            enriched = materialized(enriched.agg(F.sum("qty").alias("qty"), F.sum("total").alias("total")))
+            cells = materialized(channel_cells(orders, items))
             known = warehouse.load("product_names").drop(BATCH)
             fresh = materialized(new_names(known, enriched.select(F.col("product").alias("name"))))
             if not fresh.isEmpty():
                 warehouse.append("product_names", fresh, f"names-{known.count():012d}")
             names = known.unionByName(fresh)
             states = {
-                "state_days": state_days(orders, items), "state_channels": state_channels(orders, items),
+                "state_days": state_days(cells), "state_channels": state_channels(cells),
                 "state_products": state_products(orders, items), "state_sales": state_sales(enriched),
                 "state_names": state_names(enriched, names),
             }

@@ -112,3 +112,12 @@ def test_names_beyond_one_bitmap(spark):
     assert bitmaps.select("bucket").distinct().count() == 3
     merged = bitmaps.groupBy("bucket").agg(F.bitmap_or_agg("names").alias("names"))
     assert merged.agg(F.sum(F.bitmap_count("names"))).first()[0] == 70_000
+
+
+def test_days_and_channels_come_from_one_join(shop, monkeypatch):
+    shop.store(*FEBRUARY)
+    joins = []
+    sold = states.sold_lines
+    monkeypatch.setattr(states, "sold_lines", lambda *args: joins.append(args) or sold(*args))
+    states.refresh_states(shop)
+    assert len(joins) == 2  # cells by channel, products
