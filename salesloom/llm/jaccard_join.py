@@ -19,7 +19,7 @@ other. Candidates pass the sizes and a bound on the difference from 512-bit pari
 intersected.
 
 Signatures travel as packed numbers, 8 bytes each, to the task of their bucket, which
-sorts them and keeps those of two documents or more. A signature that several documents of
+sorts them, some at a time, and keeps those of two documents or more. A signature that several documents of
 one slice of an Arrow batch share is resolved there, and only its smallest document goes on,
 flagged; a flagged document that meets any other keeps the signature for all its members.
 
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import partitions, slices, stored
+from salesloom.llm.common import partitions, slices, small_batches, stored
 from salesloom.llm.components import components
 from salesloom.llm.url_filter import Level
 
@@ -52,6 +52,8 @@ LONG_FROM, LONG_WORDS = 800, 64
 CHUNK_BYTES = 1 << 18
 # Bytes of text whose sets are held at a time.
 SLICE_BYTES = 1 << 21
+#: Signatures of a bucket that are sorted at a time; about 100 bytes are held for each.
+PASS_SIGNATURES = 1 << 19
 DRAWS = 2
 #: Up to this size a filter of the wanted ids spares the shuffle of other texts; results are the same without it.
 FILTER_BYTES = 16 << 20
@@ -264,12 +266,24 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
                     ["bucket", "resolved", "body"],
                 )
 
+    def opened(numbers: np.ndarray, turn: int, passes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Signatures of one pass over a packed body, their documents, and whether they came unflagged."""
+        n, flagged = int(numbers[0]), int(numbers[1])
+        own = numbers[n + 2 :]
+        place = np.flatnonzero((own >> U(16)) % U(passes) == turn)
+        own = own[place]
+        return own >> U(16), numbers[2 : n + 2].view(np.int64)[(own & U(0xFFFF)).astype(np.int64)], place >= flagged
+
+    def distinct(pairs: np.ndarray) -> np.ndarray:
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        return pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])] if len(pairs) else pairs
+
     def rows_of(sig: np.ndarray | None, doc: np.ndarray, pivot: np.ndarray) -> pa.RecordBatch:
         known = pa.nulls(len(doc), pa.int64()) if sig is None else pa.array(sig.view(np.int64))
         return pa.RecordBatch.from_arrays([known, *[pa.array(x.view(np.int64)) for x in (doc, pivot)]], ["sig", "doc_id", "pivot"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, docs_of, lone_of = [], [], []
+        held, total = [], 0
         for batch in batches:
             for resolved, body in zip(batch.column("resolved").to_pylist(), batch.column("body"), strict=True):
                 numbers = np.frombuffer(body.as_buffer(), np.uint64)
@@ -277,13 +291,14 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
                     rows = numbers.reshape(-1, 3)
                     yield rows_of(rows[:, 0] & low, *[np.ascontiguousarray(rows[:, k]) for k in (1, 2)])
                     continue
-                n, flagged = int(numbers[0]), int(numbers[1])
-                own = numbers[n + 2 :]
-                sigs.append(own >> U(16))
-                docs_of.append(numbers[2 : n + 2].view(np.int64)[(own & U(0xFFFF)).astype(np.int64)])
-                lone_of.append(np.arange(len(own)) >= flagged)
-        if sigs:
-            sig, doc, lone = np.concatenate(sigs), np.concatenate(docs_of), np.concatenate(lone_of)
+                held.append(numbers.copy())
+                total += len(numbers) - int(numbers[0]) - 2
+        passes = total // PASS_SIGNATURES + 1
+        pairs = [np.zeros((0, 2), np.int64)]
+        for turn in range(passes):
+            sig, doc, lone = (np.concatenate(x) for x in zip(*[opened(numbers, turn, passes) for numbers in held], strict=True)) if held else [np.zeros(0, U)] * 3
+            if not len(sig):
+                continue
             sort = np.lexsort((lone, doc, sig))  # of equal rows the flagged one stays
             sig, doc, lone = sig[sort], doc[sort], lone[sort]
             fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])])
@@ -295,8 +310,9 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
             several = np.repeat(more, size)
             yield rows_of(sig[several], doc[several], pivot[several])
             two = np.repeat((size == 2) & ~more, size) & (doc != pivot)
-            pairs = np.unique(np.column_stack([doc[two], pivot[two]]), axis=0)
-            yield rows_of(None, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
+            pairs.append(distinct(np.column_stack([doc[two], pivot[two]])))
+        found = distinct(np.concatenate(pairs))
+        yield rows_of(None, np.ascontiguousarray(found[:, 0]), np.ascontiguousarray(found[:, 1]))
 
     sent = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(send, "bucket int, resolved boolean, body binary")
     return sent.repartition(buckets, "bucket").mapInArrow(gather, "sig long, doc_id long, pivot long")
@@ -338,6 +354,11 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles) of every row, and (node, component) of every linked document."""
+    with small_batches(docs.sparkSession):
+        return _link(docs)
+
+
+def _link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     described = stored(describe(docs))
     usable = described.where("doc_id is not null and n_shingles > 0").withColumn("doc_id", F.col("doc_id").cast("long"))
     same = usable.groupBy("h0", "h1", "n_shingles").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -502,3 +502,32 @@ def test_many_spans_of_one_text_take_their_share_of_time(spark):
     assert time.monotonic() - start < 60
     assert [(s.start, s.stop) for s in found] == [m.span() for m in re.finditer(r"mail\S+", text)] + [m.span() for m in re.finditer(r"10\.0\S+", text)]
     assert all(text[s.start : s.stop] == s.value for s in found)
+
+
+@pytest.mark.parametrize("module", [jaccard_join])
+def test_python_tasks_get_small_batches(spark, monkeypatch, module):
+    """An executor holds a few MB of texts a task, not 10,000 rows of them; the setting is put back."""
+    cut, before = module.slices, spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def checked(batch, *rest):
+        assert batch.nbytes < 6 << 20, batch.nbytes
+        return cut(batch, *rest)
+
+    monkeypatch.setattr(module, "slices", checked)
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.concat_ws(" ", F.lit("words of"), "id", F.lit("")), 400).alias("text"))
+    found = packing.pack(docs, tokenizer_json(), with_ids=False) if module is packing else jaccard_join.jaccard_components(docs)
+    assert found.select("doc_id").distinct().count() == 3000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_signatures_of_a_bucket_in_passes(spark, monkeypatch):
+    """Few signatures at a time give the same members and pairs as all at once."""
+    rows = [(i, sentence(i // 3, 60) + (f" tail{i}" if i % 3 else "")) for i in range(60)] + [(100 + i, sentence(7, 40)) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3, "doc_id")
+
+    def members():
+        return Counter(map(tuple, jaccard_join.shared_signatures(docs).distinct().collect()))
+
+    whole = members()
+    monkeypatch.setattr(jaccard_join, "PASS_SIGNATURES", 5)
+    assert members() == whole and {row[0] is None for row in whole} == {True, False}
