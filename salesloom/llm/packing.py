@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import slices, stored
+from salesloom.llm.common import slices, small_batches, stored
 from salesloom.llm.segments import byte_letters
 from salesloom.operators.lineage import broadcast_if_small
 
@@ -62,13 +63,17 @@ def text_encoder(tokenizer_json: str) -> Callable[[str], np.ndarray]:
     the ids are the tokenizer's own. Others, and texts whose runs of white space are too
     long for that, are left to the tokenizer.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(tokenizer_json)
-    tokenizer.encode_special_tokens = True
+    @cache
+    def tokenizer():  # made when a text needs it
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_str(tokenizer_json)
+        made.encode_special_tokens = True
+        return made
 
     def by_tokenizer(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(tokenizer().encode(text, add_special_tokens=False).ids, "<u4")
 
     ranks = byte_ranks(json.loads(tokenizer_json))
     if not ranks:
@@ -178,4 +183,6 @@ def place_pieces(pieces: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer_json: str, seq_len: int = SEQ_LEN, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, (ids,) sequence_id, offset: one row per piece."""
-    return place_pieces(stored(cut_pieces(docs, tokenizer_json, seq_len, end_id, with_ids)), seq_len)
+    with small_batches(docs.sparkSession):
+        pieces = stored(cut_pieces(docs, tokenizer_json, seq_len, end_id, with_ids))
+    return place_pieces(pieces, seq_len)

@@ -504,7 +504,7 @@ def test_many_spans_of_one_text_take_their_share_of_time(spark):
     assert all(text[s.start : s.stop] == s.value for s in found)
 
 
-@pytest.mark.parametrize("module", [jaccard_join])
+@pytest.mark.parametrize("module", [packing, jaccard_join])
 def test_python_tasks_get_small_batches(spark, monkeypatch, module):
     """An executor holds a few MB of texts a task, not 10,000 rows of them; the setting is put back."""
     cut, before = module.slices, spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
