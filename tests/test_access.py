@@ -104,6 +104,26 @@ def test_a_search_reads_only_the_buckets_of_its_runs(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ IN \(", plan) and re.search(r"PushedFilters: \[[^\]]*In\(gram", plan)
 
 
+def test_the_index_lists_places_not_every_run_of_every_text(spark, tmp_path):
+    """Its rows grow with the runs of a segment, its lists say what the runs of each text say."""
+    shop = Warehouse(spark, str(tmp_path))
+    rows = [("order", str(i), f"widget {i % 10}") for i in range(2000)] + [("odd", "1", "wídget \U0001f600x"), ("odd", None, "ab"), (None, "2", None), ("odd", "3", "a\x00\x00\x00")]
+    search.build_search_index(shop, "grams", spark.createDataFrame(rows, "kind string, id string, text string").coalesce(1), buckets=4)
+    index = shop.load("grams")
+    assert index.count() < 200
+    names = {r.segment: list(zip(r.kinds, r.ids, strict=True)) for r in index.where("gram is null").collect()}
+    assert sorted(map(str, (pair for own in names.values() for pair in own))) == sorted(str((kind, key)) for kind, key, _ in rows)
+    found = {}
+    for r in index.where("gram is not null").collect():
+        found.setdefault(r.gram, []).extend(names[r.segment][place] for place in r.places)
+    expected = {}
+    for kind, key, text in rows:
+        runs = {(text or "")[k : k + 3] for k in range(len(text or "") - 2)} | ({""} if re.search(r"[^\x20-\x7E]", text or "") else set())
+        for run in runs:
+            expected.setdefault(run, []).append((kind, key))
+    assert {run: sorted(map(str, of)) for run, of in found.items()} == {run: sorted(map(str, of)) for run, of in expected.items()}
+
+
 # --- pages -------------------------------------------------------------------------
 
 
