@@ -13,8 +13,9 @@ No pairs within a signature are listed. First every member is compared with the
 member alone, which links most of a group of copies and settles the signatures of two
 documents. Where members are in different components after that, they are compared with
 one member drawn by hash, for ``DRAWS`` rounds, which joins documents that link with many
-others; and only members of components that are still different are compared with each
-other. Candidates pass the sizes and a bound on the difference from 512-bit parity sketches
+others; a drawn one is done with its signature. Only members of components that are still
+different are compared with each other, and a pair that shares many signatures is listed at
+the first of them (nearly always but once, see ``open_pairs``). Candidates pass the sizes and a bound on the difference from 512-bit parity sketches
 (a differing element flips one bit; large sets have 4,096 bits besides) before the shingle sets of their whole texts are
 intersected.
 
@@ -33,7 +34,7 @@ returned; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,8 @@ SLICE_BYTES = 1 << 21
 #: Signatures of a bucket that are sorted at a time; about 100 bytes are held for each.
 PASS_SIGNATURES = 1 << 19
 DRAWS = 2
+#: Classes of signatures whose smallest one every member carries, to tell pairs listed elsewhere.
+CLASSES = 8
 #: Up to this size a filter of the wanted ids spares the shuffle of other texts; results are the same without it.
 FILTER_BYTES = 16 << 20
 #: Documents of one slice of a batch from which a shared signature is resolved there.
@@ -328,6 +331,24 @@ def _close(a: str, b: str) -> Column:
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * flips <= n + m) & (9 * longer <= n + m)
 
 
+def open_pairs(left_open: DataFrame, traits: DataFrame) -> DataFrame:
+    """a, b: pairs of one signature and different components that may be similar, from (sig, doc_id, component).
+
+    Near copies share hundreds of signatures. Every member carries the smallest of its signatures in
+    each of ``CLASSES`` classes; where two members agree on one of these they share it, so they are
+    not listed at a larger one. The smallest signature that a pair shares always lists it.
+    """
+    own = [F.min(F.when(F.pmod("sig", F.lit(CLASSES)) == k, F.col("sig"))).alias(f"c{k}") for k in range(CLASSES)]
+    rest = stored(left_open.join(traits.drop("h0", "h1").join(left_open.groupBy("doc_id").agg(*own), "doc_id"), "doc_id"))
+    left, right = rest.alias("l"), rest.alias("r")
+    listed = [F.coalesce((F.col(f"l.c{k}") == F.col(f"r.c{k}")) & (F.col(f"l.c{k}") < F.col("l.sig")), F.lit(False)) for k in range(CLASSES)]
+    elsewhere = reduce(Column.__or__, listed)
+    apart = (F.col("l.component") < F.col("r.component")) & ~elsewhere & _close("l", "r")
+    return left.join(right, (F.col("l.sig") == F.col("r.sig")) & apart).select(
+        F.greatest("l.doc_id", "r.doc_id").alias("a"), F.least("l.doc_id", "r.doc_id").alias("b")
+    )
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The (stored) pairs (a, b) whose shingle sets have a similarity of 4/5 or more."""
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null")
@@ -398,15 +419,12 @@ def _link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         tried = stored(tried.unionByName(fresh))
         links = stored(links.unionByName(verified(fresh, docs)))
         found = stored(components(links))
-        left_open = stored(unsettled(left_open))
+        # A drawn member has met all the others of its signature.
+        met = drawn.select("of", F.col("d.doc_id").alias("done"))
+        left_open = stored(unsettled(left_open.join(met, (F.col("sig") == F.col("of")) & (F.col("doc_id") != F.col("done")))))
     if left_open.isEmpty():
         return described.select("doc_id", "n_shingles"), found
-    rest = stored(left_open.join(traits.drop("h0", "h1"), "doc_id"))
-    left, right = rest.alias("l"), rest.alias("r")
-    apart = (F.col("l.component") < F.col("r.component")) & _close("l", "r")
-    last = left.join(right, (F.col("l.sig") == F.col("r.sig")) & apart).select(
-        F.greatest("l.doc_id", "r.doc_id").alias("a"), F.least("l.doc_id", "r.doc_id").alias("b")
-    )
+    last = open_pairs(left_open, traits)
     last = stored(last.distinct().join(tried, ["a", "b"], "left_anti"))
     return described.select("doc_id", "n_shingles"), stored(components(links.unionByName(verified(last, docs))))
 

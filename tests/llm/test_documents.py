@@ -531,3 +531,25 @@ def test_signatures_of_a_bucket_in_passes(spark, monkeypatch):
     whole = members()
     monkeypatch.setattr(jaccard_join, "PASS_SIGNATURES", 5)
     assert members() == whole and {row[0] is None for row in whole} == {True, False}
+
+
+def test_pairs_that_share_many_signatures_are_listed_about_once(spark):
+    """A group of near copies below the threshold shares hundreds of signatures; every pair is listed, and hardly more."""
+    rng, base = random.Random(3), [f"word{k}" for k in range(320)]
+    rows = []
+    for i in range(24):
+        own = list(base)
+        for k in rng.sample(range(320), 4):
+            own[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    members = jaccard_join.shared_signatures(docs).where("sig is not null").select("sig", "doc_id").distinct()
+    left_open = members.withColumn("component", F.floor(F.col("doc_id") / 2))
+    traits = jaccard_join.describe(docs)
+    together = left_open.join(traits, "doc_id")
+    left, right = together.alias("l"), together.alias("r")
+    plain = left.join(right, F.expr("l.sig = r.sig and l.component < r.component")).where(jaccard_join._close("l", "r"))
+    plain = plain.select(F.greatest("l.doc_id", "r.doc_id").alias("a"), F.least("l.doc_id", "r.doc_id").alias("b")).collect()
+    listed = jaccard_join.open_pairs(left_open, traits).collect()
+    assert set(map(tuple, listed)) == set(map(tuple, plain))
+    assert len(plain) > 20 * len(set(plain)) and len(listed) < 3 * len(set(listed))
