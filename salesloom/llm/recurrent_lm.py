@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import slices, stored
+from salesloom.llm.common import slices, small_batches, stored
 from salesloom.llm.jaccard_join import CHUNK_BYTES, IS_WHITE, mix, word_hashes
 from salesloom.llm.langid import fold
 
@@ -156,6 +156,7 @@ class Network:
     def __init__(self, lexicon: Lexicon, packed: bytes | None = None):
         units, classes = len(lexicon.mass), len(lexicon.begin) - 1
         self.begin, self.of_class = lexicon.begin, lexicon.of_class
+        self.room = np.empty(0, F32)
         self.shapes = {"x": (units, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (classes, HIDDEN), "bc": (classes,), "wo": (units, HIDDEN), "bo": (units,)}
         if packed is None:
             random = np.random.default_rng(7)
@@ -188,17 +189,22 @@ class Network:
         # States lie between -1 and 1, which bounds the logits; large ones are shifted before exp.
         reach = max(float((np.abs(p[w]).sum(axis=1) + np.abs(p[b])).max()) for w, b in (("wc", "bc"), ("wo", "bo")))
 
-        def exponentials(logits: np.ndarray) -> np.ndarray:
+        def exponentials(states: np.ndarray, w: np.ndarray, b: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Logits of the targets and all exponentials, which hold until the next call: one buffer serves all."""
+            size = len(states) * len(w)
+            if size > len(self.room):
+                self.room = np.empty(size, F32)
+            logits = np.matmul(states, w.T, out=self.room[:size].reshape(len(states), len(w)))
+            logits += b
             if reach > 80:
                 logits -= logits.max(axis=1, keepdims=True)
-            return np.exp(logits)
+            picked = logits[rows[: len(states)], target]
+            return picked, np.exp(logits, out=logits)
 
         of = self.of_class[unit]
-        logits = h @ p["wc"].T
-        logits += p["bc"]
-        e = exponentials(logits)
+        logs, e = exponentials(h, p["wc"], p["bc"], of)
         total = e.sum(axis=1)
-        logs = logits[rows, of] - np.log(total)
+        logs -= np.log(total)
         back = None
         if grad is not None:
             e /= total[:, None]
@@ -212,15 +218,12 @@ class Network:
             if not len(own) or hi - lo == 1:
                 continue
             mine, target = h[own], unit[own] - lo
-            logits = mine @ p["wo"][lo:hi].T
-            logits += p["bo"][lo:hi]
-            e = exponentials(logits)
+            picked, e = exponentials(mine, p["wo"][lo:hi], p["bo"][lo:hi], target)
             total = e.sum(axis=1)
-            k = np.arange(len(own))
-            logs[own] += logits[k, target] - np.log(total)
+            logs[own] += picked - np.log(total)
             if grad is not None:
                 e /= total[:, None]
-                e[k, target] -= 1
+                e[rows[: len(own)], target] -= 1
                 grad["wo"][lo:hi], grad["bo"][lo:hi] = e.T @ mine, e.sum(axis=0)
                 back[own] += e @ p["wo"][lo:hi]
         return logs, back
@@ -383,7 +386,8 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, rounds: int
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     part = fold(F.col("doc_id"), folds)
     training = docs.where(part != held).select("doc_id", "text")
-    counts = stored(count_words(training))
+    with small_batches(docs.sparkSession):  # training and scoring take slices of SLICE bytes as they are
+        counts = stored(count_words(training))
     learned = learn(training, counts, rounds)
     shared = docs.sparkSession.sparkContext.broadcast(learned)
     id_type = docs.schema["doc_id"].dataType.simpleString()

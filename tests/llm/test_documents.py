@@ -553,3 +553,20 @@ def test_pairs_that_share_many_signatures_are_listed_about_once(spark):
     listed = jaccard_join.open_pairs(left_open, traits).collect()
     assert set(map(tuple, listed)) == set(map(tuple, plain))
     assert len(plain) > 20 * len(set(plain)) and len(listed) < 3 * len(set(listed))
+
+
+@pytest.mark.parametrize("module", [quality, recurrent_lm])
+def test_counting_tasks_get_small_batches(spark, monkeypatch, module):
+    """Texts on their way to be counted or judged are held a few MB at a time."""
+    cut, before = module.slices, spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def checked(batch, column, *rest):
+        assert rest or batch.nbytes < 6 << 20, batch.nbytes  # the network takes slices of its own size
+        return cut(batch, column, *rest)
+
+    monkeypatch.setattr(module, "slices", checked)
+    text = F.repeat(F.concat_ws(" ", F.lit("words of"), "id", F.lit("")), 400)
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2000, text).otherwise("a few words").alias("text"), F.lit("en").alias("lang"))
+    found = module.judge_quality(docs) if module is quality else module.score_documents(docs, rounds=1)
+    assert found.select("doc_id").distinct().count() == 3000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
