@@ -201,6 +201,64 @@ def test_kept_equals_a_plain_reckoning(spark, monkeypatch):
                     assert judged[i].kept == inside, i
 
 
+def test_every_code_point_has_a_symbol_of_its_own():
+    """But those that share one by rule: cases of a-z, white space, digits, signs."""
+    table = quality.symbol_table()
+    shared = set(map(ord, quality.WHITE + quality.SYMBOLS + quality.MARKS + "0123456789")) | {ord(c) + k for c in "abcdefghijklmnopqrstuvwxyz" for k in (0, -32)}
+    others = [int(table[unit]) for unit in range(1 << 16) if unit not in shared]
+    assert len(set(others)) == len(others) and min(others) >= 40
+    for one, two in [("а", "0"), ("б", "в"), ("日", "本"), ("é", "è"), ("Ā", "ā"), ("\U0001f600", "\U0001f601"), ("\U0001f600", "\U0002f600")]:
+        assert list(quality.ngram_keys(one, table, quality.BITS)) != list(quality.ngram_keys(two, table, quality.BITS))
+
+
+@pytest.mark.parametrize("most", [quality.MODEL_KEYS, 0])
+def test_scores_of_other_scripts(spark, monkeypatch, most):
+    """Perplexities by definition, with dictionaries, of a model that every task holds and of one that none does."""
+    monkeypatch.setattr(quality.measure, "__defaults__", (most,))
+    monkeypatch.setattr(quality, "HELD_KEYS", 40)
+    rng, docs = random.Random(3), []
+    scripts = {"ru": "абвгдежзиклмно", "zh": "日本山川水火木金土人口手足目耳花鳥風月星雨雪雲天地石田竹米糸貝", None: "0a\U0001f600\U0001f601é;"}
+    for i in range(60):
+        lang = (*scripts,)[i % 3]
+        words = ["".join(rng.choices(scripts[lang], k=rng.randint(1, 5))) for _ in range(12 + i % 9)]
+        docs.append((i, " ".join(words), lang))
+    docs += [(900, None, "ru"), (901, "", "zh"), (902, docs[3][1], "ru"), (902, docs[3][1], "ru")]
+
+    def symbols(text):
+        for c in text or "":
+            yield from [" "] if c.isspace() else ["9"] if c.isdigit() else [c.lower()] if ord(c) < 1 << 16 else [("high", ord(c) - 0x10000 >> 10), ("low", ord(c) & 1023)]
+
+    def grams(text):
+        codes = [" ", " ", " ", *symbols(text)]
+        return [tuple(codes[k : k + 4]) for k in range(len(codes) - 3)]
+
+    judged = Counter((r.doc_id, round(r.log_perplexity, 6)) for r in quality.judge_quality(spark.createDataFrame(docs, "doc_id bigint, text string, lang string")).collect())
+    expected = Counter()
+    for lang in scripts:
+        orders = {4: Counter(g for _, text, of in docs if of == lang for g in grams(text))}
+        for size in (3, 2, 1):
+            orders[size] = Counter(g[1:] for g in orders[size + 1])
+        others = sum(1 for (g,) in orders[1] if g not in (" ", "9", "a"))
+        cuts = {size: quality.discounts(np.array(list(of.values()))) for size, of in orders.items()}
+        contexts = {}
+        for size, of in orders.items():
+            for g, n in of.items():
+                total, taken = contexts.get(g[:-1] + (size,), (0, 0.0))
+                contexts[g[:-1] + (size,)] = (total + n, taken + cuts[size][min(n, 3)])
+
+        def p(g, size):
+            if not size:
+                return 1 / 64 if g[-1] in (" ", "9", "a") else 24 / 64 / max(others, 24)
+            (total, taken), n = contexts[g[:-1] + (size,)], orders[size][g]
+            return (n - cuts[size][min(n, 3)]) / total + taken / total * p(g[1:] or g, size - 1)
+
+        for i, text, of in docs:
+            if of == lang:
+                runs = len(re.findall("[^ 0-9]+", text or ""))
+                expected[i, round(-sum(math.log10(p(g, 4)) for g in grams(text)) / max(runs, 1) + 0.0, 6)] += 1
+    assert judged == expected
+
+
 def test_quality_of_nothing(no_docs):
     assert quality.judge_quality(no_docs).count() == 0
 
