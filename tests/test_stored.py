@@ -84,3 +84,12 @@ def test_landed_files_are_packed(spark, tmp_path):
     files = [f for f in glob.glob(str(tmp_path / "landing" / "part-*"))]
     assert files and all(f.endswith(".gz") and os.path.getsize(f) for f in files)
     assert spark.read.json(str(tmp_path / "landing")).count() == 50
+
+
+def test_both_fact_loads_read_stored_replies(spark, monkeypatch):
+    """The replies are parsed once, not by each load."""
+    seen = []
+    monkeypatch.setattr(registry, "load_fact_window", lambda shop, landed, details, *rest, **more: seen.extend([plan(landed), plan(details)]))
+    monkeypatch.setattr(registry.Warehouse, "load", lambda self, name: None)
+    registry.fact_window_loaded(Shop(spark, SMALL))
+    assert len(seen) == 4 and not any("from_json" in text or "JsonToStructs" in text for text in seen)
